@@ -81,3 +81,15 @@ def flatten_salaries(jobs: DataFrame, ordinal: str, salary: str = "salary") -> D
                         bound("minValue").alias("min_value"), bound("maxValue").alias("max_value"),
                         unwrap_value(s["currency"].cast("string")).alias("currency"),
                         unwrap_value(s["period"].cast("string")).alias("period")))
+
+
+def zip_parallel(df: DataFrame, parent_key: str, names: str, slugs: str) -> DataFrame:
+    """Pair name i with slug i; where the slug array is shorter the slug falls back to
+    lower(name) with runs of non-alphanumerics replaced by '-' (no trimming, no cap).
+    Falsy names are skipped; the 1-based position is kept."""
+    from ..functions.text import slugify
+    ex = df.select(F.col(parent_key), F.col(slugs).alias("_slugs"), F.posexplode(F.col(names)).alias("_p", "_name"))
+    given = F.try_element_at(F.col("_slugs"), (F.col("_p") + 1).cast("int"))
+    return (ex.filter(truthy(F.col("_name")))
+              .select(F.col(parent_key), (F.col("_p") + 1).alias("pos"), F.col("_name").alias("investor_name"),
+                      F.coalesce(given, slugify(F.col("_name"), trim_dashes=False, max_len=None)).alias("investor_slug")))
