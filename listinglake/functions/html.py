@@ -62,8 +62,10 @@ def social_links(html) -> Column:
     social link. Empty map when nothing is found."""
     hs = hrefs(html)
     pairs = []
+    def containing(needle):
+        return lambda h: h.contains(needle)
     for key, needle in SOCIAL_SITES:
-        matches = F.filter(hs, lambda h, n=needle: h.contains(n))
+        matches = F.filter(hs, containing(needle))
         pairs.append(F.struct(F.lit(key).alias("k"), F.try_element_at(matches, F.lit(-1)).alias("v")))
 
     def not_social(h):

@@ -26,39 +26,50 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_documents(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = False) -> DataFrame:
     """Every matching file as one row ``(file_name, value)``."""
     return (spark.read.option("wholetext", True).option("pathGlobFilter", glob)
-                 .option("recursiveFileLookup", False).text(path)
+                 .option("recursiveFileLookup", recursive).text(path)
                  .select(F.col("_metadata.file_name").alias("file_name"), F.col("value")))
 
 
 def read_wrapped_json(spark: SparkSession, path: str, wrapper: str, schema: T.StructType,
-                      glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+                      glob: str = "*.json", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
     """A1: files holding a bare array of records or ``{wrapper: [records]}``. Returns
     ``(rows, errors)``: rows carry ``file_name`` and 1-based ``pos``; a wrapper object without
     the array yields no rows; a file that does not parse yields one error row."""
-    docs = read_documents(spark, path, glob)
+    docs = read_documents(spark, path, glob, recursive)
     v = F.col("value")
     is_array = F.ltrim(v).startswith("[")
     as_array = F.from_json(v, T.ArrayType(schema))
     as_wrapped = F.from_json(v, T.StructType([T.StructField(wrapper, T.ArrayType(schema))]))
+    # from_json is permissive (a broken document can come back as a struct of NULLs), so
+    # validity is decided by a JSON scan of the document itself
+    valid = F.when(is_array, F.json_array_length(v).isNotNull()).otherwise(F.json_object_keys(v).isNotNull())
     parsed = docs.select("file_name", is_array.alias("_is_array"),
                          F.when(is_array, as_array).otherwise(as_wrapped[wrapper]).alias("_arr"),
-                         F.when(is_array, as_array.isNotNull()).otherwise(as_wrapped.isNotNull()).alias("_ok"))
+                         F.coalesce(valid, F.lit(False)).alias("_ok"))
     rows = (parsed.filter("_ok").select("file_name", F.posexplode(F.col("_arr")).alias("_p", "_r"))
                   .select("file_name", (F.col("_p") + 1).alias("pos"), "_r.*"))
     errors = parsed.filter(~F.col("_ok")).select("file_name", F.lit("unreadable JSON").alias("reason"))
     return rows, errors
 
 
-def read_entity_dir(spark: SparkSession, path: str, suffix: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_entity_dir(spark: SparkSession, path: str, suffix: str, schema: T.StructType,
+                    slug_from_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """A2: one JSON object per entity file named ``<slug><suffix>``; only such files are
-    read. Returns ``(rows with slug, error rows)``."""
-    docs = read_documents(spark, path, "*" + suffix)
-    parsed = docs.select("file_name", F.from_json(F.col("value"), schema).alias("_r"),
-                         F.ltrim(F.col("value")).startswith("{").alias("_obj"))
-    slug = F.expr(f"substring(file_name, 1, length(file_name) - {len(suffix)})")
+    read. With ``slug_from_dir='slug'`` the slug comes from a ``slug=<value>`` folder instead
+    (the layout Spark's partitioned writer produces). Returns ``(rows with slug, error rows)``."""
+    docs = (spark.read.option("wholetext", True).option("pathGlobFilter", "*" + suffix)
+                 .option("recursiveFileLookup", slug_from_dir is not None).text(path)
+                 .select(F.col("_metadata.file_name").alias("file_name"),
+                         F.col("_metadata.file_path").alias("file_path"), F.col("value")))
+    parsed = docs.select("file_name", "file_path", F.from_json(F.col("value"), schema).alias("_r"),
+                         F.coalesce(F.json_object_keys(F.col("value")).isNotNull(), F.lit(False)).alias("_obj"))
+    if slug_from_dir:
+        slug = F.regexp_extract(F.col("file_path"), f"/{slug_from_dir}=([^/]+)/[^/]+$", 1)
+    else:
+        slug = F.expr(f"substring(file_name, 1, length(file_name) - {len(suffix)})")
     ok = parsed.filter(F.col("_r").isNotNull() & F.col("_obj")).select(slug.alias("slug"), "_r.*")
     bad = parsed.filter(F.col("_r").isNull() | ~F.col("_obj")).select(
         slug.alias("slug"), "file_name", F.lit("unreadable JSON").alias("reason"))
@@ -66,7 +77,8 @@ def read_entity_dir(spark: SparkSession, path: str, suffix: str, schema: T.Struc
 
 
 def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, str, str | None]],
-                     wrapper: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+                     wrapper: str, schema: T.StructType, glob: str = "*.json",
+                     recursive: bool = False) -> tuple[DataFrame, DataFrame]:
     """A3: read each registered source folder ``(key, folder, dataSource)`` in the declared
     order; rows get ``sourceFolder``, ``dataSource`` (registry value, else the folder name) and
     ``source_rank``. A missing folder is reported in the log frame, not fatal."""
@@ -76,7 +88,7 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
         if not _path_exists(spark, p):
             log.append((key, folder, "missing folder"))
             continue
-        rows, errors = read_wrapped_json(spark, p, wrapper, schema)
+        rows, errors = read_wrapped_json(spark, p, wrapper, schema, glob, recursive)
         parts.append(rows.withColumn("sourceFolder", F.lit(folder))
                          .withColumn("dataSource", F.lit(data_source or folder))
                          .withColumn("source_rank", F.lit(rank)))
