@@ -23,15 +23,19 @@ def _all_not_null(keys: list[str]) -> Column:
 
 
 def insert_ignore(target: DataFrame, src: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """H1: existing rows win; inside the batch the first row (under ``order``) wins; a row with
-    any NULL key part never conflicts (unique indexes treat NULLs as distinct), so it is
-    always inserted."""
+    """H1: existing rows win; inside the batch the first row (under ``order``, which must end
+    in a unique column) wins; a row with any NULL key part never conflicts (unique indexes
+    treat NULLs as distinct), so it is always inserted.
+
+    One pass over the batch: NULL-key rows get their own ordering value as an extra window
+    key, so each forms a group of one; they also fall through the anti join because NULL
+    never equals anything."""
     nn = _all_not_null(keys)
-    keyed = src.filter(nn)
-    null_keyed = src.filter(~nn)
-    batch = first_wins(keyed, keys, order)
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    tagged = src.withColumn("_nk", F.when(~nn, F.struct(*order_cols)))
+    batch = first_wins(tagged, keys + ["_nk"], order).drop("_nk")
     fresh = batch.join(target.select(*keys).filter(nn).distinct(), keys, "left_anti")
-    return target.unionByName(fresh.select(*target.columns)).unionByName(null_keyed.select(*target.columns))
+    return target.unionByName(fresh.select(*target.columns))
 
 
 def upsert(target: DataFrame, src: DataFrame, key: str, replace: list[str], ordinal: str | None = None,

@@ -259,7 +259,7 @@ def import_flat(spark, sf):
                     F.col("o_orderdate").cast("string").alias("date"), F.lit(None).cast("string").alias("location"),
                     F.expr(_IMPORT_URL_SQL.replace("VARCHAR", "STRING")).alias("url"),
                     F.expr(_IMPORT_COMPANY_SQL).alias("company"))
-    norm = read_flat_jobs(flat).join(flat.select("id", "ord"), "id")
+    norm = read_flat_jobs(flat)
     resolved = J.resolve_employer(norm, "company", "url").filter(F.col("employer").isNotNull())
     companies = H.ensure_seed_companies(_supplier_companies(spark, sf), SEED_EMPLOYERS)
     with_company = J.lookup(resolved, companies, "employer", "name", "id", "companyId")

@@ -105,13 +105,17 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
 UNTITLED_JOB = "Untitled Job"
 
 
+FLAT_COLUMNS = ["id", "title", "desc", "date", "location", "url", "company"]
+
+
 def read_flat_jobs(df: DataFrame) -> DataFrame:
     """A4: normalise the flat 7-column job table (id, title, desc, date, location, url,
     company): title defaults to 'Untitled Job', empty strings become NULL, location trimmed,
-    date text parsed (unparsable → NULL)."""
+    date text parsed (unparsable → NULL). Other columns pass through unchanged."""
     def nz(c):
         return F.when(truthy(F.col(c)), F.col(c))
-    return df.select(
+    extra = [c for c in df.columns if c not in FLAT_COLUMNS]
+    return df.select(*extra,
         F.col("id").cast("string").alias("id"),
         F.when(truthy(F.col("title")), F.col("title")).otherwise(F.lit(UNTITLED_JOB)).alias("title"),
         nz("desc").alias("desc"),
