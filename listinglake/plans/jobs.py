@@ -29,6 +29,7 @@ from ..operators.split import split_halves
 from ..operators.topk import top_per_group
 from ..operators.validate import reject_unknown_parent, require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
+from ..session import checkpoint_dir
 from ..sources.staging import stage_portfolio
 
 # Company columns replaced by an upsert of each feed.
@@ -47,12 +48,25 @@ def empty_warehouse(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in SC.WAREHOUSE.items()}
 
 
-def conform(df: DataFrame, schema) -> DataFrame:
-    """Select / cast to a warehouse schema; missing columns become NULL."""
+def conform(df: DataFrame, schema, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Select / cast to a warehouse schema; missing columns become NULL; ``extra`` columns are
+    carried along unchanged."""
     cols = []
     for f in schema.fields:
         cols.append((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(c) for c in extra])
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a state consumed by several later plans: a reliable checkpoint in
+    the shared checkpoint folder (``spark.checkpoint.dir``), so a lost executor recomputes
+    from there, and downstream plans stay small."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def materialize_all(wh: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: materialize(df) for name, df in wh.items()}
 
 
 def _dedupe_union(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
@@ -96,14 +110,14 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     Returns the next warehouse and the staging rejects."""
     st = stage_portfolio(companies, jobs)
     src = st["company"].withColumn("id", TX.surrogate_id("slug"))
-    comp_src = conform(src, SC.COMPANY).withColumn("_ord", src["_ord"])
+    comp_src = conform(src, SC.COMPANY, ("_ord",))
     if mode == "upsert":
         company = H.upsert(wh["company"], comp_src, "slug", VC_REPLACED, ordinal="_ord", keep=["id", "numJobs"])
     elif mode == "insert":
         company = H.insert_ignore(wh["company"], comp_src, ["slug"], ["_ord"])
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    company = conform(company, SC.COMPANY)
+    company = materialize(conform(company, SC.COMPANY))
     out = dict(wh)
     out["company"] = company
     for dim, bridge, dim_id in (("market", "company_market", "marketId"), ("stage", "company_stage", "stageId")):
@@ -129,14 +143,15 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     # jobs
     staged = J.attach_company(st["job"], company.select("slug", "id"), "company_slug", "slug", "id", "companyId") \
         .withColumn("dataSource", F.lit(None).cast("string"))
-    job_src = conform(staged, SC.JOB).withColumn("_ord", staged["_ord"]).withColumn("job_key", staged["job_key"])
+    job_src = conform(staged, SC.JOB, ("_ord", "job_key"))
     if mode == "upsert":
         job = H.upsert_jobs(wh["job"], job_src.drop("id"), mode="title", ordinal="_ord",
                             replace=[c for c in SC.JOB.names if c not in ("id", "companyId", "title")])
     else:
         job = H.insert_ignore(wh["job"], job_src.withColumn("id", TX.surrogate_id("companyId", "url", "title")),
                               ["url", "companyId"], ["_ord"])
-    job = conform(job, SC.JOB).withColumn("dataCompleteness", F.coalesce("dataCompleteness", F.lit(DEFAULT_COMPLETENESS)))
+    job = materialize(conform(job, SC.JOB).withColumn("dataCompleteness",
+                                                        F.coalesce("dataCompleteness", F.lit(DEFAULT_COMPLETENESS))))
     out["job"] = job
     # staging ordinal → job ids (every job carrying the staged row's company and title)
     key_map = (D.last_wins(job_src, ["companyId", "title"], ["_ord"]).select("job_key", "companyId", "title")
@@ -233,8 +248,8 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     company is unknown rejected, jobs matched two-tier and upserted, salary ranges, counts."""
     ok, rejects = require_fields(companies, ["slug", "name"])
     ok = ok.withColumn("_ord", F.col("slug"))
-    company = conform(H.upsert(wh["company"], conform(ok, SC.COMPANY).withColumn("_ord", ok["_ord"]), "slug",
-                               YC_REPLACED, ordinal="_ord", keep=["id", "numJobs"]), SC.COMPANY)
+    company = materialize(conform(H.upsert(wh["company"], conform(ok, SC.COMPANY, ("_ord",)), "slug",
+                                           YC_REPLACED, ordinal="_ord", keep=["id", "numJobs"]), SC.COMPANY))
     out = dict(wh)
     out["company"] = company
     staged_m = flatten_links(ok, "slug", "markets").withColumnRenamed("slug", "company_slug")
@@ -271,9 +286,9 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     known, unknown = reject_unknown_parent(jobs, company, "companySlug", "slug", "unknown company")
     staged = known.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
                                           "companySlug").withColumn("ordinal", F.struct("companySlug", "id"))
-    job_src = conform(staged, SC.JOB).withColumn("ordinal", staged["ordinal"])
-    job = conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
-                                replace=[c for c in SC.JOB.names if c not in ("id", "companyId")]), SC.JOB)
+    job_src = conform(staged, SC.JOB, ("ordinal",))
+    job = materialize(conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
+                                            replace=[c for c in SC.JOB.names if c not in ("id", "companyId")]), SC.JOB))
     out["job"] = job
     sal = (staged.filter(F.col("salaryRange").isNotNull())
            .join(job.select(F.col("id").alias("jobId"), "companyId", "url", "title"), ["companyId", "url", "title"])
@@ -296,7 +311,7 @@ def load_flat_feed(wh: dict[str, DataFrame], flat: DataFrame, as_of) -> tuple[di
     resolved = J.resolve_employer(norm, "company", "url")
     skipped = resolved.filter(F.col("employer").isNull())
     ok = resolved.filter(F.col("employer").isNotNull())
-    company = conform(H.ensure_seed_companies(wh["company"], SEED_EMPLOYERS), SC.COMPANY)
+    company = materialize(conform(H.ensure_seed_companies(wh["company"], SEED_EMPLOYERS), SC.COMPANY))
     staged = J.lookup(ok, company.select("name", "id"), "employer", "name", "id", "companyId")
     ts = F.coalesce(F.col("date"), F.to_timestamp(F.lit(str(as_of) if not isinstance(as_of, _dt.datetime)
                                                           else as_of.isoformat(sep=" "))))
@@ -306,8 +321,8 @@ def load_flat_feed(wh: dict[str, DataFrame], flat: DataFrame, as_of) -> tuple[di
          .alias("skills"), F.col("desc").alias("description"), F.lit(FLAT_SOURCE).alias("dataSource"),
         F.lit(DEFAULT_COMPLETENESS).alias("dataCompleteness"), "location", "_ord")
     job = H.insert_ignore(wh["job"].withColumn("_ord", F.lit(None).cast("string")),
-                          conform(jobs_src, SC.JOB).withColumn("_ord", jobs_src["_ord"]), ["url", "companyId"], ["_ord"])
-    job = conform(job, SC.JOB)
+                          conform(jobs_src, SC.JOB, ("_ord",)), ["url", "companyId"], ["_ord"])
+    job = materialize(conform(job, SC.JOB))
     out = dict(wh)
     out["job"] = job
     locs = staged.filter(truthy(F.col("location"))).select(F.col("location").alias("name"), "companyId", "url")
@@ -331,12 +346,15 @@ def unify(wh: dict[str, DataFrame], portfolio: tuple[DataFrame, DataFrame] | Non
           flat: DataFrame | None = None, directory: tuple[DataFrame, DataFrame] | None = None,
           as_of=None, mode: str = "upsert") -> dict[str, DataFrame]:
     """K6: the portfolio, flat and directory feeds in that order; each later feed sees the
-    rows of the earlier ones (pass each returned state through ``commit_version`` between
-    feeds on a cluster to cut the lineage)."""
+    rows of the earlier ones. Each intermediate state is checkpointed, so the next feed's
+    plans start from materialised tables instead of the whole history."""
     if portfolio is not None:
         wh, _ = load_portfolio(wh, portfolio[0], portfolio[1], mode)
+        wh = materialize_all(wh)
     if flat is not None:
         wh, _ = load_flat_feed(wh, flat, as_of)
+        wh = materialize_all(wh)
     if directory is not None:
         wh, _ = load_directory(wh, directory[0], directory[1])
+        wh = materialize_all(wh)
     return wh

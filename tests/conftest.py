@@ -14,7 +14,8 @@ def spark():
     from listinglake.session import build_session
     scratch = tempfile.mkdtemp(prefix="listinglake-tests-")
     s = build_session("local[4]", shuffle_partitions=4, app_name="listinglake-tests",
-                      extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+                      extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                              "spark.driver.memory": "6g"})
     yield s
     s.stop()
 
