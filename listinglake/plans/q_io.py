@@ -377,3 +377,85 @@ def json_source_counts(spark, sf):
     rows, _ = R.read_wrapped_json(spark, path, "companies", SUPPLIER_SCHEMA, glob="*.txt", recursive=True)
     keyed = rows.withColumn("file_key", F.floor(F.col("s_suppkey") / 10).cast("long"))
     return counts_by(keyed, "file_key")
+
+
+def _staged_orders(spark, sf):
+    """orders as staged portfolio jobs with location and salary JSON in their landed forms."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey").cast("string")
+    preferred = F.when(F.col("o_orderstatus") == "F", F.lit(None).cast("array<string>")).otherwise(
+        F.array(F.concat(F.lit('{"label": "'), F.col("o_orderpriority"), F.lit('"}')), F.lit("")))
+    fallback = F.array(F.col("o_custkey").cast("string"), F.concat(F.lit('{"value": "V'), k, F.lit('"}')))
+    salary = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.struct(
+        F.when(F.col("o_orderstatus") == "P", F.lit("0")).otherwise(F.col("o_totalprice").cast("string")).alias("minValue"),
+        (F.col("o_totalprice") * 2).cast("string").alias("maxValue"),
+        F.when(F.col("o_orderstatus") == "O", F.lit('{"value": "USD", "label": "Dollar"}'))
+         .otherwise(F.lit("EUR")).alias("currency"),
+        F.when(F.col("o_orderstatus") == "O", F.lit('{"label": "Yearly"}')).otherwise(F.lit("")).alias("period")))
+    return o.select(F.col("o_orderkey").alias("job_key"), F.concat(F.lit("cust-"), F.col("o_custkey").cast("string"))
+                    .alias("company_slug"), preferred.alias("normalizedLocations"), fallback.alias("locations"),
+                    salary.alias("salary"))
+
+
+@query("staging_locations", """
+WITH l AS (SELECT o_orderkey AS job_ordinal, 'cust-' || CAST(o_custkey AS VARCHAR) AS company_slug,
+                  CASE WHEN o_orderstatus = 'F'
+                       THEN [CAST(o_custkey AS VARCHAR), '{"value": "V' || CAST(o_orderkey AS VARCHAR) || '"}']
+                       ELSE ['{"label": "' || o_orderpriority || '"}', ''] END AS arr FROM orders),
+e AS (SELECT job_ordinal, company_slug, unnest(arr) AS el FROM l),
+v AS (SELECT job_ordinal, company_slug,
+             CASE WHEN ltrim(el) LIKE '{%' THEN coalesce(nullif(json_extract_string(el, '$.label'), ''),
+                                                         nullif(json_extract_string(el, '$.value'), ''))
+                  ELSE el END AS location_name FROM e)
+SELECT job_ordinal, company_slug, location_name FROM v WHERE location_name IS NOT NULL AND location_name <> ''""")
+def staging_locations(spark, sf):
+    """Location rows per staged job (normalised list preferred), labels unwrapped."""
+    from ..operators.flatten import flatten_locations
+    return flatten_locations(_staged_orders(spark, sf), "job_key", "company_slug", "normalizedLocations", "locations")
+
+
+@query("staging_salaries", """
+WITH s AS (SELECT o_orderkey AS job_ordinal,
+                  CASE WHEN o_orderstatus = 'P' THEN '0' ELSE CAST(o_totalprice AS VARCHAR) END AS mn,
+                  CAST(o_totalprice * 2 AS VARCHAR) AS mx,
+                  CASE WHEN o_orderstatus = 'O' THEN 'USD' ELSE 'EUR' END AS currency,
+                  CASE WHEN o_orderstatus = 'O' THEN 'Yearly' END AS period
+           FROM orders WHERE o_orderpriority <> '5-LOW')
+SELECT job_ordinal, CASE WHEN mn = '0' THEN NULL ELSE CAST(mn AS DOUBLE) END AS min_value,
+       CAST(mx AS DOUBLE) AS max_value, currency, period FROM s""")
+def staging_salaries(spark, sf):
+    """At most one salary row per staged job; currency / period objects unwrapped value-first."""
+    from ..operators.flatten import flatten_salaries
+    return flatten_salaries(_staged_orders(spark, sf), "job_key")
+
+
+@query("staging_founders", """
+WITH f AS (SELECT 'sup-' || CAST(s_suppkey AS VARCHAR) AS slug, s_name AS name,
+                  CASE WHEN s_acctbal < 0 THEN '' ELSE 'CEO' END AS title,
+                  'in/' || CAST(s_suppkey AS VARCHAR) AS linkedin,
+                  CASE WHEN s_nationkey < 10 THEN NULL ELSE '@s' || CAST(s_suppkey AS VARCHAR) END AS twitter,
+                  'Founded ' || s_name || ' in nation ' || CAST(s_nationkey AS VARCHAR) || ' with a long biography text' AS bio
+           FROM supplier
+           UNION ALL
+           SELECT 'sup-' || CAST(s_suppkey AS VARCHAR), 'Co ' || s_name, 'CTO', NULL, NULL, NULL FROM supplier)
+SELECT slug, sha256(lower(coalesce(name, '') || '::' || coalesce(linkedin, '') || '::' || coalesce(twitter, '') || '::'
+                          || substring(coalesce(bio, ''), 1, 50))) AS id,
+       name, nullif(title, '') AS title, linkedin, twitter FROM f""")
+def staging_founders(spark, sf):
+    """Founders nested in company records, one row each with the deterministic id."""
+    from ..operators.flatten import flatten_founders
+    s = table(spark, sf, "supplier")
+    k = F.col("s_suppkey").cast("string")
+    first = F.struct(F.col("s_name").alias("name"),
+                     F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.lit("CEO")).alias("title"),
+                     F.concat(F.lit("Founded "), F.col("s_name"), F.lit(" in nation "), F.col("s_nationkey").cast("string"),
+                              F.lit(" with a long biography text")).alias("bio"),
+                     F.map_filter(F.create_map(F.lit("linkedin"), F.concat(F.lit("in/"), k),
+                                               F.lit("twitter"), F.when(F.col("s_nationkey") >= 10,
+                                                                        F.concat(F.lit("@s"), k))),
+                                  lambda kk, v: v.isNotNull()).alias("social_links"))
+    second = F.struct(F.concat(F.lit("Co "), F.col("s_name")).alias("name"), F.lit("CTO").alias("title"),
+                      F.lit(None).cast("string").alias("bio"),
+                      F.create_map().cast("map<string,string>").alias("social_links"))
+    companies = s.select(F.concat(F.lit("sup-"), k).alias("slug"), F.array(first, second).alias("founders"))
+    return flatten_founders(companies, "slug").select("slug", "id", "name", "title", "linkedin", "twitter")

@@ -269,3 +269,48 @@ def import_flat(spark, sf):
         F.to_json(F.struct(F.col("desc").alias("description"))).alias("skills"))
     empty = spark.createDataFrame([], T.StructType([T.StructField(c, jobs.schema[c].dataType) for c in jobs.columns]))
     return H.insert_ignore(empty, jobs, ["url", "companyId"], ["ord"]).drop("ord")
+
+
+_INVESTOR_SQL = """
+t AS (SELECT 'inv-' || CAST(c_custkey AS VARCHAR) AS slug, c_name AS name, CAST(c_custkey AS VARCHAR) AS id
+      FROM customer WHERE c_mktsegment <> 'BUILDING'),
+s0 AS (SELECT 'inv-' || CAST(c_custkey AS VARCHAR) AS slug,
+              CASE WHEN c_acctbal < 0 THEN 'Customer#' || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0')
+                   ELSE 'renamed ' || c_name END AS name,
+              'new-' || CAST(c_custkey AS VARCHAR) AS id, c_custkey AS ord
+       FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+s AS (SELECT * FROM s0 QUALIFY row_number() OVER (PARTITION BY slug ORDER BY ord DESC) = 1),
+clash AS (SELECT s.* FROM s WHERE EXISTS (SELECT 1 FROM t WHERE t.name = s.name AND t.slug <> s.slug)),
+ok AS (SELECT * FROM s WHERE slug NOT IN (SELECT slug FROM clash))"""
+
+
+def _investor_frames(spark, sf):
+    c = table(spark, sf, "customer")
+    slug = F.concat(F.lit("inv-"), F.col("c_custkey").cast("string"))
+    target = c.filter(F.col("c_mktsegment") != "BUILDING").select(
+        slug.alias("slug"), F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("id"))
+    batch = c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+        slug.alias("slug"),
+        F.when(F.col("c_acctbal") < 0,
+               F.concat(F.lit("Customer#"), F.lpad((F.col("c_custkey") + 1).cast("string"), 9, "0")))
+         .otherwise(F.concat(F.lit("renamed "), F.col("c_name"))).alias("name"),
+        F.concat(F.lit("new-"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_custkey").alias("ord"))
+    return target, batch
+
+
+@query("upsert_investor", "WITH" + _INVESTOR_SQL + """
+SELECT coalesce(t.slug, ok.slug) AS slug, CASE WHEN ok.slug IS NOT NULL THEN ok.name ELSE t.name END AS name,
+       CASE WHEN t.slug IS NOT NULL THEN t.id ELSE ok.id END AS id
+FROM t FULL OUTER JOIN ok ON t.slug = ok.slug""")
+def upsert_investor(spark, sf):
+    """H3: investors by slug, name replaced; a batch name already owned by another slug is
+    rejected (unique name) instead of failing the load."""
+    target, batch = _investor_frames(spark, sf)
+    state, _rejects = H.upsert_dimension_checked(target, batch, "slug", "name", "ord", ["name"])
+    return state.select("slug", "name", "id")
+
+
+@query("upsert_investor_rejects", "WITH" + _INVESTOR_SQL + " SELECT slug, name FROM clash")
+def upsert_investor_rejects(spark, sf):
+    target, batch = _investor_frames(spark, sf)
+    return H.upsert_dimension_checked(target, batch, "slug", "name", "ord", ["name"])[1].select("slug", "name")
