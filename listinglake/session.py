@@ -63,7 +63,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for materialised intermediate tables."""
-    base = checkpoint_dir(spark)
     import uuid
-    return os.path.join(base.replace("file:", ""), f"{name}-{uuid.uuid4().hex[:12]}") \
-        if base.startswith("file:") or base.startswith("/") else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data instead of Spark's defaults: initial shuffle partitions so
+    a partition of the largest shuffle is about ``target_partition_bytes`` (AQE then
+    coalesces small ones and splits skewed ones), never fewer than 3 waves of the cluster's
+    cores; scan splits of the same size."""
+    # capped: beyond ~100k reducers the map-output bookkeeping on the driver dominates
+    partitions = min(max(3 * total_cores, -(-input_bytes // target_partition_bytes)), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # a runtime-measured side below this is broadcast by AQE; nothing larger ever is
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
