@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import truthy
+from ..sources.literals import literal_frame
 from ..functions.rules import EMPLOYER_CATEGORIES, STATUS_BUCKETS, employer_category, status_bucket
 
 
@@ -55,7 +56,7 @@ def dense_counts(df: DataFrame, category_col, categories: list[str], name: str =
     counted = df.groupBy(category_col.alias(name) if not isinstance(category_col, str) else F.col(category_col).alias(name)) \
         .agg(F.count(F.lit(1)).alias("n"))
     # the category list is a fixed literal table, bounded by the rules
-    cats = spark.createDataFrame([(c, i) for i, c in enumerate(categories)], f"{name} string, _ord int")
+    cats = literal_frame(spark, [(c, i) for i, c in enumerate(categories)], f"{name} string, _ord int")
     dense = F.broadcast(cats).join(counted, name, "left").select(
         name, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
     if total_label is None:

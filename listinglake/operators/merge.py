@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import truthy
 from ..functions.text import surrogate_id
+from ..sources.literals import literal_frame
 from .dedupe import first_wins, last_wins
 
 
@@ -146,7 +147,7 @@ def ensure_seed_companies(target: DataFrame, names: list[str], name_col: str = "
     """H7: insert the named companies that are missing (matched by name); slug = lower(name),
     description = '<name> job listings'. The seed list is a fixed literal table."""
     spark = target.sparkSession
-    seeds = spark.createDataFrame([(n,) for n in names], f"{name_col} string")
+    seeds = literal_frame(spark, [(n,) for n in names], f"{name_col} string")
     seeds = (seeds.withColumn("slug", F.lower(F.col(name_col)))
                   .withColumn("description", F.concat(F.col(name_col), F.lit(" job listings")))
                   .withColumn("id", surrogate_id("slug")))

@@ -30,6 +30,7 @@ from ..operators.topk import top_per_group
 from ..operators.validate import reject_unknown_parent, require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
 from ..session import checkpoint_dir
+from ..sources.literals import empty_frame
 from ..sources.staging import stage_portfolio
 
 # Company columns replaced by an upsert of each feed.
@@ -45,7 +46,7 @@ DEFAULT_COMPLETENESS = "COMPLETE"
 
 
 def empty_warehouse(spark: SparkSession) -> dict[str, DataFrame]:
-    return {name: spark.createDataFrame([], schema) for name, schema in SC.WAREHOUSE.items()}
+    return {name: empty_frame(spark, schema) for name, schema in SC.WAREHOUSE.items()}
 
 
 def conform(df: DataFrame, schema, extra: tuple[str, ...] = ()) -> DataFrame:

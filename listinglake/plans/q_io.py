@@ -31,14 +31,10 @@ SUPPLIER_SCHEMA = T.StructType([T.StructField("s_suppkey", T.LongType()), T.Stru
 def _landed_supplier_files(spark, sf, path):
     """Write suppliers as landed files of ≤ 10 records: even buckets as bare arrays, odd
     buckets wrapped as ``{"companies": [...]}``."""
-    s = table(spark, sf, "supplier")
-    bucket = F.floor(F.col("s_suppkey") / 10)
-    files = (s.groupBy(bucket.alias("file_key"))
-              .agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name", "s_nationkey", "s_acctbal"))).alias("recs")))
-    arr = F.to_json(F.col("recs"))
-    text = F.when(F.col("file_key") % 2 == 0, arr).otherwise(F.concat(F.lit('{"companies":'), arr, F.lit("}")))
-    files.select("file_key", text.alias("value")).repartition("file_key") \
-        .write.mode("overwrite").partitionBy("file_key").text(path)
+    s = table(spark, sf, "supplier").withColumn("file_key", F.floor(F.col("s_suppkey") / 10))
+    S.write_json_wrapped(s.filter(F.col("file_key") % 2 == 0), f"{path}/arrays", "file_key", order=["s_suppkey"])
+    S.write_json_wrapped(s.filter(F.col("file_key") % 2 == 1), f"{path}/wrapped", "file_key", wrapper="companies",
+                         order=["s_suppkey"])
 
 
 @query("json_roundtrip", """
@@ -58,16 +54,10 @@ SELECT s_suppkey, CASE WHEN s_suppkey // 10 % 2 = 0 THEN 'src_even' ELSE 'src_od
 def source_tree(spark, sf):
     """A3: two source folders (one per file shape) plus one registered folder that is missing."""
     root = scratch_path(spark, "source-tree")
-    s = table(spark, sf, "supplier")
-    bucket = F.floor(F.col("s_suppkey") / 10)
-    files = (s.groupBy(bucket.alias("file_key"))
-              .agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name", "s_nationkey", "s_acctbal"))).alias("recs")))
-    arr = F.to_json(F.col("recs"))
-    even = files.filter(F.col("file_key") % 2 == 0).select("file_key", arr.alias("value"))
-    odd = files.filter(F.col("file_key") % 2 == 1).select(
-        "file_key", F.concat(F.lit('{"companies":'), arr, F.lit("}")).alias("value"))
-    even.write.mode("overwrite").partitionBy("file_key").text(f"{root}/src_even")
-    odd.write.mode("overwrite").partitionBy("file_key").text(f"{root}/src_odd")
+    s = table(spark, sf, "supplier").withColumn("file_key", F.floor(F.col("s_suppkey") / 10))
+    S.write_json_wrapped(s.filter(F.col("file_key") % 2 == 0), f"{root}/src_even", "file_key", order=["s_suppkey"])
+    S.write_json_wrapped(s.filter(F.col("file_key") % 2 == 1), f"{root}/src_odd", "file_key", wrapper="companies",
+                         order=["s_suppkey"])
     registry = [("missing", "src_missing", "MISSING"), ("even", "src_even", "EVEN"), ("odd", "src_odd", None)]
     rows, _log = R.read_source_tree(spark, root, registry, "companies", SUPPLIER_SCHEMA, glob="*.txt", recursive=True)
     return rows.select("s_suppkey", "sourceFolder", "dataSource", "source_rank")

@@ -15,6 +15,7 @@ from ..functions.rules import SEED_EMPLOYERS
 from ..functions.text import surrogate_id
 from ..operators import joins as J
 from ..operators import merge as H
+from ..sources.literals import empty_frame
 from ..sources.readers import read_flat_jobs
 from .catalog import query, table
 from .q_joins import _URL_SQL, _job_url
@@ -267,7 +268,7 @@ def import_flat(spark, sf):
         "ord", "id", "title", "url", "companyId",
         F.date_format(F.coalesce(F.col("date"), F.to_timestamp(F.lit(AS_OF))), "yyyy-MM-dd HH:mm:ss").alias("timeStamp"),
         F.to_json(F.struct(F.col("desc").alias("description"))).alias("skills"))
-    empty = spark.createDataFrame([], T.StructType([T.StructField(c, jobs.schema[c].dataType) for c in jobs.columns]))
+    empty = empty_frame(spark, T.StructType([T.StructField(c, jobs.schema[c].dataType) for c in jobs.columns]))
     return H.insert_ignore(empty, jobs, ["url", "companyId"], ["ord"]).drop("ord")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.core import truthy
 from ..functions.text import strip_html
+from .literals import empty_frame, literal_frame
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -93,11 +94,11 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
                          .withColumn("dataSource", F.lit(data_source or folder))
                          .withColumn("source_rank", F.lit(rank)))
         log.append((key, folder, None))
-    empty = spark.createDataFrame([], schema).withColumn("file_name", F.lit(None).cast("string")) \
+    empty = empty_frame(spark, schema).withColumn("file_name", F.lit(None).cast("string")) \
         .withColumn("pos", F.lit(None).cast("int")).withColumn("sourceFolder", F.lit(None).cast("string")) \
         .withColumn("dataSource", F.lit(None).cast("string")).withColumn("source_rank", F.lit(None).cast("int"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty)
-    log_df = spark.createDataFrame(log, "source string, folder string, problem string")
+    log_df = literal_frame(spark, log, "source string, folder string, problem string")
     return rows, log_df
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import status_bucket
+from .literals import empty_frame
 
 
 def _fs(spark: SparkSession, path: str):
@@ -49,22 +50,37 @@ def read_current(spark: SparkSession, base: str, table: str, schema: T.StructTyp
     """Latest committed version of ``table`` (None, or an empty typed frame, when none)."""
     versions = list_versions(spark, base, table)
     if not versions:
-        return spark.createDataFrame([], schema) if schema is not None else None
+        return empty_frame(spark, schema) if schema is not None else None
     return spark.read.parquet(f"{base.rstrip('/')}/{table}/v={versions[-1]}")
 
 
 def reset_warehouse(spark: SparkSession, base: str, schemas: dict[str, T.StructType]) -> dict[str, int]:
     """Commit an empty typed version of every warehouse table (children and parents alike)."""
-    return {name: commit_version(spark.createDataFrame([], schema), base, name) for name, schema in schemas.items()}
+    return {name: commit_version(empty_frame(spark, schema), base, name) for name, schema in schemas.items()}
 
 
-def write_json_lines(df: DataFrame, path: str, wrapper: str | None = None) -> None:
-    """JSON sink. Without ``wrapper`` one record per line; with it each output line is
-    ``{wrapper: [records of one partition]}`` is *not* produced — records stay one per line
-    (a single wrapped array would funnel the table through one writer)."""
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """JSON Lines sink (one record per line, one file per task)."""
     df.write.mode("overwrite").json(path)
 
 
+def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None = None, order: list | None = None) -> None:
+    """Landed-style documents — one file per ``file_key`` value holding a JSON array of its
+    records (or ``{wrapper: [...]}``), records sorted by ``order``. The caller picks a file key
+    whose groups are bounded (e.g. ``id div 1000`` over unique ids): a document is built in one
+    task, exactly as a reader parses one file in one task."""
+    key = F.col(file_key) if isinstance(file_key, str) else file_key
+    cols = [c for c in df.columns if not (isinstance(file_key, str) and c == file_key)]
+    keys = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order or [])]
+    recs = F.struct(*keys, *[F.col(c) for c in cols])
+    docs = df.groupBy(key.alias("file_key")).agg(F.array_sort(F.collect_list(recs)).alias("_recs"))
+    body = F.to_json(F.transform("_recs", lambda r: F.struct(*[r[c] for c in cols])))
+    if wrapper:
+        body = F.concat(F.lit('{"' + wrapper + '":'), body, F.lit("}"))
+    docs.select("file_key", body.alias("value")).repartition("file_key") \
+        .write.mode("overwrite").partitionBy("file_key").text(path)
+
+
 def write_csv_union(df: DataFrame, path: str) -> None:
     """CSV with a header whose columns are the sorted union of keys."""
     df.select(*sorted(df.columns)).write.mode("overwrite").option("header", True).csv(path)
