@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import with_null_safe_keys
 from .positions import position_within
 
 KEY = "_key"
@@ -84,17 +85,19 @@ def duplicates_log(df: DataFrame, key, order_cols: list[str], source: str) -> Da
     """Every losing row with the winner's source and its own source.
 
     ``order_cols`` are ascending columns forming a total order (e.g. source rank, file, pos).
+    Winners come from a partial aggregate (one row per key); the join back is many-to-one on
+    NULL-safe key columns, so the aggregate's partitioning is reused by the join.
     """
     d, keys, tmp = _with_key(df, key)
+    d, nk = with_null_safe_keys(d, keys, "_dk")
     order_struct = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
-    winners = _winners(d, keys, order_struct, {"winner_source": F.col(source)})
-    joined = d.join(winners, [d[k].eqNullSafe(winners[k]) for k in keys]).select(
-        d["*"], winners["_w"])
+    winners = _winners(d, nk, order_struct, {"winner_source": F.col(source)})
+    joined = d.join(winners, nk)
     out = (joined.filter(order_struct != F.col("_w.o"))
                  .withColumn("winner_source", F.col("_w.winner_source"))
                  .withColumn("duplicate_source", F.col(source))
-                 .drop("_w"))
-    return out
+                 .drop("_w", *[c for c in nk if c.startswith("_dk")]))
+    return out.drop(KEY) if tmp else out
 
 
 def dedupe_summary(df: DataFrame, key) -> DataFrame:

@@ -108,15 +108,17 @@ def two_tier_match(staged: DataFrame, existing: DataFrame, company: str = "compa
 
 
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Children with no parent (NULL-safe key equality)."""
-    p = parents.select(F.col(parent_key).alias("_pk")).distinct()
-    return children.join(p, F.col(child_key).eqNullSafe(F.col("_pk")), "left_anti")
+    """Children with no parent (NULL-safe key equality: a missing key matches a parent
+    with a missing key)."""
+    from .keys import with_null_safe_keys
+    p, pk = with_null_safe_keys(parents.select(F.col(parent_key).alias("_pk")), ["_pk"], "_ok")
+    c, ck = with_null_safe_keys(children, [child_key], "_ok")
+    return c.join(p.select(*pk).distinct(), ck, "left_anti").drop(*[x for x in ck if x.startswith("_ok")])
 
 
 def childless(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:
     """Parents with no child (NULL-safe key equality)."""
-    c = children.select(F.col(child_key).alias("_ck")).distinct()
-    return parents.join(c, F.col(parent_key).eqNullSafe(F.col("_ck")), "left_anti")
+    return orphans(parents, children, parent_key, child_key)
 
 
 # Match-source labels and the two skip reasons of the employer resolution.
