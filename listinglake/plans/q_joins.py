@@ -12,6 +12,7 @@ from ..operators.diff import compare_snapshots, diff_counts
 from ..operators.flatten import flatten_links, zip_parallel
 from ..operators.split import company_halves, split_halves
 from ..operators.validate import audit_constraints, fk_violations, unique_violations
+from .bindings import _URL_SQL, _job_url, founders
 from .catalog import query, table
 
 
@@ -108,15 +109,6 @@ def enrich_left(spark, sf):
                          overrides={"status": ("d_status", "status"), "location": ("d_location", "location")})
 
 
-def _job_url(prefix_ok=None):
-    base = F.concat(F.lit("job/"), F.col("o_custkey").cast("string"), F.lit("/"),
-                    F.col("o_orderdate").cast("date").cast("string"))
-    return base if prefix_ok is None else F.when(prefix_ok, base).otherwise(F.lit(""))
-
-
-_URL_SQL = "'job/' || CAST(o_custkey AS VARCHAR) || '/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
-
-
 @query("two_tier_match", f"""
 WITH e AS (SELECT o_orderkey AS id, o_custkey AS companyId, {_URL_SQL} AS url, o_orderpriority AS title
            FROM orders WHERE o_orderstatus IN ('F', 'O')),
@@ -248,19 +240,6 @@ e AS (SELECT * FROM l WHERE id <> dup_of UNION ALL SELECT * FROM t WHERE id <> d
 """
 
 
-def founders(spark, sf):
-    p = table(spark, sf, "part")
-    return p.select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-        F.when(F.col("p_size") <= 10, F.lit(None).cast("string")).when(F.col("p_size") <= 15, F.lit(""))
-         .otherwise(F.concat(F.lit("linkedin.com/in/"), F.col("p_brand"), F.lit("-"), F.col("p_size").cast("string")))
-         .alias("linkedin"),
-        F.when(F.col("p_size") > 40, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("@"), F.col("p_type"), F.col("p_size").cast("string"))).alias("twitter"),
-        F.when(F.col("p_retailprice") > 1500, F.concat(F.lit("bio "), F.col("p_partkey").cast("string"))).alias("bio"),
-        F.when(F.col("p_size") <= 25, F.col("p_type")).otherwise(F.lit("")).alias("title"))
-
-
 @query("founder_pairs", _FOUNDERS_SQL + "SELECT id, dup_of, via FROM e")
 def founder_pairs(spark, sf):
     return ID.duplicate_links(founders(spark, sf))

@@ -18,7 +18,7 @@ from ..operators import merge as H
 from ..sources.literals import empty_frame
 from ..sources.readers import read_flat_jobs
 from .catalog import query, table
-from .q_joins import _URL_SQL, _job_url
+from .bindings import _URL_SQL, _job_url
 
 _COMPANY_T_SQL = """
 t AS (SELECT 'cust-' || CAST(c_custkey AS VARCHAR) AS slug, c_custkey AS id, c_name AS name, c_mktsegment AS description,

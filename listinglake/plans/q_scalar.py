@@ -8,7 +8,7 @@ from ..functions import jsonish as JS
 from ..functions import parse as P
 from ..functions import text as TX
 from .catalog import query, table
-from .q_joins import founders
+from .bindings import founders
 
 _FOUNDER_ID_SQL = """
 WITH f AS (SELECT p_partkey AS id, p_name AS name,

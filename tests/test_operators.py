@@ -143,3 +143,12 @@ def test_rewire_bridge_no_duplicates(spark):
     bridge = spark.createDataFrame([(1, 10), (2, 10), (2, 11)], "f long, c long")
     mapping = spark.createDataFrame([(2, 1)], "old_id long, new_id long")
     assert rows(J.rewire_bridge(bridge, mapping, "f", "c"), "f", "c") == [(1, 10), (1, 11)]
+
+
+def test_connected_components_long_chain_and_isolated(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "src long, dst long")
+    nodes = spark.range(0, 103)
+    comps = ID.connected_components(nodes, edges, node="id", src="src", dst="dst")
+    got = {r.id: r.component for r in comps.collect()}
+    assert all(got[i] == 0 for i in range(61))
+    assert got[100] == 100 and got[101] == 100 and got[102] == 102 and got[61] == 61
