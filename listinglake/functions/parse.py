@@ -65,12 +65,8 @@ def parse_relative_date(c, as_of) -> Column:
 
 def seniority_label(title) -> Column:
     """I4: first matching keyword's label; MID when none; NULL for a falsy title."""
-    t = F.lower(_col(title))
-    expr = None
-    for kw, label in SENIORITY_RULES:
-        expr = F.when(t.contains(kw), F.lit(label)) if expr is None else expr.when(t.contains(kw), F.lit(label))
-    expr = expr.otherwise(F.lit(DEFAULT_SENIORITY))
-    return F.when(truthy(_col(title)), expr)
+    from .rules import first_contained
+    return F.when(truthy(_col(title)), first_contained(title, SENIORITY_RULES, default=DEFAULT_SENIORITY))
 
 
 def seniority_map(title) -> Column:

@@ -46,17 +46,19 @@ STATUS_BUCKETS = ["active", "acquired", "inactive", "unknown"]
 
 
 def first_contained(c, rules: list[tuple], default=None, lower: bool = True) -> Column:
-    """First rule whose needle (or any of its needles) is contained in ``c`` wins."""
+    """First rule whose needle (or any of its needles) is contained in ``c`` wins.
+
+    The rules become one literal array of (needle, label) in rule order and the match is a
+    ``filter`` over it, so the input column is referenced once — a chain of ``CASE WHEN
+    contains(...)`` would repeat the input expression per needle, and Catalyst inlines that
+    expression into every reference (and into pushed-down filters)."""
     s = F.lower(_col(c)) if lower else _col(c)
-    expr = None
+    entries = []
     for needles, label in rules:
-        needles = (needles,) if isinstance(needles, str) else needles
-        cond = None
-        for n in needles:
-            cond = s.contains(n) if cond is None else (cond | s.contains(n))
-        cond = F.coalesce(cond, F.lit(False))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(default)) if default is not None else expr
+        for n in ((needles,) if isinstance(needles, str) else needles):
+            entries.append(F.struct(F.lit(n).alias("n"), F.lit(label).alias("l")))
+    hit = F.try_element_at(F.filter(F.array(*entries), lambda r: s.contains(r["n"])), F.lit(1))["l"]
+    return F.coalesce(hit, F.lit(default)) if default is not None else hit
 
 
 def employer_from_url(url) -> Column:
@@ -65,12 +67,10 @@ def employer_from_url(url) -> Column:
 
 
 def employer_from_name(name) -> Column:
-    """Exact case-insensitive employer name → canonical name (I14 first tier)."""
-    n = F.lower(_col(name))
-    expr = None
-    for e in SEED_EMPLOYERS:
-        expr = F.when(n == F.lit(e.lower()), F.lit(e)) if expr is None else expr.when(n == F.lit(e.lower()), F.lit(e))
-    return expr
+    """Exact case-insensitive employer name → canonical name (I14 first tier): a literal map
+    lookup."""
+    m = F.create_map(*[x for e in SEED_EMPLOYERS for x in (F.lit(e.lower()), F.lit(e))])
+    return F.try_element_at(m, F.lower(_col(name)))
 
 
 def employer_category(name) -> Column:

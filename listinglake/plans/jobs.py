@@ -248,7 +248,10 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     (16 columns), dimensions and bridges, founders last-wins by id then upserted, jobs whose
     company is unknown rejected, jobs matched two-tier and upserted, salary ranges, counts."""
     ok, rejects = require_fields(companies, ["slug", "name"])
-    ok = ok.withColumn("_ord", F.col("slug"))
+    ok = (ok.withColumn("_ord", F.col("slug"))
+            .withColumn("staffCount", or_default(F.col("staffCount"), 0, ok.schema["staffCount"].dataType))
+            .withColumn("isFeatured", to_flag(F.col("isFeatured"), ok.schema["isFeatured"].dataType))
+            .withColumn("isRemoteFriendly", to_flag(F.col("isRemoteFriendly"), ok.schema["isRemoteFriendly"].dataType)))
     company = materialize(conform(H.upsert(wh["company"], conform(ok, SC.COMPANY, ("_ord",)), "slug",
                                            YC_REPLACED, ordinal="_ord", keep=["id", "numJobs"]), SC.COMPANY))
     out = dict(wh)
