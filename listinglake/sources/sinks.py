@@ -54,6 +54,55 @@ def read_current(spark: SparkSession, base: str, table: str, schema: T.StructTyp
     return spark.read.parquet(f"{base.rstrip('/')}/{table}/v={versions[-1]}")
 
 
+def _table_name(table: str, version: int) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in f"ll_{table}_v{version}")
+
+
+def commit_bucketed(df: DataFrame, base: str, table: str, keys: list[str], buckets: int) -> int:
+    """Commit the next version bucketed (and sorted) by ``keys``, so later joins / upserts on
+    the key read it already hash-partitioned: only the other side is shuffled. The bucket
+    spec is recorded next to the data (``_bucket_spec.json``) so any session can register the
+    version again (``read_bucketed``)."""
+    import json
+    spark = df.sparkSession
+    versions = list_versions(spark, base, table)
+    v = (versions[-1] + 1) if versions else 1
+    path = f"{base.rstrip('/')}/{table}/v={v}"
+    (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+       .option("path", path).saveAsTable(_table_name(table, v)))
+    fs, p = _fs(spark, f"{path}/_bucket_spec.json")
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps({"keys": keys, "buckets": buckets, "schema": df.schema.json()}).encode()))
+    out.close()
+    return v
+
+
+def read_bucketed(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """Latest version of a bucketed table, registered with its bucket spec (no re-shuffle on
+    key joins). Falls back to a plain read for versions written without a spec."""
+    import json
+    versions = list_versions(spark, base, table)
+    if not versions:
+        return None
+    v = versions[-1]
+    path = f"{base.rstrip('/')}/{table}/v={v}"
+    fs, p = _fs(spark, f"{path}/_bucket_spec.json")
+    if not fs.exists(p):
+        return spark.read.parquet(path)
+    stream = fs.open(p)
+    raw = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    spec = json.loads(raw)
+    name = _table_name(table, v)
+    if not spark.catalog.tableExists(name):
+        schema = T.StructType.fromJson(json.loads(spec["schema"]))
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in spec["keys"])
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                  f"INTO {int(spec['buckets'])} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def reset_warehouse(spark: SparkSession, base: str, schemas: dict[str, T.StructType]) -> dict[str, int]:
     """Commit an empty typed version of every warehouse table (children and parents alike)."""
     return {name: commit_version(empty_frame(spark, schema), base, name) for name, schema in schemas.items()}

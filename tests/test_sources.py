@@ -102,3 +102,20 @@ def test_stream_insert_ignore_and_upsert_replay(spark, tmp_dir):
     L.run_available_now(reader.writeStream.foreachBatch(L.upsert_writer(base, "t", ["id"], "ts")), f"{tmp_dir}/ck2")
     got = {r.id: r.v for r in S.read_current(spark, base, "t").collect()}
     assert got == {1: "a2", 2: "b"}  # an older ordinal never overwrites
+
+
+def test_bucketed_commit_avoids_target_shuffle(spark, tmp_dir):
+    from listinglake.operators.merge import upsert
+    base = f"{tmp_dir}/wh"
+    target = spark.range(0, 2000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("slug"),
+                                         F.col("id").alias("v"))
+    v = S.commit_bucketed(target, base, "company", ["slug"], 8)
+    assert v == 1 and S.list_versions(spark, base, "company") == [1]
+    spark.sql(f"DROP TABLE IF EXISTS {S._table_name('company', 1)}")  # a new session knows nothing of it
+    t = S.read_bucketed(spark, base, "company")  # re-registered from the recorded spec
+    batch = spark.range(1990, 2010).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("slug"),
+                                           (F.col("id") * 10).alias("v"))
+    out = upsert(t, batch, "slug", ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # only the batch moves
+    assert out.count() == 2010 and out.filter("slug = 's1995'").first().v == 19950
