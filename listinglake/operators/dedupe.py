@@ -63,10 +63,10 @@ def source_rank(source_col, ordered_sources: list[str]) -> Column:
 
 
 def domain_key(domain="domain", fallback="companyDomain") -> Column:
-    """E1 key: ``domain || companyDomain`` (falsy → next)."""
+    """E1 key: ``domain || companyDomain`` — the fallback is taken as it is whenever the domain
+    is falsy (so '' stays a key of its own and a missing value is the NULL key)."""
     d = F.col(domain)
-    f = F.col(fallback)
-    return F.when(d != F.lit(""), d).when(f != F.lit(""), f)
+    return F.when(F.coalesce(d != F.lit(""), F.lit(False)), d).otherwise(F.col(fallback))
 
 
 def job_key(domain="companyDomain", title="title") -> Column:

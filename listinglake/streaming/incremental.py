@@ -4,10 +4,10 @@
   State is bounded by the watermark delay, so an id repeated later than the delay is emitted
   again (the batch form, with an unbounded unique index, would ignore it).
 * L2 — each micro-batch of newly landed files is merged into a versioned warehouse table
-  with ``foreachBatch``. The version written for batch ``b`` is ``b + 1`` and a version that
-  already exists is skipped, so a replayed batch (after a driver or executor loss) is
-  idempotent; the merge keeps the row with the greatest ordinal per key, so the final state
-  does not depend on how files were cut into batches.
+  with ``foreachBatch``. Every committed version carries a (query, batch id) marker and a
+  batch whose marker exists is skipped, so a replayed batch (after a driver or executor loss)
+  is idempotent; the merge keeps the row with the greatest ordinal per key, so the final
+  state does not depend on how files were cut into batches.
 """
 
 from __future__ import annotations
@@ -33,16 +33,25 @@ def merge_batch(current: DataFrame | None, batch: DataFrame, key: list[str], ord
     return last_wins(both, key, [ordinal])
 
 
-def upsert_writer(base: str, table: str, key: list[str], ordinal: str):
-    """``foreachBatch`` function committing ``merge(current, batch)`` as version batch_id+1."""
+def upsert_writer(base: str, table: str, key: list[str], ordinal: str, query_name: str = "stream"):
+    """``foreachBatch`` function committing ``merge(current, batch)`` as the next version of the
+    table, tagged with a marker for (query, batch id). A replayed batch whose marker already
+    exists is skipped; a crash between the commit and the marker only re-applies the batch,
+    which the greatest-ordinal merge absorbs (same state)."""
+    from ..sources.sinks import _fs, commit_version
+
     def _write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        if version in list_versions(spark, base, table):
-            return  # replay of a committed batch
+        marker = f"_batch_{query_name}_{batch_id}"
+        root = f"{base.rstrip('/')}/{table}"
+        for v in reversed(list_versions(spark, base, table)):
+            fs, p = _fs(spark, f"{root}/v={v}/{marker}")
+            if fs.exists(p):
+                return  # replay of a committed batch
         current = read_current(spark, base, table)
-        merged = merge_batch(current, batch, key, ordinal)
-        merged.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{table}/v={version}")
+        v = commit_version(merge_batch(current, batch, key, ordinal), base, table)
+        fs, p = _fs(spark, f"{root}/v={v}/{marker}")
+        fs.create(p, True).close()
     return _write
 
 

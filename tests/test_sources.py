@@ -93,9 +93,14 @@ def test_stream_insert_ignore_and_upsert_replay(spark, tmp_dir):
     L.run_available_now(reader.writeStream.foreachBatch(L.upsert_writer(base, "t", ["id"], "ts")), f"{tmp_dir}/ck2")
     got = {r.id: r.v for r in S.read_current(spark, base, "t").collect()}
     assert got == {1: "a2", 2: "b"}
-    # a replayed batch id is skipped (version already committed)
+    # a replayed batch id is skipped (its marker is already committed)
     L.upsert_writer(base, "t", ["id"], "ts")(batch1.limit(1), 0)
     assert S.list_versions(spark, base, "t") == [1]
+    # versions committed by someone else do not hide a new batch
+    other = f"{tmp_dir}/wh2"
+    S.commit_version(batch1.limit(0), other, "t")
+    L.upsert_writer(other, "t", ["id"], "ts")(batch1, 0)
+    assert S.list_versions(spark, other, "t") == [1, 2]
     batch2 = spark.createDataFrame([(2, "2023-01-01 00:00:00", "old")], "id long, ts string, v string") \
         .withColumn("ts", F.to_timestamp("ts"))
     batch2.coalesce(1).write.parquet(f"{land}/p2")
