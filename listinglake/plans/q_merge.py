@@ -315,3 +315,76 @@ def upsert_investor(spark, sf):
 def upsert_investor_rejects(spark, sf):
     target, batch = _investor_frames(spark, sf)
     return H.upsert_dimension_checked(target, batch, "slug", "name", "ord", ["name"])[1].select("slug", "name")
+
+
+def _landed_portfolio(spark, sf):
+    """customers / orders in the landed portfolio shapes (one 'file' each, ordinal = key + 1)."""
+    from .. import schemas as SC
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey").cast("string")
+    companies = c.select(
+        F.lit("customers.json").alias("file_name"), (F.col("c_custkey") + 1).cast("int").alias("pos"),
+        F.col("c_name").alias("name"), F.concat(F.lit("cust-"), k).alias("slug"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("c"), k, F.lit(".example.com"))).alias("domain"),
+        F.col("c_nationkey").alias("staffCount"),
+        F.array(F.col("c_mktsegment"), F.lit("")).alias("markets"),
+        F.array(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"))).alias("officeLocations"),
+        F.lit("TPC").alias("dataSource"))
+    for f in SC.PORTFOLIO_COMPANY.fields:
+        if f.name not in companies.columns:
+            companies = companies.withColumn(f.name, F.lit(None).cast(f.dataType))
+    o = table(spark, sf, "orders")
+    jobs = o.select(
+        F.lit("orders.json").alias("file_name"), (F.col("o_orderkey") + 1).cast("int").alias("pos"),
+        F.col("o_orderpriority").alias("title"), F.concat(F.lit("cust-"), F.col("o_custkey").cast("string")).alias("companySlug"),
+        F.concat(F.lit("job/"), F.col("o_orderkey").cast("string")).alias("url"),
+        F.array(F.col("o_orderstatus")).alias("locations"),
+        F.struct(F.col("o_totalprice").cast("string").alias("minValue"), F.lit(None).cast("string").alias("maxValue"),
+                 F.lit("USD").alias("currency"), F.lit("yearly").alias("period")).alias("salary"))
+    for f in SC.PORTFOLIO_JOB.fields:
+        if f.name not in jobs.columns:
+            jobs = jobs.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return companies, jobs
+
+
+def _portfolio_state(spark, sf):
+    from . import jobs as K
+    companies, jobs = _landed_portfolio(spark, sf)
+    wh, _ = K.load_portfolio(K.empty_warehouse(spark), companies, jobs, mode="upsert")
+    return wh
+
+
+@query("portfolio_company_state", """
+WITH j AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders GROUP BY o_custkey)
+SELECT 'cust-' || CAST(c_custkey AS VARCHAR) AS slug, nullif(c_nationkey, 0) AS staffCount,
+       CAST(coalesce(j.n, 0) AS BIGINT) AS numJobs,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN 'c' || CAST(c_custkey AS VARCHAR) || '.example.com' END AS domain,
+       c_mktsegment AS market, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS office
+FROM customer LEFT JOIN j ON j.o_custkey = c_custkey""")
+def portfolio_company_state(spark, sf):
+    """K2 (staging → company upsert → dimensions / bridges → jobs → counts) over the whole
+    customer / orders tables: the company table with its market and office links."""
+    wh = _portfolio_state(spark, sf)
+    c = wh["company"].select("id", "slug", "staffCount", "numJobs", "domain")
+    m = wh["company_market"].join(wh["market"].select(F.col("id").alias("marketId"), F.col("name").alias("market")),
+                                  "marketId").select(F.col("companyId").alias("id"), "market")
+    off = wh["company_office"].join(wh["office"].select(F.col("id").alias("officeId"), F.col("location").alias("office")),
+                                    "officeId").select(F.col("companyId").alias("id"), "office")
+    return c.join(m, "id", "left").join(off, "id", "left").drop("id")
+
+
+@query("portfolio_job_state", """
+WITH last AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey DESC) = 1)
+SELECT 'cust-' || CAST(o_custkey AS VARCHAR) AS slug, o_orderpriority AS title, 'job/' || CAST(o_orderkey AS VARCHAR) AS url,
+       o_totalprice AS minValue, o_orderstatus AS office FROM last""")
+def portfolio_job_state(spark, sf):
+    """K2 jobs: one job per (company, title), the last staged row wins; its salary range and
+    office link attach through the staging ordinal."""
+    wh = _portfolio_state(spark, sf)
+    c = wh["company"].select(F.col("id").alias("companyId"), "slug")
+    j = wh["job"].select(F.col("id").alias("jobId"), "companyId", "title", "url")
+    sal = wh["salary_range"].select("jobId", "minValue")
+    off = wh["job_office"].join(wh["office"].select(F.col("id").alias("officeId"), F.col("location").alias("office")),
+                                "officeId").select("jobId", "office")
+    return j.join(c, "companyId").join(sal, "jobId", "left").join(off, "jobId", "left") \
+        .select("slug", "title", "url", "minValue", "office")
