@@ -222,6 +222,7 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
     postings = flatten_jobs(companies, "jobPostings", {"companyId": "id", "companyName": "name", "companySlug": "slug"})
     jobs = postings.select(
         TX.surrogate_id("companySlug", "posting_pos", "url").alias("id"), "companyId", "companyName", "companySlug",
+        "posting_pos",
         "title", or_null(F.col("applyUrl")).alias("applyUrl"), TX.absolutise(F.col("url"), YC_BASE_URL).alias("url"),
         P.job_flags("location", "title", "type")["remote"].alias("remote"), F.lit(False).alias("hybrid"),
         P.parse_relative_date(F.col("createdAt"), as_of).alias("timeStamp"),
@@ -289,7 +290,7 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     # jobs: resolve the company against the warehouse, reject unknown ones
     known, unknown = reject_unknown_parent(jobs, company, "companySlug", "slug", "unknown company")
     staged = known.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
-                                          "companySlug").withColumn("ordinal", F.struct("companySlug", "id"))
+                                          "companySlug").withColumn("ordinal", F.struct("companySlug", "posting_pos"))
     job_src = conform(staged, SC.JOB, ("ordinal",))
     job = materialize(conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
                                             replace=[c for c in SC.JOB.names if c not in ("id", "companyId")]), SC.JOB))
