@@ -102,3 +102,14 @@ def total_children(df: DataFrame, array_col: str, flag_col: str | None = None) -
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of a column."""
     return df.select(col).distinct()
+
+
+def children_summary(df: DataFrame, count_col: str, flag_col: str | None = None) -> DataFrame:
+    """D9 over a per-parent count column (the sampler's summary, B10): parents, Σ children,
+    parents with ≥ 1 child, flagged parents."""
+    n = F.col(count_col)
+    aggs = [F.count(F.lit(1)).alias("parents"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("children"),
+            F.count_if(n > 0).alias("with_children")]
+    if flag_col:
+        aggs.append(F.count_if(F.coalesce(F.col(flag_col), F.lit(False))).alias("flagged"))
+    return df.agg(*aggs)

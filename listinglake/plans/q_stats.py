@@ -281,3 +281,22 @@ def sample_companies(spark, sf):
 @query("preview", "SELECT s_suppkey, s_name, s_nationkey FROM supplier ORDER BY s_suppkey LIMIT 5")
 def preview_q(spark, sf):
     return preview(table(spark, sf, "supplier"), "s_suppkey", ["s_suppkey", "s_name", "s_nationkey"], 5)
+
+
+@query("sample_summary", """
+WITH s AS (SELECT c_custkey, c_mktsegment FROM customer
+           ORDER BY sha256(CAST(c_custkey AS VARCHAR) || 'seed42'), c_custkey LIMIT 25),
+oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+SELECT count(*) AS parents, CAST(coalesce(sum(coalesce(oc.n, 0)), 0) AS BIGINT) AS children,
+       count_if(coalesce(oc.n, 0) > 0) AS with_children, count_if(s.c_mktsegment = 'BUILDING') AS flagged
+FROM s LEFT JOIN oc ON oc.o_custkey = s.c_custkey""")
+def sample_summary(spark, sf):
+    """B10 + D9: the seeded sample of companies and the summary of their jobs."""
+    sample = B.sample_companies(table(spark, sf, "customer"), 25, "seed42", key="c_custkey") \
+        .select("c_custkey", (F.col("c_mktsegment") == "BUILDING").alias("flag"))
+    # the sample holds at most 25 rows (a limit), so broadcasting its keys is bounded; only the
+    # sampled companies' jobs reach the aggregate
+    jobs = table(spark, sf, "orders").join(F.broadcast(sample.select(F.col("c_custkey").alias("o_custkey"))),
+                                           "o_custkey", "left_semi")
+    counted = A.refresh_num_jobs(sample, jobs, company_id="c_custkey", job_company="o_custkey")
+    return A.children_summary(counted, "numJobs", "flag")
