@@ -76,13 +76,15 @@ def _dedupe_union(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------------------------- K1
 def consolidate_portfolio(spark: SparkSession, root: str, company_registry: list, job_registry: list,
-                          top_k: int = 10) -> dict[str, DataFrame]:
+                          top_k: int = 10, file_order: str = "file_name", glob: str = "*.json",
+                          recursive: bool = False) -> dict[str, DataFrame]:
     """K1: read the per-source company and job folders in their declared orders (the two
     orders differ), first-wins dedupe with duplicate logs and summaries, profiling, top-k and
-    the half split."""
-    companies, clog = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY)
-    jobs, jlog = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB)
-    order = ["source_rank", "file_name", "pos"]
+    the half split. Inside a source, files are taken in ``file_order`` (name, or full path
+    for nested layouts), records in file position."""
+    companies, clog = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY, glob, recursive)
+    jobs, jlog = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB, glob, recursive)
+    order = ["source_rank", file_order, "pos"]
     ckey, jkey = D.domain_key(), D.job_key("companyDomain", "title")
     uc = D.first_wins(companies, ckey, order).withColumn("company_key", D.domain_key())
     uj = D.first_wins(jobs, jkey, order)

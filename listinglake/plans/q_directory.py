@@ -123,3 +123,57 @@ def directory_job_state(spark, sf):
     return (j.join(c, "companyId").join(sal, "jobId", "left")
              .select("slug", "title", "url", "remote", "manager", "contractor", "minYearsExp", "minValue",
                      seniority.alias("seniority")))
+
+
+# Declared job-source order of the consolidation query (one folder per order priority digit,
+# deliberately not alphabetical) and one registered folder that does not exist.
+_JOB_REGISTRY = [("p2", "folder=p2", "HIGH"), ("p1", "folder=p1", "URGENT"), ("p9", "folder=p9", "MISSING"),
+                 ("p3", "folder=p3", None), ("p5", "folder=p5", "LOW"), ("p4", "folder=p4", None)]
+
+
+def _landed_job_tree(spark, sf, root):
+    """orders landed as per-source job files of ≤ 1000 records (keys are unique): even file
+    keys as bare arrays, odd ones as ``{"jobs": [...]}`` — one write job."""
+    from ..sources.sinks import write_json_wrapped
+    o = table(spark, sf, "orders")
+    rec = o.select(
+        F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1)).alias("folder"),
+        F.floor(F.col("o_orderkey") / 1000).alias("file_key"), F.col("o_orderkey"),
+        F.col("o_orderstatus").alias("title"), F.concat(F.lit("cust-"), F.col("o_custkey").cast("string")).alias("companySlug"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit(".com")).alias("companyDomain"),
+        F.concat(F.lit("job/"), F.col("o_orderkey").cast("string")).alias("url"))
+    write_json_wrapped(rec, root, "file_key", wrapper="jobs", order=["o_orderkey"], folders=["folder"],
+                       wrap_when=F.col("file_key") % 2 == 1)
+
+
+@query("portfolio_consolidated_jobs", """
+WITH j AS (SELECT o_orderkey, 'p' || substr(o_orderpriority, 1, 1) AS folder, o_orderstatus AS title,
+                  'C' || CAST(o_custkey AS VARCHAR) || '.com' AS companyDomain, 'job/' || CAST(o_orderkey AS VARCHAR) AS url,
+                  'file_key=' || CAST(o_orderkey // 1000 AS VARCHAR) AS f
+           FROM orders),
+r AS (SELECT *, CASE folder WHEN 'p2' THEN 0 WHEN 'p1' THEN 1 WHEN 'p3' THEN 3 WHEN 'p5' THEN 4 WHEN 'p4' THEN 5 END AS source_rank
+      FROM j)
+SELECT companyDomain, title, 'folder=' || folder AS sourceFolder, url FROM r
+QUALIFY row_number() OVER (PARTITION BY lower(companyDomain || '_' || title) ORDER BY source_rank, f, o_orderkey) = 1""")
+def portfolio_consolidated_jobs(spark, sf):
+    """K1 over the whole orders table landed as per-source job files: declared source order,
+    then file path, then position in the file; the first row per lower(domain_title) wins."""
+    from ..session import scratch_path
+    from . import jobs as K
+    root = scratch_path(spark, "landed-jobs")
+    _landed_job_tree(spark, sf, root)
+    out = K.consolidate_portfolio(spark, root, [], _JOB_REGISTRY, file_order="file_path", glob="*.txt", recursive=True)
+    return out["jobs"].select("companyDomain", "title", "sourceFolder", "url")
+
+
+@query("portfolio_consolidated_summary", """
+WITH j AS (SELECT lower('C' || CAST(o_custkey AS VARCHAR) || '.com' || '_' || o_orderstatus) AS k FROM orders)
+SELECT count(*) AS processed, count(DISTINCT k) AS "unique", count(*) - count(DISTINCT k) AS duplicates FROM j""")
+def portfolio_consolidated_summary(spark, sf):
+    """K1 dedupe summary (D5) over the landed job tree."""
+    from ..session import scratch_path
+    from . import jobs as K
+    root = scratch_path(spark, "landed-jobs")
+    _landed_job_tree(spark, sf, root)
+    return K.consolidate_portfolio(spark, root, [], _JOB_REGISTRY, file_order="file_path", glob="*.txt",
+                                   recursive=True)["job_summary"]

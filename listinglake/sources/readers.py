@@ -28,10 +28,11 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = False) -> DataFrame:
-    """Every matching file as one row ``(file_name, value)``."""
+    """Every matching file as one row ``(file_name, file_path, value)``."""
     return (spark.read.option("wholetext", True).option("pathGlobFilter", glob)
                  .option("recursiveFileLookup", recursive).text(path)
-                 .select(F.col("_metadata.file_name").alias("file_name"), F.col("value")))
+                 .select(F.col("_metadata.file_name").alias("file_name"),
+                         F.col("_metadata.file_path").alias("file_path"), F.col("value")))
 
 
 def read_wrapped_json(spark: SparkSession, path: str, wrapper: str, schema: T.StructType,
@@ -47,11 +48,11 @@ def read_wrapped_json(spark: SparkSession, path: str, wrapper: str, schema: T.St
     # from_json is permissive (a broken document can come back as a struct of NULLs), so
     # validity is decided by a JSON scan of the document itself
     valid = F.when(is_array, F.json_array_length(v).isNotNull()).otherwise(F.json_object_keys(v).isNotNull())
-    parsed = docs.select("file_name", is_array.alias("_is_array"),
+    parsed = docs.select("file_name", "file_path", is_array.alias("_is_array"),
                          F.when(is_array, as_array).otherwise(as_wrapped[wrapper]).alias("_arr"),
                          F.coalesce(valid, F.lit(False)).alias("_ok"))
-    rows = (parsed.filter("_ok").select("file_name", F.posexplode(F.col("_arr")).alias("_p", "_r"))
-                  .select("file_name", (F.col("_p") + 1).alias("pos"), "_r.*"))
+    rows = (parsed.filter("_ok").select("file_name", "file_path", F.posexplode(F.col("_arr")).alias("_p", "_r"))
+                  .select("file_name", "file_path", (F.col("_p") + 1).alias("pos"), "_r.*"))
     errors = parsed.filter(~F.col("_ok")).select("file_name", F.lit("unreadable JSON").alias("reason"))
     return rows, errors
 
@@ -95,6 +96,7 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
                          .withColumn("source_rank", F.lit(rank)))
         log.append((key, folder, None))
     empty = empty_frame(spark, schema).withColumn("file_name", F.lit(None).cast("string")) \
+        .withColumn("file_path", F.lit(None).cast("string")) \
         .withColumn("pos", F.lit(None).cast("int")).withColumn("sourceFolder", F.lit(None).cast("string")) \
         .withColumn("dataSource", F.lit(None).cast("string")).withColumn("source_rank", F.lit(None).cast("int"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty)

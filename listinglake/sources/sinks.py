@@ -113,21 +113,28 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None = None, order: list | None = None) -> None:
-    """Landed-style documents — one file per ``file_key`` value holding a JSON array of its
-    records (or ``{wrapper: [...]}``), records sorted by ``order``. The caller picks a file key
-    whose groups are bounded (e.g. ``id div 1000`` over unique ids): a document is built in one
-    task, exactly as a reader parses one file in one task."""
+def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None = None, order: list | None = None,
+                       folders: list[str] | None = None, wrap_when=None) -> None:
+    """Landed-style documents — one file per ``file_key`` value (inside ``folders``
+    partition folders, if given) holding a JSON array of its records, or
+    ``{wrapper: [...]}`` (for every file, or only where the ``wrap_when`` condition over the
+    grouping columns holds), records sorted by ``order``. The caller picks a file key whose
+    groups are bounded (e.g. ``id div 1000`` over unique ids): a document is built in one task,
+    exactly as a reader parses one file in one task. One write job for all folders."""
+    folders = folders or []
     key = F.col(file_key) if isinstance(file_key, str) else file_key
-    cols = [c for c in df.columns if not (isinstance(file_key, str) and c == file_key)]
+    skip = set(folders) | ({file_key} if isinstance(file_key, str) else set())
+    cols = [c for c in df.columns if c not in skip]
     keys = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order or [])]
     recs = F.struct(*keys, *[F.col(c) for c in cols])
-    docs = df.groupBy(key.alias("file_key")).agg(F.array_sort(F.collect_list(recs)).alias("_recs"))
+    docs = df.groupBy(*[F.col(f) for f in folders], key.alias("file_key")) \
+        .agg(F.array_sort(F.collect_list(recs)).alias("_recs"))
     body = F.to_json(F.transform("_recs", lambda r: F.struct(*[r[c] for c in cols])))
     if wrapper:
-        body = F.concat(F.lit('{"' + wrapper + '":'), body, F.lit("}"))
-    docs.select("file_key", body.alias("value")).repartition("file_key") \
-        .write.mode("overwrite").partitionBy("file_key").text(path)
+        wrapped = F.concat(F.lit('{"' + wrapper + '":'), body, F.lit("}"))
+        body = wrapped if wrap_when is None else F.when(wrap_when, wrapped).otherwise(body)
+    docs.select(*folders, "file_key", body.alias("value")).repartition(*folders, "file_key") \
+        .write.mode("overwrite").partitionBy(*folders, "file_key").text(path)
 
 
 def write_csv_union(df: DataFrame, path: str) -> None:
