@@ -16,8 +16,10 @@ def _schema(schema) -> T.StructType:
 
 
 def empty_frame(spark: SparkSession, schema) -> DataFrame:
+    """A typed empty table that Catalyst knows is empty (a ``false`` filter folds to an empty
+    local relation), so joins and unions with it are simplified away instead of planned."""
     s = _schema(schema)
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in s.fields])
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in s.fields]).where(F.lit(False))
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
