@@ -365,3 +365,30 @@ def unify(wh: dict[str, DataFrame], portfolio: tuple[DataFrame, DataFrame] | Non
         wh, _ = load_directory(wh, directory[0], directory[1])
         wh = materialize_all(wh)
     return wh
+
+
+# ---------------------------------------------------------------------------- commit / load
+# Bucketing keys of the warehouse tables: the keys later loads join and upsert on.
+BUCKET_KEYS = {
+    "company": ["slug"], "market": ["name"], "stage": ["name"], "office": ["location"], "investor": ["slug"],
+    "founder": ["id"], "company_market": ["companyId"], "company_stage": ["companyId"],
+    "company_office": ["companyId"], "company_investor": ["companyId"], "company_founder": ["companyId"],
+    "job": ["companyId"], "job_office": ["jobId"], "salary_range": ["jobId"],
+}
+
+
+def commit_warehouse(wh: dict[str, DataFrame], base: str, buckets: int) -> dict[str, int]:
+    """Commit every table of a warehouse state as its next version, bucketed by its join key
+    (``sources.sinks.commit_bucketed``); returns the version numbers."""
+    from ..sources.sinks import commit_bucketed
+    return {name: commit_bucketed(df, base, name, BUCKET_KEYS[name], buckets) for name, df in wh.items()}
+
+
+def load_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The current version of every warehouse table (empty typed tables where none exists)."""
+    from ..sources.sinks import read_bucketed
+    out = {}
+    for name, schema in SC.WAREHOUSE.items():
+        df = read_bucketed(spark, base, name)
+        out[name] = df if df is not None else empty_frame(spark, schema)
+    return out

@@ -184,3 +184,15 @@ def test_load_flat_feed_and_unify(spark, tmp_dir):
     slugs = {r.slug for r in all_wh["company"].collect()}
     assert {"acme", "beta", "gamma", "zeta", "amazon"} <= slugs
     assert all_wh["company"].filter(F.col("slug") == "acme").count() == 1
+
+
+def test_commit_and_reload_warehouse(spark, tmp_dir):
+    creg, jreg = portfolio_tree(tmp_dir + "/landing")
+    k1 = K.consolidate_portfolio(spark, tmp_dir + "/landing", creg, jreg)
+    wh, _ = K.load_portfolio(K.empty_warehouse(spark), k1["companies"], k1["jobs"])
+    versions = K.commit_warehouse(wh, tmp_dir + "/wh", buckets=4)
+    assert set(versions.values()) == {1}
+    back = K.load_warehouse(spark, tmp_dir + "/wh")
+    assert back["company"].count() == 3 and back["job"].count() == 3
+    wh2, _ = K.load_portfolio(back, k1["companies"], k1["jobs"])
+    assert sorted(map(str, wh2["job"].collect())) == sorted(map(str, wh["job"].collect()))
