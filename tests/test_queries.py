@@ -49,3 +49,15 @@ def test_first_wins_limits_before_shuffle(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and df.columns == ["companyDomain", "n"]
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = E.queries()["audit_constraints"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in plan
+    plan = E.queries()["keyword_search"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = E.queries()["num_jobs_refresh"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)" in plan
