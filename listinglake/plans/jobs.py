@@ -52,10 +52,10 @@ def empty_warehouse(spark: SparkSession) -> dict[str, DataFrame]:
 def conform(df: DataFrame, schema, extra: tuple[str, ...] = ()) -> DataFrame:
     """Select / cast to a warehouse schema; missing columns become NULL; ``extra`` columns are
     carried along unchanged."""
-    cols = []
-    for f in schema.fields:
-        cols.append((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name))
-    return df.select(*cols, *[F.col(c) for c in extra])
+    have = set(df.columns)
+    exprs = [f"CAST({'`' + f.name + '`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+             for f in schema.fields]
+    return df.selectExpr(*exprs, *[f"`{c}`" for c in extra])  # one call, however wide the table
 
 
 def materialize(df: DataFrame) -> DataFrame:

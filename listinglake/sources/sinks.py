@@ -54,8 +54,12 @@ def read_current(spark: SparkSession, base: str, table: str, schema: T.StructTyp
     return spark.read.parquet(f"{base.rstrip('/')}/{table}/v={versions[-1]}")
 
 
-def _table_name(table: str, version: int) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in f"ll_{table}_v{version}")
+def _table_name(table: str, version: int, base: str = "") -> str:
+    """Catalog name of one committed version; the warehouse location is part of it, so two
+    warehouses never share a name."""
+    import hashlib
+    tag = hashlib.sha1(base.rstrip("/").encode()).hexdigest()[:10]
+    return "".join(ch if ch.isalnum() else "_" for ch in f"ll_{tag}_{table}_v{version}")
 
 
 def commit_bucketed(df: DataFrame, base: str, table: str, keys: list[str], buckets: int) -> int:
@@ -69,7 +73,7 @@ def commit_bucketed(df: DataFrame, base: str, table: str, keys: list[str], bucke
     v = (versions[-1] + 1) if versions else 1
     path = f"{base.rstrip('/')}/{table}/v={v}"
     (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-       .option("path", path).saveAsTable(_table_name(table, v)))
+       .option("path", path).saveAsTable(_table_name(table, v, base)))
     fs, p = _fs(spark, f"{path}/_bucket_spec.json")
     out = fs.create(p, True)
     out.write(bytearray(json.dumps({"keys": keys, "buckets": buckets, "schema": df.schema.json()}).encode()))
@@ -93,7 +97,7 @@ def read_bucketed(spark: SparkSession, base: str, table: str) -> DataFrame | Non
     raw = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     stream.close()
     spec = json.loads(raw)
-    name = _table_name(table, v)
+    name = _table_name(table, v, base)
     if not spark.catalog.tableExists(name):
         schema = T.StructType.fromJson(json.loads(spec["schema"]))
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -116,7 +116,7 @@ def test_bucketed_commit_avoids_target_shuffle(spark, tmp_dir):
                                          F.col("id").alias("v"))
     v = S.commit_bucketed(target, base, "company", ["slug"], 8)
     assert v == 1 and S.list_versions(spark, base, "company") == [1]
-    spark.sql(f"DROP TABLE IF EXISTS {S._table_name('company', 1)}")  # a new session knows nothing of it
+    spark.sql(f"DROP TABLE IF EXISTS {S._table_name('company', 1, base)}")  # a new session knows nothing of it
     t = S.read_bucketed(spark, base, "company")  # re-registered from the recorded spec
     batch = spark.range(1990, 2010).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("slug"),
                                            (F.col("id") * 10).alias("v"))
