@@ -152,3 +152,12 @@ def test_connected_components_long_chain_and_isolated(spark):
     got = {r.id: r.component for r in comps.collect()}
     assert all(got[i] == 0 for i in range(61))
     assert got[100] == 100 and got[101] == 100 and got[102] == 102 and got[61] == 61
+
+
+def test_orphans_null_safe_keys(spark):
+    jobs = spark.createDataFrame([(1, "a.com"), (2, None), (3, "x.com")], "j int, d string")
+    comps = spark.createDataFrame([("a.com",), (None,)], "d string")
+    assert rows(J.orphans(jobs, comps, "d", "d"), "j") == [(3,)]
+    comps2 = spark.createDataFrame([("a.com",), ("b.com",)], "d string")
+    assert rows(J.orphans(jobs, comps2, "d", "d"), "j") == [(2,), (3,)]
+    assert rows(J.childless(comps2, jobs, "d", "d"), "d") == [("b.com",)]
