@@ -78,7 +78,7 @@ def upsert_dimension_checked(target: DataFrame, src: DataFrame, key: str, name:
 
 
 def collapse_batch_jobs(staged: DataFrame, company: str, url: str, title: str, ordinal: str) -> DataFrame:
-    """YC batch collapse: last ordinal wins per (company, truthy url), then per (company, title)."""
+    """Directory-feed batch collapse: last ordinal wins per (company, truthy url), then per (company, title)."""
     has_url = truthy(F.col(url))
     with_url = last_wins(staged.filter(has_url), [company, url], [ordinal])
     step1 = with_url.unionByName(staged.filter(~has_url))

@@ -34,14 +34,14 @@ from ..sources.literals import empty_frame
 from ..sources.staging import stage_portfolio
 
 # Company columns replaced by an upsert of each feed.
-VC_REPLACED = ["name", "description", "domain", "emailDomains", "staffCount", "isFeatured", "isRemoteFriendly",
+PORTFOLIO_REPLACED = ["name", "description", "domain", "emailDomains", "staffCount", "isFeatured", "isRemoteFriendly",
                "logos", "website", "parentSlugs", "parents", "dataSource"]
-YC_REPLACED = VC_REPLACED[:-1] + ["oneLiner", "foundedAt", "batchInfo", "status", "dataSource"]
+DIRECTORY_REPLACED = PORTFOLIO_REPLACED[:-1] + ["oneLiner", "foundedAt", "batchInfo", "status", "dataSource"]
 FOUNDER_REPLACED = ["name", "title", "bio", "twitter", "linkedin", "website"]
 # Feed labels and the directory's public base URL.
-YC_SOURCE = "YC"
+DIRECTORY_SOURCE = "YC"
 FLAT_SOURCE = "SQLITE_IMPORT"
-YC_BASE_URL = "https://www.ycombinator.com"
+DIRECTORY_BASE_URL = "https://www.ycombinator.com"
 DEFAULT_COMPLETENESS = "COMPLETE"
 
 
@@ -115,7 +115,7 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     src = st["company"].withColumn("id", TX.surrogate_id("slug"))
     comp_src = conform(src, SC.COMPANY, ("_ord",))
     if mode == "upsert":
-        company = H.upsert(wh["company"], comp_src, "slug", VC_REPLACED, ordinal="_ord", keep=["id", "numJobs"])
+        company = H.upsert(wh["company"], comp_src, "slug", PORTFOLIO_REPLACED, ordinal="_ord", keep=["id", "numJobs"])
     elif mode == "insert":
         company = H.insert_ignore(wh["company"], comp_src, ["slug"], ["_ord"])
     else:
@@ -213,7 +213,7 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
         F.array().cast("array<string>").alias("parentSlugs"), F.array().cast("array<string>").alias("parents"),
         or_null(F.col("one_liner")).alias("oneLiner"),
         P.epoch_seconds_to_ts(F.col("launched_at")).alias("foundedAt"), or_null(F.col("batch")).alias("batchInfo"),
-        or_null(F.col("status")).alias("status"), F.lit(YC_SOURCE).alias("dataSource"),
+        or_null(F.col("status")).alias("status"), F.lit(DIRECTORY_SOURCE).alias("dataSource"),
         JS.pick_links(F.col("social_links")).alias("socialLinks"),
         F.transform(F.col("founders"), lambda f: f).alias("founders"),
         concat_arrays("industries", "tags").alias("markets"),
@@ -225,7 +225,7 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
     jobs = postings.select(
         TX.surrogate_id("companySlug", "posting_pos", "url").alias("id"), "companyId", "companyName", "companySlug",
         "posting_pos",
-        "title", or_null(F.col("applyUrl")).alias("applyUrl"), TX.absolutise(F.col("url"), YC_BASE_URL).alias("url"),
+        "title", or_null(F.col("applyUrl")).alias("applyUrl"), TX.absolutise(F.col("url"), DIRECTORY_BASE_URL).alias("url"),
         P.job_flags("location", "title", "type")["remote"].alias("remote"), F.lit(False).alias("hybrid"),
         P.parse_relative_date(F.col("createdAt"), as_of).alias("timeStamp"),
         P.job_flags("location", "title", "type")["manager"].alias("manager"), F.lit(False).alias("consultant"),
@@ -237,7 +237,7 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
         F.to_json(P.flag_map(F.col("roleSpecificType"))).alias("jobFunctions"),
         F.to_json(P.seniority_map(F.col("title"))).alias("jobSeniorities"),
         or_null(F.col("equityRange")).alias("equityRange"), or_null(F.col("roleSpecificType")).alias("roleSpecificType"),
-        F.lit(YC_SOURCE).alias("dataSource"), F.lit(DEFAULT_COMPLETENESS).alias("dataCompleteness"),
+        F.lit(DIRECTORY_SOURCE).alias("dataSource"), F.lit(DEFAULT_COMPLETENESS).alias("dataCompleteness"),
         F.when(truthy(F.col("location")), F.array(F.col("location"))).otherwise(F.array().cast("array<string>"))
          .alias("offices"),
         P.parse_salary(F.col("salaryRange")).alias("salaryRange"))
@@ -256,7 +256,7 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
             .withColumn("isFeatured", to_flag(F.col("isFeatured"), ok.schema["isFeatured"].dataType))
             .withColumn("isRemoteFriendly", to_flag(F.col("isRemoteFriendly"), ok.schema["isRemoteFriendly"].dataType)))
     company = materialize(conform(H.upsert(wh["company"], conform(ok, SC.COMPANY, ("_ord",)), "slug",
-                                           YC_REPLACED, ordinal="_ord", keep=["id", "numJobs"]), SC.COMPANY))
+                                           DIRECTORY_REPLACED, ordinal="_ord", keep=["id", "numJobs"]), SC.COMPANY))
     out = dict(wh)
     out["company"] = company
     staged_m = flatten_links(ok, "slug", "markets").withColumnRenamed("slug", "company_slug")
