@@ -24,16 +24,24 @@ def split_by_has_jobs(df: DataFrame, count_col: str = "numJobs") -> tuple[DataFr
     return df.filter(F.col(count_col) > 0), df.filter(F.col(count_col) == 0)
 
 
-def _like_escape_free(token: str) -> str:
-    return "%" + token + "%"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def ascii_fold(c):
+    """ASCII-only lower-casing (the source store's LIKE folds only A–Z)."""
+    return F.translate(F.col(c) if isinstance(c, str) else c, _UPPER, _LOWER)
 
 
 def keyword_predicate(query: str, cols: list[str] | None = None):
-    """B8 predicate: split the query on single spaces; every token must occur (ILIKE, so '%'
-    and '_' inside a token stay wildcards, as in the source store) in one of ``cols``."""
+    """B8 predicate: split the query on single spaces; every token must occur in one of
+    ``cols`` under LIKE semantics — ASCII-case-insensitive, '%' and '_' inside a token stay
+    wildcards, an empty token matches any non-NULL value."""
     cols = cols or ["desc"]
     tokens = query.split(" ")
-    per_token = [reduce(lambda a, b: a | b, [F.col(c).ilike(_like_escape_free(t)) for c in cols]) for t in tokens]
+    folded = {c: ascii_fold(c) for c in cols}
+    per_token = [reduce(lambda a, b: a | b, [folded[c].like("%" + t.translate(str.maketrans(_UPPER, _LOWER)) + "%")
+                                            for c in cols]) for t in tokens]
     return reduce(lambda a, b: a & b, per_token)
 
 

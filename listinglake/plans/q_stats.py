@@ -267,9 +267,12 @@ def company_index(spark, sf):
     return B.project_company_index(counted)
 
 
-@query("keyword_search", "SELECT doc_id FROM documents WHERE text ILIKE '%the%' AND text ILIKE '%and%'")
+@query("keyword_search", """
+SELECT doc_id FROM documents
+WHERE translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%the%'
+  AND translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%and%'""")
 def keyword_search(spark, sf):
-    return B.search_all_keywords(table(spark, sf, "documents"), "the and", ["text"]).select("doc_id")
+    return B.search_all_keywords(table(spark, sf, "documents"), "The and", ["text"]).select("doc_id")
 
 
 @query("sample_companies", """

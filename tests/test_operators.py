@@ -161,3 +161,14 @@ def test_orphans_null_safe_keys(spark):
     comps2 = spark.createDataFrame([("a.com",), ("b.com",)], "d string")
     assert rows(J.orphans(jobs, comps2, "d", "d"), "j") == [(2,), (3,)]
     assert rows(J.childless(comps2, jobs, "d", "d"), "d") == [("b.com",)]
+
+
+def test_keyword_search_like_semantics(spark):
+    from listinglake.operators.filters import search_all_keywords
+    df = spark.createDataFrame([(1, "Senior DATA engineer"), (2, "dataKing"), (3, "a_b c"), (4, None), (5, "")],
+                               "i int, desc string")
+    assert rows(search_all_keywords(df, "data Engineer"), "i") == [(1,)]
+    assert rows(search_all_keywords(df, "datak"), "i") == []          # only A–Z fold (KELVIN SIGN stays)
+    assert rows(search_all_keywords(df, "a_b"), "i") == [(3,)]       # '_' is a one-character wildcard
+    assert rows(search_all_keywords(df, "a%c"), "i") == [(3,)]       # '%' spans
+    assert rows(search_all_keywords(df, ""), "i") == [(1,), (2,), (3,), (5,)]  # empty token: any non-NULL
