@@ -24,24 +24,23 @@ def split_by_has_jobs(df: DataFrame, count_col: str = "numJobs") -> tuple[DataFr
     return df.filter(F.col(count_col) > 0), df.filter(F.col(count_col) == 0)
 
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = "abcdefghijklmnopqrstuvwxyz"
-
-
-def ascii_fold(c):
-    """ASCII-only lower-casing (the source store's LIKE folds only A–Z)."""
-    return F.translate(F.col(c) if isinstance(c, str) else c, _UPPER, _LOWER)
+def like_token_regex(token: str) -> str:
+    """A LIKE token as a Java regex found anywhere in the text: ``%`` → any run, ``_`` → any one
+    character, everything else literal. ``(?i)`` without UNICODE_CASE folds only A–Z, exactly
+    the store's LIKE; ``(?s)`` lets wildcards cross line breaks."""
+    import re
+    body = "".join(".*" if ch == "%" else "." if ch == "_" else re.escape(ch) for ch in token)
+    return "(?is)" + body
 
 
 def keyword_predicate(query: str, cols: list[str] | None = None):
     """B8 predicate: split the query on single spaces; every token must occur in one of
     ``cols`` under LIKE semantics — ASCII-case-insensitive, '%' and '_' inside a token stay
-    wildcards, an empty token matches any non-NULL value."""
+    wildcards, an empty token matches any non-NULL value. One regex scan per token and
+    column, no per-row copy of the text."""
     cols = cols or ["desc"]
     tokens = query.split(" ")
-    folded = {c: ascii_fold(c) for c in cols}
-    per_token = [reduce(lambda a, b: a | b, [folded[c].like("%" + t.translate(str.maketrans(_UPPER, _LOWER)) + "%")
-                                            for c in cols]) for t in tokens]
+    per_token = [reduce(lambda a, b: a | b, [F.col(c).rlike(like_token_regex(t)) for c in cols]) for t in tokens]
     return reduce(lambda a, b: a & b, per_token)
 
 
