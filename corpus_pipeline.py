@@ -8,7 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listinglake.llm import common, decontaminate, exact_dedup, mixing, simhash_dedup
+from listinglake.llm import common, decontaminate, exact_dedup, mixing, quality, simhash_dedup
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +31,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs)
 
 
-STAGES = [("exact dedup", exact), ("simhash near-dedup", near),
+STAGES = [("quality classifier", good), ("exact dedup", exact), ("simhash near-dedup", near),
           ("benchmark decontamination", benchmark), ("mixing to target weights", mix)]
 
 # the classifier and the fingerprints cannot be written in SQL: tests/llm holds the stages against brute force

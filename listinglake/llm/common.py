@@ -125,3 +125,36 @@ def chunks(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+class Grams:
+    """Hashed character n-grams of words set in ``<`` and ``>``, computed for all words at once.
+    ``ids`` are the buckets in word order, ``sizes`` how many each word has (at least one, as 2 is
+    among the lengths), ``words`` a bucket for each whole word."""
+    _mix = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+    def __init__(self, words: list[str], lengths: tuple[int, ...], bits: int, word_bits: int):
+        codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        start = np.cumsum(size) - size
+        place = np.arange(len(codes)) - np.repeat(start, size)
+        left = np.repeat(size, size) - place
+        ids = np.empty((len(codes), len(lengths)), np.int64)
+        valid = np.empty((len(codes), len(lengths)), bool)
+        padded = np.concatenate([codes, np.zeros(max(lengths), np.uint64)])
+        for c, k in enumerate(lengths):
+            h = np.full(len(codes), k, np.uint64)
+            for j in range(k):
+                h = (h ^ padded[j:j + len(codes)]) * self._mix[j]
+                h ^= h >> np.uint64(31)
+            ids[:, c] = (h * self._mix[0]) >> np.uint64(64 - bits)
+            valid[:, c] = left >= k
+        self.ids = ids[valid]
+        self.sizes = np.add.reduceat(valid.sum(axis=1), start)
+        spread = (codes + np.uint64(7)) * (place.astype(np.uint64) * self._mix[1] + self._mix[2] | np.uint64(1))
+        self.words = ((np.add.reduceat(spread, start) * self._mix[0]) >> np.uint64(64 - word_bits)).astype(np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def sums(self, table: np.ndarray) -> np.ndarray:
+        """Sum of the n-grams' rows of a table, for each word."""
+        return np.add.reduceat(table[self.ids], self.first, axis=0)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, mixing, simhash_dedup
+from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, quality, simhash_dedup, substring_dedup,
+               token_counts, toxicity)
+from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +98,33 @@ def op10(spark, sf_dir):
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text.cast("binary"), 256).alias("turns_sha256"),
                        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op1_substring_dedup")
+def op1(spark, sf_dir):
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    found = language_id.identify(docs, held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_token_counts")
+def op7(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query("op6_quality")
+def op6(spark, sf_dir):
+    return quality.score_quality(table(spark, sf_dir, "documents"))
