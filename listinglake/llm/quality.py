@@ -162,14 +162,16 @@ class Scorer:
         out = np.full(len(texts), self.share)
         if self.weights is None:
             return out
+        prior = np.log(self.share / (1 - self.share))
         for i, text in enumerate(texts):
             words = text.split()
             total = repeats(words) * float(self.weights[AGAIN])
             for k in range(0, len(words), 100_000):
                 ids = table.ids(words[k:k + 100_000])  # before table.rows, which it may replace
                 total += float(table.rows[ids].sum(dtype=np.float64))
-            if words:
-                out[i] = 1 / (1 + np.exp(-np.clip(SCALE * total / len(words) + self.bias, -50, 50)))
+            if words:  # a few words are little evidence: the logit starts at the corpus's share
+                own = SCALE * total / len(words) + self.bias
+                out[i] = 1 / (1 + np.exp(-np.clip(prior + (own - prior) * len(words) / (len(words) + SHORT), -50, 50)))
         return out
 
 
