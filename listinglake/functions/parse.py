@@ -47,6 +47,17 @@ def _months_back(ts: Column, n: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(F.to_timestamp(shifted)) + tod)
 
 
+def _bounded(months: Column) -> Column:
+    """Months back that a timestamp can hold (some 250,000 years); NULL beyond."""
+    return F.when(months <= 3_000_000, months.cast("int"))
+
+
+def _micros_back(ts: Column, n: Column, unit: int) -> Column:
+    """``n`` units before ``ts``; NULL where that is no timestamp."""
+    back = F.try_subtract(F.unix_micros(ts), F.try_multiply(n.cast("long"), F.lit(unit)))
+    return F.when(back > -9_000_000_000_000_000_000, F.timestamp_micros(back))
+
+
 def parse_relative_date(c, as_of) -> Column:
     """I3: 'N months/years/days/hours ago' relative to ``as_of``; keyword checks in the order
     month, year, day, hour ('Monday' hits the day branch); missing number means 1; falsy or
@@ -56,10 +67,10 @@ def parse_relative_date(c, as_of) -> Column:
     digits = F.regexp_extract(s, r"(\d+)", 1)
     n = F.coalesce(F.when(digits != F.lit(""), digits).try_cast("int"), F.lit(1))
     return (F.when(~truthy(s), ts)
-            .when(s.contains("month"), _months_back(ts, n))
-            .when(s.contains("year"), _months_back(ts, n * 12))
-            .when(s.contains("day"), F.timestamp_micros(F.unix_micros(ts) - n.cast("long") * F.lit(86_400_000_000)))
-            .when(s.contains("hour"), F.timestamp_micros(F.unix_micros(ts) - n.cast("long") * F.lit(3_600_000_000)))
+            .when(s.contains("month"), _months_back(ts, _bounded(n)))
+            .when(s.contains("year"), _months_back(ts, _bounded(F.try_multiply(n.cast("long"), F.lit(12)))))
+            .when(s.contains("day"), _micros_back(ts, n, 86_400_000_000))
+            .when(s.contains("hour"), _micros_back(ts, n, 3_600_000_000))
             .otherwise(ts))
 
 

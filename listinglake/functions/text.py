@@ -26,8 +26,9 @@ def slugify_or_empty(c) -> Column:
 
 def extract_domain(url) -> Column:
     """Host name of an absolute URL, lower-cased, without the port, with the first
-    occurrence of 'www.' removed; anything unparsable gives NULL."""
-    host = F.lower(F.try_parse_url(_col(url), F.lit("HOST")))
+    occurrence of 'www.' removed; text without scheme and host gives NULL. Hosts with underscores
+    or letters beyond ASCII are kept as written."""
+    host = F.lower(F.regexp_extract(_col(url), r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@\\]*@)?(\[[^\]]*\]|[^/?#:@\\\s]+)", 1))
     host = F.when(host != F.lit(""), host)
     return F.regexp_replace(host, r"^(.*?)www\.", "$1")
 

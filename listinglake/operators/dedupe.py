@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import with_null_safe_keys
+from .keys import spread, with_null_safe_keys
 from .positions import position_within
 
 KEY = "_key"
@@ -86,13 +86,13 @@ def duplicates_log(df: DataFrame, key, order_cols: list[str], source: str) -> Da
 
     ``order_cols`` are ascending columns forming a total order (e.g. source rank, file, pos).
     Winners come from a partial aggregate (one row per key); the join back is many-to-one on
-    NULL-safe key columns, so the aggregate's partitioning is reused by the join.
+    NULL-safe key columns; the winners get an exchange of their own, so a hot key is split.
     """
     d, keys, tmp = _with_key(df, key)
     d, nk = with_null_safe_keys(d, keys, "_dk")
     order_struct = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
     winners = _winners(d, nk, order_struct, {"winner_source": F.col(source)})
-    joined = d.join(winners, nk)
+    joined = d.join(spread(winners), nk)
     out = (joined.filter(order_struct != F.col("_w.o"))
                  .withColumn("winner_source", F.col("_w.winner_source"))
                  .withColumn("duplicate_source", F.col(source))

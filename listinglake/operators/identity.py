@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.core import completeness, truthy
 from ..session import checkpoint_dir
 from .joins import rewire_bridge
+from .keys import spread
 
 
 def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
@@ -25,7 +26,7 @@ def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
     for v in via:
         grp = founders.filter(truthy(F.col(name)) & truthy(F.col(v))).select(id_col, name, v)
         rep = grp.groupBy(name, v).agg(F.min(id_col).alias("dup_of"))
-        parts.append(grp.join(rep, [name, v]).filter(F.col(id_col) != F.col("dup_of"))
+        parts.append(grp.join(spread(rep), [name, v]).filter(F.col(id_col) != F.col("dup_of"))
                         .select(id_col, "dup_of", F.lit(v).alias("via")))
     out = parts[0]
     for p in parts[1:]:
@@ -34,7 +35,7 @@ def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src",
-                         dst: str = "dst", max_rounds: int = 200) -> DataFrame:
+                         dst: str = "dst") -> DataFrame:
     """Min-label propagation with pointer jumping, to a fixpoint → ``(id, component)`` where
     component is the smallest id of the connected component.
 
@@ -43,14 +44,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", s
     halves path lengths, so the number of rounds grows with log(diameter). The round's state
     is a reliable checkpoint in the shared checkpoint folder: lineage stays one round long and
     a lost executor recomputes at most one round. The change count is read from the
-    checkpoint itself (no extra join). Raises instead of returning a partial answer if the
-    fixpoint is not reached within ``max_rounds``."""
+    checkpoint itself (no extra join). Rounds go on to the fixpoint."""
     checkpoint_dir(nodes.sparkSession)
     und = (edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
                 .unionByName(edges.select(F.col(dst).alias("a"), F.col(src).alias("b")))
                 .filter(F.col("a") != F.col("b")).distinct()).checkpoint(eager=True)
     labels = nodes.select(F.col(node).alias("v")).distinct().withColumn("lbl", F.col("v")).checkpoint(eager=True)
-    for _ in range(max_rounds):
+    while True:
         proposals = und.join(labels, und["b"] == labels["v"]).select(F.col("a").alias("v"), "lbl",
                                                                     F.lit(None).cast(labels.schema["lbl"].dataType).alias("old"))
         mins = (labels.select("v", "lbl", F.col("lbl").alias("old")).unionByName(proposals)
@@ -63,7 +63,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", s
         labels = state.select("v", "lbl")
         if changed == 0:
             return labels.select(F.col("v").alias(node), F.col("lbl").alias("component"))
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def choose_survivors(founders: DataFrame, components: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
@@ -73,7 +72,7 @@ def choose_survivors(founders: DataFrame, components: DataFrame, id_col: str, fi
     best = (scored.groupBy("component")
                   .agg(F.min(F.struct((-F.col("_score")).alias("s"), F.col(id_col).alias("i"))).alias("_b"))
                   .select("component", F.col("_b.i").alias("new_id")))
-    return components.join(best, "component").select(F.col(id_col).alias("old_id"), "new_id")
+    return components.join(spread(best), "component").select(F.col(id_col).alias("old_id"), "new_id")
 
 
 def merge_founders(founders: DataFrame, bridge: DataFrame, id_col: str = "id", name: str = "name",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import spread, with_null_safe_keys
 from ..functions.core import truthy
 from ..functions.rules import employer_from_name, employer_from_url
 
@@ -77,14 +78,14 @@ def enrich_left(base: DataFrame, details: DataFrame, jobs: DataFrame, key: str =
 
 def new_jobs(staged: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """C4: staged rows with no existing row on ``keys`` (anti join)."""
-    return staged.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return staged.join(spread(existing.select(*keys).distinct()), keys, "left_anti")
 
 
 def match_existing(staged: DataFrame, existing: DataFrame, keys: list[str], id_col: str = "id",
                    out: str = "existing_id") -> DataFrame:
     """Staged rows matched to existing ids on ``keys`` (existing side one row per key)."""
     e = existing.groupBy(*keys).agg(F.min(id_col).alias(out))
-    return staged.join(e, keys)
+    return staged.join(spread(e), keys)
 
 
 def two_tier_match(staged: DataFrame, existing: DataFrame, company: str = "companyId", url: str = "url",
@@ -99,8 +100,8 @@ def two_tier_match(staged: DataFrame, existing: DataFrame, company: str = "compa
     by_title = (existing.groupBy(F.col(company).alias("_tc"), F.col(title).alias("_tt"))
                         .agg(F.min(id_col).alias("_tid")))
     s = staged.withColumn("_has_url", truthy(F.col(url)))
-    j = (s.join(by_url, (F.col(company) == F.col("_uc")) & (F.col(url) == F.col("_uu")) & F.col("_has_url"), "left")
-          .join(by_title, (F.col(company) == F.col("_tc")) & (F.col(title) == F.col("_tt")), "left"))
+    j = (s.join(spread(by_url), (F.col(company) == F.col("_uc")) & (F.col(url) == F.col("_uu")) & F.col("_has_url"), "left")
+          .join(spread(by_title), (F.col(company) == F.col("_tc")) & (F.col(title) == F.col("_tt")), "left"))
     return (j.withColumn(out, F.when(F.col("_uid").isNotNull(), F.col("_uid")).otherwise(F.col("_tid")))
              .withColumn("match_tier", F.when(F.col("_uid").isNotNull(), F.lit(1))
                                         .when(F.col("_tid").isNotNull(), F.lit(2)))
@@ -110,10 +111,9 @@ def two_tier_match(staged: DataFrame, existing: DataFrame, company: str = "compa
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Children with no parent (NULL-safe key equality: a missing key matches a parent
     with a missing key)."""
-    from .keys import with_null_safe_keys
-    p, pk = with_null_safe_keys(parents.select(F.col(parent_key).alias("_pk")), ["_pk"], "_ok")
-    c, ck = with_null_safe_keys(children, [child_key], "_ok")
-    return c.join(p.select(*pk).distinct(), ck, "left_anti").drop(*[x for x in ck if x.startswith("_ok")])
+    p, pk = with_null_safe_keys(parents.select(F.col(parent_key).alias("_pk")), ["_pk"], "_ok", always=True)
+    c, ck = with_null_safe_keys(children, [child_key], "_ok", always=True)
+    return c.join(spread(p.select(*pk).distinct()), ck, "left_anti").drop(*[x for x in ck if x.startswith("_ok")])
 
 
 def childless(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:

@@ -1,10 +1,4 @@
-"""NULL-safe join keys that keep hash partitioning aligned.
-
-``a.eqNullSafe(b)`` joins are planned on ``(coalesce(k, default), isnull(k))``; when one side
-was just aggregated on ``k`` that forces a second shuffle of the aggregate. Materialising the
-two parts as columns first — and grouping and joining on them — lets the aggregate's output
-partitioning serve the join directly (one exchange per side).
-"""
+"""NULL-safe join keys as columns, and the exchange that lets a hot key be split."""
 
 from __future__ import annotations
 
@@ -25,19 +19,35 @@ def _default(dtype: T.DataType):
     return None
 
 
-def with_null_safe_keys(df: DataFrame, keys: list[str], prefix: str = "_nk") -> tuple[DataFrame, list[str]]:
+def _comparable(k: str, dtype: T.DataType):
+    """Key as a non-NULL value: the type's default for NULL, or a text form for types without one."""
+    d = _default(dtype)
+    if d is not None:
+        return F.coalesce(F.col(k), d)
+    if isinstance(dtype, T.BinaryType):
+        text = F.hex(F.col(k))
+    elif isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        text = F.to_json(F.struct(F.col(k)))
+    else:
+        text = F.col(k).cast("string")
+    return F.coalesce(text, F.lit(""))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A one-row-per-key side with an exchange of its own. An aggregate is already partitioned by
+    the join key, so the join would shuffle only the other side and adaptive execution could not
+    split a hot key; behind a round-robin exchange the join shuffles both sides, and it can."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def with_null_safe_keys(df: DataFrame, keys: list[str], prefix: str = "_nk", always: bool = False) -> tuple[DataFrame, list[str]]:
     """Add ``{prefix}{i}v`` / ``{prefix}{i}n`` columns for each key; returns (frame, column names).
-    Keys of types without a default are passed through unchanged (then joined with eqNullSafe
-    semantics by the caller via the same names — NULL never equals NULL there)."""
+    ``always`` also for keys that are never NULL, where the two sides of a join must agree."""
     out, names = df, []
     for i, k in enumerate(keys):
-        if not df.schema[k].nullable:
+        if not always and not df.schema[k].nullable:
             names.append(k)  # never NULL: the key itself is already NULL-safe
             continue
-        d = _default(df.schema[k].dataType)
-        if d is None:
-            names.append(k)
-            continue
-        out = out.withColumn(f"{prefix}{i}v", F.coalesce(F.col(k), d)).withColumn(f"{prefix}{i}n", F.col(k).isNull())
+        out = out.withColumn(f"{prefix}{i}v", _comparable(k, df.schema[k].dataType)).withColumn(f"{prefix}{i}n", F.col(k).isNull())
         names += [f"{prefix}{i}v", f"{prefix}{i}n"]
     return out, names

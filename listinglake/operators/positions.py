@@ -60,11 +60,11 @@ def global_position(df: DataFrame, order_cols: list, name: str = "pos",
 
 def position_within(df: DataFrame, group_cols: list[str], order_cols: list, name: str = "pos") -> DataFrame:
     """Append a 1-based position of each row inside its group, ordered by ``order_cols``."""
-    from .keys import with_null_safe_keys
+    from .keys import spread, with_null_safe_keys
     g = _cols(group_cols)
     ranked = global_position(df, g + _cols(order_cols), name="_gpos")
     ranked, nk = with_null_safe_keys(ranked, group_cols, "_pk")
     starts = ranked.groupBy(*nk).agg(F.min("_gpos").alias("_gstart"))
-    return (ranked.join(starts, nk)
+    return (ranked.join(spread(starts), nk)
                   .withColumn(name, F.col("_gpos") - F.col("_gstart") + 1)
                   .drop("_gpos", "_gstart", *[c for c in nk if c.startswith("_pk")]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import spread
 from .positions import global_position
 
 
@@ -14,7 +15,8 @@ def split_halves(companies: DataFrame, jobs: DataFrame, order: list, company_key
     follows its company's key; jobs whose key has no company are 'orphan'. Returns the jobs
     with a ``half`` column, companies with theirs are available from ``company_halves``."""
     halves = company_halves(companies, order)
-    keys = halves.select(F.col(company_key).alias("_ck"), F.col("half").alias("_half")).dropDuplicates(["_ck"])
+    # a repeated company key: its last position wins
+    keys = spread(halves.groupBy(F.col(company_key).alias("_ck")).agg(F.max_by("half", "_pos").alias("_half")))
     return (jobs.join(keys, F.col(job_key).eqNullSafe(F.col("_ck")), "left")
                 .withColumn("half", F.coalesce(F.col("_half"), F.lit("orphan")))
                 .drop("_ck", "_half"))

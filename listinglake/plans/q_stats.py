@@ -15,12 +15,12 @@ from .catalog import query, table
 
 
 def companies_with_counts(spark, sf):
-    """customers as companies: source = nation name, numJobs = pending orders (NULL for the
+    """customers as companies: source = nation name, numJobs = orders (NULL for the
     BUILDING segment, 0 when none)."""
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("source"))
-    pending = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
-    counted = A.refresh_num_jobs(c.select("c_custkey", "c_nationkey", "c_mktsegment"), pending,
+    jobs = table(spark, sf, "orders")
+    counted = A.refresh_num_jobs(c.select("c_custkey", "c_nationkey", "c_mktsegment"), jobs,
                                  company_id="c_custkey", job_company="o_custkey")
     return (counted.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                    .withColumn("numJobs", F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("long"))
@@ -29,7 +29,7 @@ def companies_with_counts(spark, sf):
 
 
 _COMPANIES_SQL = """
-WITH oc AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey),
+WITH oc AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
 c AS (SELECT c.c_custkey, n.n_name AS source,
              CASE WHEN c.c_mktsegment = 'BUILDING' THEN NULL ELSE coalesce(oc.n, 0) END AS numJobs
       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN oc ON oc.o_custkey = c.c_custkey)
@@ -57,11 +57,11 @@ def top_companies_per_source(spark, sf):
 
 @query("num_jobs_refresh", """
 SELECT c.c_custkey, coalesce(oc.n, 0) AS numJobs FROM customer c
-LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) oc
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) oc
   ON oc.o_custkey = c.c_custkey""")
 def num_jobs_refresh(spark, sf):
-    pending = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
-    return A.refresh_num_jobs(table(spark, sf, "customer").select("c_custkey"), pending,
+    jobs = table(spark, sf, "orders")
+    return A.refresh_num_jobs(table(spark, sf, "customer").select("c_custkey"), jobs,
                               company_id="c_custkey", job_company="o_custkey")
 
 

@@ -46,8 +46,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage (reliable checkpoints, versioned tables).
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names. Only when it is unset (local
-    tests, the bench) do we create one under the system temp folder.
+    On a cluster this is whatever ``spark.checkpoint.dir`` names, and it must be set: executors
+    cannot see a temp folder of the driver. In local mode one is made if it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="listinglake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -65,20 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for materialised intermediate tables."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings sized to the data instead of Spark's defaults: initial shuffle partitions so
-    a partition of the largest shuffle is about ``target_partition_bytes`` (AQE then
-    coalesces small ones and splits skewed ones), never fewer than 3 waves of the cluster's
-    cores; scan splits of the same size."""
-    # capped: beyond ~100k reducers the map-output bookkeeping on the driver dominates
-    partitions = min(max(3 * total_cores, -(-input_bytes // target_partition_bytes)), 100_000)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        # a runtime-measured side below this is broadcast by AQE; nothing larger ever is
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-    }

@@ -33,6 +33,13 @@ def list_versions(spark: SparkSession, base: str, table: str) -> list[int]:
     return sorted(out)
 
 
+def next_version(spark: SparkSession, base: str, table: str) -> int:
+    """One above every version folder, half-written ones of a crashed commit included."""
+    fs, p = _fs(spark, f"{base.rstrip('/')}/{table}")
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return max([int(n[2:]) for n in names if n.startswith("v=")], default=0) + 1
+
+
 def jvm_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -40,8 +47,7 @@ def jvm_path(spark: SparkSession, path: str):
 def commit_version(df: DataFrame, base: str, table: str) -> int:
     """Write ``df`` as the next version of ``table``; returns the version number."""
     spark = df.sparkSession
-    versions = list_versions(spark, base, table)
-    v = (versions[-1] + 1) if versions else 1
+    v = next_version(spark, base, table)
     df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{table}/v={v}")
     return v
 
@@ -69,8 +75,7 @@ def commit_bucketed(df: DataFrame, base: str, table: str, keys: list[str], bucke
     version again (``read_bucketed``)."""
     import json
     spark = df.sparkSession
-    versions = list_versions(spark, base, table)
-    v = (versions[-1] + 1) if versions else 1
+    v = next_version(spark, base, table)
     path = f"{base.rstrip('/')}/{table}/v={v}"
     (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
        .option("path", path).saveAsTable(_table_name(table, v, base)))

@@ -55,13 +55,10 @@ def upsert_writer(base: str, table: str, key: list[str], ordinal: str, query_nam
     return _write
 
 
-def run_available_now(writer, checkpoint: str, timeout_s: int = 600) -> None:
+def run_available_now(writer, checkpoint: str) -> None:
     """Start a query with the ``availableNow`` trigger and wait for it to drain the input."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming query did not finish")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 

@@ -151,3 +151,14 @@ def test_timestamps(spark):
     df = spark.createDataFrame([("1700000000000",), ("2024-01-02T03:04:05",), ("",), ("garbage",)], "c string")
     out = [r[0] for r in df.select(F.date_format(parse.text_to_ts("c"), "yyyy-MM-dd HH:mm:ss")).collect()]
     assert out == ["2023-11-14 22:13:20", "2024-01-02 03:04:05", None, None]
+
+
+def test_hosts_and_overflow(spark):
+    from pyspark.sql import functions as F
+    from listinglake.functions import parse, text
+    urls = {"https://www.my_host.com/a|b c": "my_host.com", "http://münchen.de:80/x": "münchen.de", "https://u:p@h.io?q": "h.io", "no url": None, "http://": None}
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select("u", text.extract_domain(F.col("u")).alias("d")).collect()
+    assert {r.u: r.d for r in got} == urls
+    old = spark.createDataFrame([("999999999 years ago",), ("2147483647 days ago",), ("999999999 months ago",), ("2 days ago",)], "s string")
+    out = [r.d for r in old.select(parse.parse_relative_date(F.col("s"), "2024-03-31 00:00:00").cast("string").alias("d")).collect()]
+    assert out[:3] == [None, None, None] and out[3].startswith("2024-03-29")

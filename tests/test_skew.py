@@ -55,3 +55,40 @@ def test_duplicate_links_hot_group_is_linear(spark):
     links = ID.duplicate_links(f)
     # a star per group: exactly (group size - 1) links, never size * (size - 1) / 2
     assert links.count() == N - f.select("linkedin").distinct().count()
+
+
+def test_hot_key_is_split(spark):
+    """A third of the rows on one key, no run-time broadcast: the final plan splits the hot partition."""
+    from listinglake.operators import joins as J
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 300_000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) AS k", "id AS v", "uuid() AS pad")
+        existing = spark.range(0, 300_000, 7).selectExpr("if(id % 2 = 0, -1, id) AS k", "id")
+        for df in (J.match_existing(rows, existing, ["k"]), J.new_jobs(rows, existing.filter("k > 0"), ["k"]),
+                   J.orphans(rows, existing.filter("k > 0"), "k", "k")):
+            df.write.format("noop").mode("overwrite").save()
+            df.count()
+            done = df.select("*")
+            done.collect()
+            assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_null_groups_of_every_type_stay(spark):
+    from listinglake.operators.positions import position_within
+    for kind in ("decimal(10,2)", "timestamp", "binary", "struct<a:int>"):
+        df = spark.sql(f"SELECT CAST(NULL AS {kind}) AS g, id FROM range(3)")
+        assert sorted(r.pos for r in position_within(df, ["g"], ["id"]).collect()) == [1, 2, 3], kind
+
+
+def test_orphans_of_mixed_nullability(spark):
+    from listinglake.operators import joins as J
+    children = spark.sql("SELECT CAST(NULL AS BIGINT) AS k UNION ALL SELECT 1 UNION ALL SELECT 9")
+    assert {r.k for r in J.orphans(children, spark.range(5).withColumnRenamed("id", "k"), "k", "k").collect()} == {None, 9}

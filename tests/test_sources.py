@@ -124,3 +124,13 @@ def test_bucketed_commit_avoids_target_shuffle(spark, tmp_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1  # only the batch moves
     assert out.count() == 2010 and out.filter("slug = 's1995'").first().v == 19950
+
+
+def test_commit_goes_on_after_a_crashed_one(spark, tmp_dir):
+    import os
+    from listinglake.sources import sinks as K
+    df = spark.range(3)
+    assert K.commit_version(df, tmp_dir, "t") == 1
+    os.makedirs(f"{tmp_dir}/t/v=2")  # a commit that died half-way
+    assert K.commit_version(spark.range(5), tmp_dir, "t") == 3
+    assert K.read_current(spark, tmp_dir, "t").count() == 5
