@@ -60,12 +60,22 @@ def one_row_per_key(docs: DataFrame) -> DataFrame:
     return packed(docs).groupBy("doc_id", "_th").agg(F.min_by("_doc", rank).alias("_doc"))
 
 
-def keyed_join(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Join on the row key, null ids equal; ``keys`` has doc_id and _th."""
-    k = keys.select(F.col("doc_id").alias("_k_id"), F.col("_th").alias("_k_th"))
+def keyed_join(rows: DataFrame, keys: DataFrame, how: str, small: bool = False) -> DataFrame:
+    """Join on the row key, null ids equal; ``keys`` has doc_id and _th. ``small``: the keys are usually few
+    and are broadcast if their count allows it, so that the texts need no shuffle."""
+    k = (counted_broadcast(keys) if small else keys).select(F.col("doc_id").alias("_k_id"), F.col("_th").alias("_k_th"))
     return rows.join(k, F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_th") == F.col("_k_th")), how)
 
 
+#: rows up to which a stored table is broadcast (16 to 32 bytes each, some 30 MB in a hash table)
+BROADCAST_ROWS = 500_000
+
+
+def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table with the broadcast hint if its counted rows allow it; beyond, Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 

@@ -22,11 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_join, packed, stored, text_hash, unpacked
+from .common import counted_broadcast, keyed_join, packed, stored, text_hash, unpacked
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
-#: rows up to which the benchmark's side of a join is broadcast (24 bytes each); beyond, Spark shuffles it
-BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
@@ -59,6 +57,13 @@ def simhash(df: DataFrame, keys: list[str], features: str) -> DataFrame:
     return counted.select(*keys, fp.alias("fp"))
 
 
+def tagged(features: Column) -> Column:
+    """Every occurrence of a hash made distinct by its number, so that the common part of two multisets
+    is the common part of two sets."""
+    return F.get(F.transform(F.array(F.array_sort(features)), lambda s: F.transform(
+        s, lambda h, i: F.xxhash64(h, i - F.array_position(s, h)))), 0)
+
+
 def blocks(fp: Column, radius: int) -> Column:
     """radius + 1 blocks of the fingerprint, each with its number."""
     m = radius + 1
@@ -67,10 +72,6 @@ def blocks(fp: Column, radius: int) -> Column:
                      for i, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
-def _benchmark_side(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,
             k: int = SHINGLE) -> DataFrame:
     """doc_id, _th, item_id, start (first word of the best window, from 0), similarity: the best window
@@ -90,16 +91,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
 def _matches(docs: DataFrame, items: DataFrame, similarity: float, radius: int, k: int) -> DataFrame:
     items = stored(items.select("item_id", "words", shingles(F.col("text"), k).alias("sh")), "item-shingles")
-    item_sh = stored(items.select("item_id", "words", F.explode("sh").alias("h"))
-                     .groupBy("item_id", "words", "h").agg(F.count("*").alias("c_item")), "item-counts")
-    lengths = _benchmark_side(stored(item_sh.select("h", "words").distinct(), "item-lengths"))
+    lengths = counted_broadcast(stored(items.select("words", F.explode("sh").alias("h")).distinct(), "item-lengths"))
     row = [F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("_th")]
     # every shingle of every document against the benchmark's
     flat = docs.select(*row, shingles(F.col("text"), k).alias("sh")).select("doc_id", "_th", F.posexplode("sh").alias("p", "h"))
     anchors = stored(flat.join(lengths, "h").select("doc_id", "_th", "p", "words").distinct(), "anchors")
     # the documents concerned, once more, with their shingles
     hit = packed(docs.select("doc_id", "text"))
-    hit = keyed_join(hit, stored(anchors.select("doc_id", "_th").distinct(), "anchored"), "left_semi")
+    hit = keyed_join(hit, stored(anchors.select("doc_id", "_th").distinct(), "anchored"), "left_semi", small=True)
     hit = hit.dropDuplicates(["doc_id", "_th"]).select(
         F.col("doc_id").cast("bigint").alias("d_id"), F.col("_th").alias("d_th"), shingles(F.col("_doc.text"), k).alias("sh"))
     # windows of an item's length around the shared shingles
@@ -112,24 +111,23 @@ def _matches(docs: DataFrame, items: DataFrame, similarity: float, radius: int,
     sliced = windows.join(hit, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("_th") == F.col("d_th"))).select(
         "doc_id", "_th", "words", "start", F.expr(f"slice(sh, start + 1, words - {k - 1})").alias("sh"))
     sliced = stored(sliced, "windows")
+    # multi-index: all pairs of window and item within the radius, each taken at its first equal block
+    item_fp = simhash(items, ["item_id", "words"], "sh").select("item_id", "words", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), radius)).alias("b"))
+    item_blocks = counted_broadcast(stored(item_fp.select("item_id", "words", "item_fp", "b.no", "b.value"), "item-blocks"))
     window = ["doc_id", "_th", "words", "start"]
-    # multi-index: all pairs of window and item within the radius
-    item_fp = simhash(items, ["item_id", "words"], "sh")
-    item_blocks = _benchmark_side(stored(item_fp.select("item_id", "words", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), radius)).alias("b"))
-                                         .select("item_id", "words", "item_fp", "b.no", "b.value"), "item-blocks"))
     win_blocks = simhash(sliced, window, "sh").select(*window, "fp", F.explode(blocks(F.col("fp"), radius)).alias("b"))
+    diff = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    first = F.array_position(F.transform(blocks(diff, radius), lambda x: x["value"] == 0), True) - 1
     near = (win_blocks.select(*window, "fp", "b.no", "b.value").join(item_blocks, ["words", "no", "value"])
-            .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*window, "item_id").distinct())
+            .filter((F.bit_count(diff) <= radius) & (F.col("no") == first)).select(*window, "item_id"))
     # exact weighted similarity of the candidates
-    pair = [*window, "item_id"]
     w = sliced.select(*[F.col(c).alias(f"w_{c}") for c in window], "sh")
+    item_sets = counted_broadcast(stored(items.select("item_id", F.size("sh").alias("n_item"), tagged(F.col("sh")).alias("item_sh")), "item-sets"))
     cand = near.join(w, F.col("doc_id").eqNullSafe(F.col("w_doc_id")) & (F.col("_th") == F.col("w__th"))
-                     & (F.col("words") == F.col("w_words")) & (F.col("start") == F.col("w_start")))
-    counts = (cand.select(*pair, F.size("sh").alias("n_win"), F.explode("sh").alias("h"))
-              .groupBy(*pair, "n_win", "h").agg(F.count("*").alias("c_win")))
-    both = counts.join(_benchmark_side(item_sh.select("item_id", "h", "c_item")), ["item_id", "h"])
-    common = both.groupBy(*pair, "n_win").agg(F.sum(F.least("c_win", "c_item")).alias("low"))
-    sim = F.col("low") / (F.col("n_win") + F.col("words") - (k - 1) - F.col("low"))
+                     & (F.col("words") == F.col("w_words")) & (F.col("start") == F.col("w_start"))).join(item_sets, "item_id")
+    common = cand.select("doc_id", "_th", "item_id", "start", F.size("sh").alias("n_win"), "n_item",
+                         F.size(F.array_intersect(tagged(F.col("sh")), "item_sh")).alias("low"))
+    sim = F.col("low") / (F.col("n_win") + F.col("n_item") - F.col("low"))
     good = common.select("doc_id", "_th", "item_id", "start", sim.alias("similarity")).filter(F.col("similarity") >= similarity)
     best = good.groupBy("doc_id", "_th", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("start"))).alias("b"))
     return best.select("doc_id", "_th", "item_id", F.col("b.start").alias("start"), (-F.col("b.s")).alias("similarity"))
@@ -138,4 +136,4 @@ def _matches(docs: DataFrame, items: DataFrame, similarity: float, radius: int,
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """The documents without any match, all columns as they were."""
     leaks = stored(matches(docs, benchmark, similarity, radius).select("doc_id", "_th").distinct(), "leaks")
-    return unpacked(keyed_join(packed(docs), leaks, "left_anti")).select(*docs.columns)
+    return unpacked(keyed_join(packed(docs), leaks, "left_anti", small=True)).select(*docs.columns)
