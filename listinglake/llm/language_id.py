@@ -28,7 +28,7 @@ from .common import Grams, WordTable, chunks, mapped, small_batches
 
 SAMPLE_ROWS, BITS, DIM = 2400, 15, 16
 BUCKETS = 1 << BITS
-EPOCHS, BATCH, RATE = 12, 32, 20.0
+EPOCHS, STEPS, BATCH, RATE = 12, 1000, 32, 20.0  # small samples are gone through until STEPS batches
 MAX_ERROR = 0.01
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -115,8 +115,10 @@ def train(texts: list[str], langs: list[str], seed: int = 5) -> Model | None:
             x[k, rows[i][0]] = rows[i][1]
         return x
 
-    steps, done = EPOCHS * max(1, -(-len(fit) // BATCH)), 0
-    for _ in range(EPOCHS):
+    batches = max(1, -(-len(fit) // BATCH))
+    epochs, done = max(EPOCHS, -(-STEPS // batches)), 0
+    steps = epochs * batches
+    for _ in range(epochs):
         rng.shuffle(fit)
         for k in range(0, len(fit), BATCH):
             which = fit[k:k + BATCH]
