@@ -36,10 +36,10 @@ def repetition_rates(docs: DataFrame, weights: dict[str | None, float] | None =
         given = docs.sparkSession.createDataFrame(rows, "w_source string, weight double")
         sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("w_source")), "left").fillna(0.0, ["weight"])
     sizes = stored(sizes.select("source", "chars", "weight"), "source-sizes")
-    total = sizes.filter("weight > 0 and chars > 0").agg(F.sum("weight").alias("all_weight"), F.sum("chars").alias("all_chars"))
-    size = F.col("all_chars").cast("double") if total_chars is None else F.lit(float(total_chars))
-    rated = sizes.filter("weight > 0 and chars > 0").crossJoin(F.broadcast(total)).select(  # one row
-        "source", (size * F.col("weight") / F.col("all_weight") / F.col("chars")).alias("rate"))
+    used = sizes.filter("weight > 0 and chars > 0")
+    all_weight, all_chars = used.agg(F.sum("weight"), F.sum("chars").cast("double")).first()  # one row
+    size = F.lit(all_chars if total_chars is None else float(total_chars)).cast("double")
+    rated = used.select("source", (size * F.col("weight") / F.lit(all_weight).cast("double") / F.col("chars")).alias("rate"))
     rated = rated.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int"))
     lam = f"(rate / parts)"
     return rated.withColumn("cdf", F.expr(f"""
