@@ -28,8 +28,10 @@ SOCIAL_SITES = [
 # HTML entities decoded in attribute values.
 ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
-HREF_RE = r"""<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-ANCHOR_RE = r"""<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>([^<]*)</a>"""
+# one group per quote style; the space before the name keeps attributes like data-href out
+QUOTED = r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+HREF_RE = r"(?i)<a\b[^>]*?\shref" + QUOTED
+ANCHOR_RE = r"(?is)<a\b[^>]*?\shref" + QUOTED + r"[^>]*>(.*?)</a\s*>"
 
 
 def decode_entities(c) -> Column:
@@ -41,7 +43,7 @@ def decode_entities(c) -> Column:
 
 def data_page_attr(html) -> Column:
     """Raw (entity-decoded) value of the first ``data-page`` attribute, NULL when absent."""
-    raw = F.regexp_extract(_col(html), r"""data-page\s*=\s*"([^"]*)\"""", 1)
+    raw = F.concat(*[F.regexp_extract(_col(html), r"\sdata-page" + QUOTED, i) for i in (1, 2)])
     return F.when(raw != F.lit(""), decode_entities(raw))
 
 
@@ -53,8 +55,14 @@ def status_label(html) -> Column:
 
 
 def hrefs(html) -> Column:
-    """All href values of anchors, in document order."""
-    return F.regexp_extract_all(_col(html), F.lit(HREF_RE), 1)
+    """All href values of anchors, in document order, entities decoded."""
+    return _found(_col(html), HREF_RE)
+
+
+def _found(html: Column, pattern: str) -> Column:
+    """Decoded values of a pattern's two quote groups, one of which is empty."""
+    double, single = [F.regexp_extract_all(html, F.lit(pattern), i) for i in (1, 2)]
+    return F.zip_with(double, single, lambda a, b: decode_entities(F.concat(a, b)))
 
 
 def social_links(html) -> Column:
@@ -81,10 +89,11 @@ def social_links(html) -> Column:
 
 def job_links(html, base: str, needle: str = "/jobs/") -> Column:
     """Anchors whose href contains ``needle`` and does not end with it, made absolute,
-    with their anchor text → array<struct<href, text>>."""
+    with their anchor text (markup inside the anchor left out) → array<struct<href, text>>."""
     h = _col(html)
-    links = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 1)
-    texts = F.regexp_extract_all(h, F.lit(ANCHOR_RE), 2)
+    links = _found(h, ANCHOR_RE)
+    texts = F.transform(F.regexp_extract_all(h, F.lit(ANCHOR_RE), 3),
+                        lambda t: decode_entities(F.regexp_replace(t, r"<[^>]*>", "")))
     zipped = F.arrays_zip(links.alias("href"), texts.alias("text"))
     keep = F.filter(zipped, lambda z: z["href"].contains(needle) & ~z["href"].endswith(needle))
     return F.transform(keep, lambda z: F.struct(

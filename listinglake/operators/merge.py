@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import truthy
 from ..functions.text import surrogate_id
 from ..sources.literals import literal_frame
 from .dedupe import first_wins, last_wins
+from .keys import spread
 
 
 def _all_not_null(keys: list[str]) -> Column:
@@ -66,15 +67,21 @@ def upsert(target: DataFrame, src: DataFrame, key: str, replace: list[str], ordi
 
 
 def upsert_dimension_checked(target: DataFrame, src: DataFrame, key: str, name: str, ordinal: str,
-                             replace: list[str]) -> tuple[DataFrame, DataFrame]:
-    """H3: last-wins per key, then upsert; a batch row whose name already belongs to another
-    key (unique name) is rejected instead of raising."""
+                             replace: list[str], keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """H3: last-wins per key, then upsert; a batch row whose name already belongs to another key
+    (unique name) is rejected instead of raising. Of several batch rows with one name the first
+    ``ordinal`` has it and the others are rejected; missing names never clash."""
     s = last_wins(src, key, [ordinal])
     owners = target.select(F.col(key).alias("_ok"), F.col(name).alias("_on"))
     clash_cond = (F.col(name) == F.col("_on")) & (F.col(key) != F.col("_ok"))
-    rejects = s.join(owners, clash_cond, "left_semi").withColumn("reason", F.lit(f"{name} already used"))
-    ok = s.join(owners, clash_cond, "left_anti")
-    return upsert(target, ok, key, replace), rejects
+    free = s.join(owners, clash_cond, "left_anti")
+    # a missing name is a group of its own for every key
+    by_name = Window.partitionBy(name, F.when(F.col(name).isNull(), F.col(key))).orderBy(ordinal, key)
+    ranked = free.withColumn("_rank", F.row_number().over(by_name))
+    ok = ranked.filter("_rank = 1").drop("_rank")
+    rejects = (s.join(owners, clash_cond, "left_semi").unionByName(ranked.filter("_rank > 1").drop("_rank"))
+               .withColumn("reason", F.lit(f"{name} already used")))
+    return upsert(target, ok, key, replace, keep=keep), rejects
 
 
 def collapse_batch_jobs(staged: DataFrame, company: str, url: str, title: str, ordinal: str) -> DataFrame:
@@ -85,13 +92,25 @@ def collapse_batch_jobs(staged: DataFrame, company: str, url: str, title: str, o
     return last_wins(step1, [company, title], [ordinal])
 
 
+def unheld_ids(rows: DataFrame, target: DataFrame, company: str, id_col: str = "id") -> DataFrame:
+    """New rows whose id an older row holds already get another one: the hash of that id and of the
+    company's number of rows, which grows with every insert."""
+    held = target.select(F.col(id_col).alias("_held"))
+    marked = rows.join(held, F.col(id_col) == F.col("_held"), "left")
+    sizes = target.groupBy(F.col(company).alias("_company")).agg(F.count(F.lit(1)).alias("_rows"))
+    again = (marked.filter(F.col("_held").isNotNull()).join(spread(sizes), F.col(company) == F.col("_company"))
+             .withColumn(id_col, surrogate_id(id_col, "_rows")))
+    return marked.filter(F.col("_held").isNull()).select(*rows.columns).unionByName(again.select(*rows.columns))
+
+
 def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", company: str = "companyId",
                 url: str = "url", title: str = "title", id_col: str = "id", ordinal: str = "ordinal",
                 replace: list[str] | None = None) -> DataFrame:
     """H4: ``mode='title'`` — update every existing job with the same (title, company) with the
     last staged row for that key, insert the rest; ``mode='two_tier'`` — collapse the batch,
     match by (url, company) then (title, company) (C6), update the matched job, insert the rest.
-    New jobs get ``id = sha256(company::url::title)``."""
+    New jobs get ``id = sha256(company::url::title)``; where an older job holds that id already (it
+    was renamed since), the company's number of jobs goes into the hash too."""
     replace = replace or [c for c in staged.columns if c in target.columns and c not in (id_col, company)]
     if mode == "title":
         s = last_wins(staged, [company, title], [ordinal])
@@ -118,7 +137,7 @@ def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", compa
         inserts = m.filter(F.col("_mid").isNull()).drop("_mid", "match_tier")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    new_rows = inserts.withColumn(id_col, surrogate_id(company, url, title))
+    new_rows = unheld_ids(inserts.withColumn(id_col, surrogate_id(company, url, title)), target, company, id_col)
     for c in target.columns:
         if c not in new_rows.columns:
             new_rows = new_rows.withColumn(c, F.lit(None).cast(target.schema[c].dataType))

@@ -27,7 +27,8 @@ from ..operators.flatten import drop_nested, flatten_founders, flatten_jobs, fla
 from ..operators.sets import build_dimension, concat_arrays, union_distinct
 from ..operators.split import split_halves
 from ..operators.topk import top_per_group
-from ..operators.validate import reject_unknown_parent, require_fields
+from ..operators.joins import two_tier_match
+from ..operators.validate import require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
 from ..session import checkpoint_dir
 from ..sources.literals import empty_frame
@@ -37,6 +38,11 @@ from ..sources.staging import stage_portfolio
 PORTFOLIO_REPLACED = ["name", "description", "domain", "emailDomains", "staffCount", "isFeatured", "isRemoteFriendly",
                "logos", "website", "parentSlugs", "parents", "dataSource"]
 DIRECTORY_REPLACED = PORTFOLIO_REPLACED[:-1] + ["oneLiner", "foundedAt", "batchInfo", "status", "dataSource"]
+# Job columns replaced by an upsert of each feed; the others keep what another feed wrote.
+PORTFOLIO_JOB_REPLACED = ["applyUrl", "url", "remote", "hybrid", "timeStamp", "manager", "consultant", "contractor",
+                          "minYearsExp", "maxYearsExp", "skills", "requiredSkills", "preferredSkills", "departments",
+                          "jobTypes", "jobFunctions", "jobSeniorities", "regions", "dataSource"]
+DIRECTORY_JOB_REPLACED = ["title", *PORTFOLIO_JOB_REPLACED, "dataCompleteness", "equityRange", "roleSpecificType"]
 FOUNDER_REPLACED = ["name", "title", "bio", "twitter", "linkedin", "website"]
 # Feed labels and the directory's public base URL.
 DIRECTORY_SOURCE = "YC"
@@ -80,10 +86,10 @@ def consolidate_portfolio(spark: SparkSession, root: str, company_registry: list
                           recursive: bool = False) -> dict[str, DataFrame]:
     """K1: read the per-source company and job folders in their declared orders (the two
     orders differ), first-wins dedupe with duplicate logs and summaries, profiling, top-k and
-    the half split. Inside a source, files are taken in ``file_order`` (name, or full path
+    the half split; unreadable files and records are in ``read_errors``. Inside a source, files are taken in ``file_order`` (name, or full path
     for nested layouts), records in file position."""
-    companies, clog = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY, glob, recursive)
-    jobs, jlog = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB, glob, recursive)
+    companies, clog, cerr = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY, glob, recursive)
+    jobs, jlog, jerr = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB, glob, recursive)
     order = ["source_rank", file_order, "pos"]
     ckey, jkey = D.domain_key(), D.job_key("companyDomain", "title")
     uc = D.first_wins(companies, ckey, order).withColumn("company_key", D.domain_key())
@@ -101,7 +107,7 @@ def consolidate_portfolio(spark: SparkSession, root: str, company_registry: list
         "top_companies": top_per_group(uc, "dataSource", [F.col("numJobs").desc_nulls_last()] + order, top_k),
         "with_jobs": with_jobs, "without_jobs": without_jobs,
         "job_halves": split_halves(uc, uj, order, "company_key", "companyDomain"),
-        "log": clog.unionByName(jlog),
+        "log": clog.unionByName(jlog), "read_errors": cerr.unionByName(jerr),
     }
 
 
@@ -137,29 +143,44 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
         wh["company_office"], J.link(st["office"], office, company, dim_name="location", out=("companyId", "officeId")),
         ["companyId", "officeId"])
     inv_src = D.last_wins(st["investor"].withColumn("_o", F.struct("company_slug", "pos")), "slug", ["_o"])
-    investor = H.upsert(wh["investor"], inv_src.withColumn("id", TX.surrogate_id("slug")), "slug", ["name"], keep=["id"])
+    investor, inv_rejects = H.upsert_dimension_checked(
+        wh["investor"], inv_src.withColumn("id", TX.surrogate_id("slug")), "slug", "name", "_o", ["name"], keep=["id"])
     out["investor"] = conform(investor, SC.INVESTOR)
-    out["company_investor"] = _dedupe_union(
-        wh["company_investor"],
-        J.link(st["investor"].select("company_slug", "slug"), out["investor"], company, staged_name="slug",
-               dim_name="slug", out=("companyId", "investorId")), ["companyId", "investorId"])
+    inv_links = J.link(st["investor"].select("company_slug", "slug"), out["investor"], company, staged_name="slug",
+                       dim_name="slug", out=("companyId", "investorId"))
+    # an investor whose name another slug holds is linked as that one
+    renamed = st["investor"].join(inv_rejects.select("slug"), "slug", "left_semi").select("company_slug", "name")
+    name_links = J.link(renamed, out["investor"], company, out=("companyId", "investorId"))
+    out["company_investor"] = _dedupe_union(wh["company_investor"], inv_links.unionByName(name_links),
+                                            ["companyId", "investorId"])
     # jobs
-    staged = J.attach_company(st["job"], company.select("slug", "id"), "company_slug", "slug", "id", "companyId") \
-        .withColumn("dataSource", F.lit(None).cast("string"))
+    staged = J.attach_company(st["job"], company.select("slug", "id"), "company_slug", "slug", "id", "companyId")
     job_src = conform(staged, SC.JOB, ("_ord", "job_key"))
     if mode == "upsert":
         job = H.upsert_jobs(wh["job"], job_src.drop("id"), mode="title", ordinal="_ord",
-                            replace=[c for c in SC.JOB.names if c not in ("id", "companyId", "title")])
+                            replace=PORTFOLIO_JOB_REPLACED)
     else:
-        job = H.insert_ignore(wh["job"], job_src.withColumn("id", TX.surrogate_id("companyId", "url", "title")),
-                              ["url", "companyId"], ["_ord"])
+        # jobs without a url have no natural key: their place in the feed tells them apart, and a job
+        # loaded from the same place before is left alone
+        job_src = job_src.withColumn("id", TX.surrogate_id("companyId", "url", "title",
+                                                           F.when(F.col("url").isNull(), F.col("job_key"))))
+        no_url = F.col("url").isNull()
+        fresh = H.unheld_ids(job_src.filter(~no_url), wh["job"], "companyId").unionByName(
+            job_src.filter(no_url).join(wh["job"].select("id"), "id", "left_anti").select(*job_src.columns))
+        job = H.insert_ignore(wh["job"], fresh, ["url", "companyId"], ["_ord"])
     job = materialize(conform(job, SC.JOB).withColumn("dataCompleteness",
                                                         F.coalesce("dataCompleteness", F.lit(DEFAULT_COMPLETENESS))))
     out["job"] = job
-    # staging ordinal → job ids (every job carrying the staged row's company and title)
-    key_map = (D.last_wins(job_src, ["companyId", "title"], ["_ord"]).select("job_key", "companyId", "title")
-               .join(job.select(F.col("id").alias("jobId"), "companyId", "title"), ["companyId", "title"])
-               .select("job_key", "jobId"))
+    # staging ordinal → job ids: an upsert wrote every job of the staged row's company and title, an
+    # insert the one job of its company and url (without a url, the staged row's own)
+    ids = job.select(F.col("id").alias("jobId"), "companyId", "title", "url")
+    if mode == "upsert":
+        key_map = (D.last_wins(job_src, ["companyId", "title"], ["_ord"]).select("job_key", "companyId", "title")
+                   .join(ids, ["companyId", "title"]).select("job_key", "jobId"))
+    else:
+        with_url = D.first_wins(job_src.filter(F.col("url").isNotNull()), ["companyId", "url"], ["_ord"])
+        key_map = (with_url.select("job_key", "companyId", "url").join(ids, ["companyId", "url"]).select("job_key", "jobId")
+                   .unionByName(job_src.filter(F.col("url").isNull()).select("job_key", F.col("id").alias("jobId"))))
     loc_links = (st["job_location"].join(key_map, F.col("job_ordinal") == F.col("job_key"))
                  .join(office.select(F.col("location").alias("location_name"), F.col("id").alias("officeId")),
                        "location_name").select("jobId", "officeId"))
@@ -169,7 +190,7 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
                    "currency", "period").withColumn("id", TX.surrogate_id("jobId")))
     out["salary_range"] = conform(H.upsert_salary(wh["salary_range"], sal), SC.SALARY_RANGE)
     out["company"] = conform(A.refresh_num_jobs(company, job, "id", "companyId"), SC.COMPANY)
-    return out, st["rejects"]
+    return out, st["rejects"].unionByName(inv_rejects.select(F.lit("investor").alias("kind"), F.col("slug").alias("key"), "reason"))
 
 
 # ---------------------------------------------------------------------------------- K3
@@ -290,15 +311,23 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
         f_ok.join(company.select(F.col("slug"), F.col("id").alias("companyId")), "slug")
             .select("companyId", F.col("id").alias("founderId")), ["companyId", "founderId"])
     # jobs: resolve the company against the warehouse, reject unknown ones
-    known, unknown = reject_unknown_parent(jobs, company, "companySlug", "slug", "unknown company")
-    staged = known.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
-                                          "companySlug").withColumn("ordinal", F.struct("companySlug", "posting_pos"))
+    resolved = jobs.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
+                                           "companySlug", "left")
+    unknown = resolved.filter(F.col("companyId").isNull()).withColumn("reason", F.lit("unknown company"))
+    staged = resolved.filter(F.col("companyId").isNotNull()).withColumn("ordinal", F.struct("companySlug", "posting_pos"))
     job_src = conform(staged, SC.JOB, ("ordinal",))
     job = materialize(conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
-                                            replace=[c for c in SC.JOB.names if c not in ("id", "companyId")]), SC.JOB))
+                                            replace=DIRECTORY_JOB_REPLACED), SC.JOB))
     out["job"] = job
+    # every posting's offices go to the job it ended in, also those of postings that a later one replaced
+    placed = two_tier_match(staged.select("ordinal", "companyId", "url", "title", F.explode("offices").alias("location"))
+                            .filter(truthy(F.col("location"))), job, out="jobId")
+    job_offices = placed.join(office.select("location", F.col("id").alias("officeId")), "location")
+    out["job_office"] = _dedupe_union(wh["job_office"], job_offices, ["jobId", "officeId"])
+    of_job = job.select(F.col("id").alias("jobId"), *[F.col(c).alias(f"j_{c}") for c in ("companyId", "url", "title")])
     sal = (staged.filter(F.col("salaryRange").isNotNull())
-           .join(job.select(F.col("id").alias("jobId"), "companyId", "url", "title"), ["companyId", "url", "title"])
+           .join(of_job, (F.col("companyId") == F.col("j_companyId")) & (F.col("title") == F.col("j_title"))
+                 & F.col("url").eqNullSafe(F.col("j_url")))
            .select("jobId", F.col("salaryRange.min_value").alias("minValue"), F.col("salaryRange.max_value").alias("maxValue"),
                    F.col("salaryRange.currency").alias("currency"), F.col("salaryRange.period").alias("period"))
            .withColumn("id", TX.surrogate_id("jobId")))

@@ -125,6 +125,18 @@ def directory_job_state(spark, sf):
                      seniority.alias("seniority")))
 
 
+@query("directory_job_offices", _DIR_SQL + """
+SELECT DISTINCT slug, title, CASE WHEN s_nationkey < 5 THEN 'Remote' ELSE 'NATION_' || CAST(s_nationkey AS VARCHAR) END AS office
+FROM pj""")
+def directory_job_offices(spark, sf):
+    """K4 office links: the locations of all postings at the jobs they ended in."""
+    wh = _directory_state(spark, sf)
+    j = wh["job"].select(F.col("id").alias("jobId"), "companyId", "title")
+    return (wh["job_office"].join(wh["office"].select(F.col("id").alias("officeId"), F.col("location").alias("office")), "officeId")
+            .join(j, "jobId").join(wh["company"].select(F.col("id").alias("companyId"), "slug"), "companyId")
+            .select("slug", "title", "office"))
+
+
 # Declared job-source order of the consolidation query (one folder per order priority digit,
 # deliberately not alphabetical) and one registered folder that does not exist.
 _JOB_REGISTRY = [("p2", "folder=p2", "HIGH"), ("p1", "folder=p1", "URGENT"), ("p9", "folder=p9", "MISSING"),

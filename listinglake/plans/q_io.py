@@ -59,7 +59,7 @@ def source_tree(spark, sf):
     S.write_json_wrapped(s.filter(F.col("file_key") % 2 == 1), f"{root}/src_odd", "file_key", wrapper="companies",
                          order=["s_suppkey"])
     registry = [("missing", "src_missing", "MISSING"), ("even", "src_even", "EVEN"), ("odd", "src_odd", None)]
-    rows, _log = R.read_source_tree(spark, root, registry, "companies", SUPPLIER_SCHEMA, glob="*.txt", recursive=True)
+    rows, _log, _errors = R.read_source_tree(spark, root, registry, "companies", SUPPLIER_SCHEMA, glob="*.txt", recursive=True)
     return rows.select("s_suppkey", "sourceFolder", "dataSource", "source_rank")
 
 

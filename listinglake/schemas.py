@@ -56,7 +56,7 @@ PORTFOLIO_JOB = struct(
     ("hybrid", B), ("manager", B), ("consultant", B), ("contractor", B), ("timeStamp", S),
     ("minYearsExp", I), ("maxYearsExp", I), ("skills", AS), ("requiredSkills", AS), ("preferredSkills", AS),
     ("jobTypes", AS), ("jobFunctions", AS), ("jobSeniorities", AS), ("regions", AS), ("departments", AS),
-    ("locations", AS), ("normalizedLocations", AS), ("salary", SALARY))
+    ("locations", AS), ("normalizedLocations", AS), ("salary", SALARY), ("dataSource", S))
 
 FOUNDER_IN = struct(("name", S), ("title", S), ("bio", S), ("social_links", T.MapType(S, S)))
 POSTING = struct(("title", S), ("url", S), ("applyUrl", S), ("companyUrl", S), ("type", S), ("role", S),

@@ -39,21 +39,33 @@ def read_wrapped_json(spark: SparkSession, path: str, wrapper: str, schema: T.St
                       glob: str = "*.json", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
     """A1: files holding a bare array of records or ``{wrapper: [records]}``. Returns
     ``(rows, errors)``: rows carry ``file_name`` and 1-based ``pos``; a wrapper object without
-    the array yields no rows; a file that does not parse yields one error row."""
+    the array yields no rows. A file that does not parse, a wrapper that holds no array and an array
+    element that is no JSON object each yield one error row (``pos`` NULL for whole files); the other
+    elements of such an array are read, and keep their positions."""
     docs = read_documents(spark, path, glob, recursive)
     v = F.col("value")
     is_array = F.ltrim(v).startswith("[")
-    as_array = F.from_json(v, T.ArrayType(schema))
-    as_wrapped = F.from_json(v, T.StructType([T.StructField(wrapper, T.ArrayType(schema))]))
+    # elements stay JSON text first, so that one bad element does not void the array
+    texts = T.ArrayType(T.StringType())
+    inner = F.get_json_object(v, f"$['{wrapper}']")
+    as_array = F.from_json(v, texts)
+    as_wrapped = F.when(F.json_array_length(inner).isNotNull(), F.from_json(inner, texts))
     # from_json is permissive (a broken document can come back as a struct of NULLs), so
     # validity is decided by a JSON scan of the document itself
     valid = F.when(is_array, F.json_array_length(v).isNotNull()).otherwise(F.json_object_keys(v).isNotNull())
     parsed = docs.select("file_name", "file_path", is_array.alias("_is_array"),
-                         F.when(is_array, as_array).otherwise(as_wrapped[wrapper]).alias("_arr"),
-                         F.coalesce(valid, F.lit(False)).alias("_ok"))
-    rows = (parsed.filter("_ok").select("file_name", "file_path", F.posexplode(F.col("_arr")).alias("_p", "_r"))
-                  .select("file_name", "file_path", (F.col("_p") + 1).alias("pos"), "_r.*"))
-    errors = parsed.filter(~F.col("_ok")).select("file_name", F.lit("unreadable JSON").alias("reason"))
+                         F.when(is_array, as_array).otherwise(as_wrapped).alias("_arr"),
+                         (~is_array & inner.isNotNull()).alias("_wrapped"), F.coalesce(valid, F.lit(False)).alias("_ok"))
+    elements = (parsed.filter("_ok").select("file_name", "file_path", F.posexplode(F.col("_arr")).alias("_p", "_e"))
+                      .select("file_name", "file_path", (F.col("_p") + 1).alias("pos"), "_e",
+                              F.coalesce(F.json_object_keys("_e").isNotNull(), F.lit(False)).alias("_object")))
+    rows = (elements.filter("_object").withColumn("_r", F.from_json("_e", schema))
+                    .select("file_name", "file_path", "pos", "_r.*"))
+    files = parsed.select("file_name", F.lit(None).cast("int").alias("pos"),
+                          F.when(~F.col("_ok"), "unreadable JSON")
+                           .when(F.col("_wrapped") & F.col("_arr").isNull(), f"{wrapper} is no array").alias("reason"))
+    errors = files.filter(F.col("reason").isNotNull()).unionByName(
+        elements.filter(~F.col("_object")).select("file_name", "pos", F.lit("record is no JSON object").alias("reason")))
     return rows, errors
 
 
@@ -80,11 +92,12 @@ def read_entity_dir(spark: SparkSession, path: str, suffix: str, schema: T.Struc
 
 def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, str, str | None]],
                      wrapper: str, schema: T.StructType, glob: str = "*.json",
-                     recursive: bool = False) -> tuple[DataFrame, DataFrame]:
+                     recursive: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A3: read each registered source folder ``(key, folder, dataSource)`` in the declared
     order; rows get ``sourceFolder``, ``dataSource`` (registry value, else the folder name) and
-    ``source_rank``. A missing folder is reported in the log frame, not fatal."""
-    parts, log = [], []
+    ``source_rank``. A missing folder is reported in the log frame, not fatal. The
+    third frame has the files and records that could not be read: source, file_name, pos, reason."""
+    parts, log, failed = [], [], []
     for rank, (key, folder, data_source) in enumerate(registry):
         p = f"{root.rstrip('/')}/{folder}"
         if not _path_exists(spark, p):
@@ -94,6 +107,7 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
         parts.append(rows.withColumn("sourceFolder", F.lit(folder))
                          .withColumn("dataSource", F.lit(data_source or folder))
                          .withColumn("source_rank", F.lit(rank)))
+        failed.append(errors.select(F.lit(key).alias("source"), "file_name", "pos", "reason"))
         log.append((key, folder, None))
     empty = empty_frame(spark, schema).withColumn("file_name", F.lit(None).cast("string")) \
         .withColumn("file_path", F.lit(None).cast("string")) \
@@ -101,7 +115,9 @@ def read_source_tree(spark: SparkSession, root: str, registry: list[tuple[str, s
         .withColumn("dataSource", F.lit(None).cast("string")).withColumn("source_rank", F.lit(None).cast("int"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty)
     log_df = literal_frame(spark, log, "source string, folder string, problem string")
-    return rows, log_df
+    errors = reduce(lambda a, b: a.unionByName(b), failed, literal_frame(
+        spark, [], "source string, file_name string, pos int, reason string"))
+    return rows, log_df, errors
 
 
 # Defaults of the flat feed normaliser.

@@ -40,11 +40,13 @@ def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFram
         or_null(F.col("url")).alias("url"), or_null(F.col("applyUrl")).alias("applyUrl"),
         *[to_flag(F.col(c), jobs.schema[c].dataType).alias(c)
           for c in ["remote", "hybrid", "manager", "consultant", "contractor"]],
-        text_to_ts(F.col("timeStamp")).alias("timeStamp"), "minYearsExp", "maxYearsExp",
+        text_to_ts(F.col("timeStamp")).alias("timeStamp"),
+        *[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in ["minYearsExp", "maxYearsExp"]],
         *[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c)
           for c in ["skills", "requiredSkills", "preferredSkills", "departments", "regions"]],
         *[F.when(F.col(c).isNotNull(), F.to_json(F.col(c))).alias(c) for c in ["jobTypes", "jobFunctions", "jobSeniorities"]],
-        "locations", "normalizedLocations", "salary")
+        "locations", "normalizedLocations", "salary",
+        (or_null(F.col("dataSource")) if "dataSource" in jobs.columns else F.lit(None).cast("string")).alias("dataSource"))
     return {
         "company": comp.drop("markets", "stages", "officeLocations", "investors", "investorSlugs"),
         "market": flatten_links(comp, "slug", "markets").withColumnRenamed("slug", "company_slug"),

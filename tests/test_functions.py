@@ -162,3 +162,14 @@ def test_hosts_and_overflow(spark):
     old = spark.createDataFrame([("999999999 years ago",), ("2147483647 days ago",), ("999999999 months ago",), ("2 days ago",)], "s string")
     out = [r.d for r in old.select(parse.parse_relative_date(F.col("s"), "2024-03-31 00:00:00").cast("string").alias("d")).collect()]
     assert out[:3] == [None, None, None] and out[3].startswith("2024-03-29")
+
+
+def test_anchor_markup(spark):
+    from listinglake.functions import html as HT
+    page = ("<p data-x=1><a data-href=\"/x\" class=b href=\"/jobs/2?a=1&amp;b=2\"><b>Dev</b> &amp; Ops</a>"
+            "<A HREF='/jobs/3'>PM</A><a href=\"/jobs/it's\">It</a><div id=a data-page='{\"k\": 1}'>")
+    row = spark.createDataFrame([(page,)], "h string").select(
+        HT.job_links("h", "https://e.com").alias("jobs"), HT.hrefs("h").alias("hrefs"), HT.data_page_attr("h").alias("page")).first()
+    assert [(r.href, r.text) for r in row.jobs] == [("https://e.com/jobs/2?a=1&b=2", "Dev & Ops"), ("https://e.com/jobs/3", "PM"),
+                                                    ("https://e.com/jobs/it's", "It")]
+    assert row.hrefs == ["/jobs/2?a=1&b=2", "/jobs/3", "/jobs/it's"] and row.page == '{"k": 1}'

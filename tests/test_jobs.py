@@ -196,3 +196,81 @@ def test_commit_and_reload_warehouse(spark, tmp_dir):
     assert back["company"].count() == 3 and back["job"].count() == 3
     wh2, _ = K.load_portfolio(back, k1["companies"], k1["jobs"])
     assert sorted(map(str, wh2["job"].collect())) == sorted(map(str, wh["job"].collect()))
+
+
+def test_bad_elements_and_files_are_reported(spark, tmp_dir):
+    write(f"{tmp_dir}/s/a.json", None, raw='[{"slug": "a", "name": "A"}, "oops", {"slug": "b", "name": "B", "markets": ["x"]}, 3]')
+    write(f"{tmp_dir}/s/b.json", {"companies": {"slug": "c"}})
+    write(f"{tmp_dir}/s/c.json", {"companies": [{"slug": "d"}]})
+    write(f"{tmp_dir}/s/d.json", None, raw="[{broken")
+    out = K.consolidate_portfolio(spark, tmp_dir, [("s", "s", None)], [])
+    rows, _ = R.read_wrapped_json(spark, f"{tmp_dir}/s", "companies", SC.PORTFOLIO_COMPANY)
+    assert sorted((r.file_name, r.pos, r.slug, r.markets) for r in rows.collect()) == [
+        ("a.json", 1, "a", None), ("a.json", 3, "b", ["x"]), ("c.json", 1, "d", None)]
+    assert {(r.file_name, r.pos, r.reason) for r in out["read_errors"].collect()} == {
+        ("a.json", 2, "record is no JSON object"), ("a.json", 4, "record is no JSON object"),
+        ("b.json", None, "companies is no array"), ("d.json", None, "unreadable JSON")}
+
+
+def portfolio_frames(spark, jobs):
+    comps = spark.createDataFrame([{"name": "Acme", "slug": "acme", "domain": "acme.com", "investors": ["Inv", "Inv"],
+                                    "investorSlugs": ["inv", "inv-2"]}], SC.PORTFOLIO_COMPANY)
+    rows = spark.createDataFrame([{"companySlug": "acme"} | j for j in jobs], SC.PORTFOLIO_JOB)
+    def landed(df):
+        return df.coalesce(1).withColumn("file_name", F.lit("f")).withColumn("pos", F.monotonically_increasing_id().cast("int"))
+    return landed(comps).withColumn("dataSource", F.lit("P")), landed(rows)
+
+
+def test_upsert_keeps_columns_of_other_feeds(spark):
+    base, details, jobs = directory_frames(spark)
+    fmt = K.format_directory(base, details, jobs, "2024-03-31 00:00:00")
+    wh, _ = K.load_directory(K.empty_warehouse(spark), fmt["companies"], fmt["jobs"])
+    wh["job"] = K.materialize(wh["job"].withColumn("description", F.lit("text")).withColumn("equityRange", F.lit("1%")))
+    comps, pj = portfolio_frames(spark, [{"title": "Senior Engineer", "url": "u", "minYearsExp": 0, "dataSource": "P"}])
+    out, rejects = K.load_portfolio(wh, comps, pj)
+    j = out["job"].filter("title = 'Senior Engineer'").collect()
+    assert [(r.url, r.description, r.equityRange, r.dataSource, r.minYearsExp) for r in j] == [("u", "text", "1%", "P", None)]
+    assert sorted((r.name, r.slug) for r in out["investor"].collect()) == [("Inv", "inv")]
+    assert out["company_investor"].count() == 1
+    assert [(r.kind, r.key) for r in rejects.collect()] == [("investor", "inv-2")]
+
+
+def test_insert_mode_links_by_ordinal(spark):
+    comps, pj = portfolio_frames(spark, [
+        {"title": "Dev", "url": "u1", "locations": ["Paris"], "salary": {"minValue": "1"}},
+        {"title": "Dev", "url": "u2", "locations": ["Rome"], "salary": {"minValue": "2"}},
+        {"title": "Dev", "locations": ["Oslo"]}, {"title": "Dev", "locations": ["Bern"]}])
+    wh, _ = K.load_portfolio(K.empty_warehouse(spark), comps, pj, mode="insert")
+    wh = K.materialize_all(wh)
+    again, _ = K.load_portfolio(wh, comps, pj, mode="insert")
+    for state in (wh, again):
+        jobs = state["job"].select(F.col("id").alias("jobId"), "url")
+        assert jobs.count() == 4 and jobs.select("jobId").distinct().count() == 4
+        places = state["job_office"].join(state["office"].withColumnRenamed("id", "officeId"), "officeId").join(jobs, "jobId")
+        assert sorted((r.url or "", r.location) for r in places.collect()) == [("", "Bern"), ("", "Oslo"), ("u1", "Paris"), ("u2", "Rome")]
+        pay = state["salary_range"].join(jobs, "jobId")
+        assert sorted((r.url, r.minValue) for r in pay.collect()) == [("u1", 1.0), ("u2", 2.0)]
+
+
+def test_a_renamed_jobs_old_title_comes_back(spark):
+    wh = K.empty_warehouse(spark)
+    for title, url in (("A", "u"), ("B", "u"), ("A", "v"), ("A", "u")):  # the directory renames by url
+        staged = spark.createDataFrame([("c", url, title, 1)], "companyId string, url string, title string, ordinal int")
+        wh["job"] = K.materialize(K.conform(K.H.upsert_jobs(wh["job"], staged, mode="two_tier", replace=["title", "url"]), SC.JOB))
+    moved = spark.createDataFrame([("c", "w", "A", 1)], "companyId string, url string, title string, ordinal int")
+    out = K.H.upsert_jobs(wh["job"], moved, mode="two_tier", replace=["title", "url"]).collect()
+    assert len({r.id for r in out}) == len(out)
+
+
+def test_directory_job_offices_and_salaries_without_url(spark):
+    base, details, _ = directory_frames(spark)
+    jobs = spark.createDataFrame([{"slug": "acme", "status": "Active", "jobPostings": [
+        {"title": "Eng", "url": "/companies/acme/jobs/1", "location": "Berlin", "salaryRange": "$100K - $120K"},
+        {"title": "Eng", "url": "/companies/acme/jobs/2", "location": "Lima", "salaryRange": "$110K - $130K"},
+        {"title": "PM", "url": None, "location": "Rome", "salaryRange": "$90K - $95K"}]}], SC.DIRECTORY_JOBS)
+    fmt = K.format_directory(base, details, jobs, "2024-03-31 00:00:00")
+    wh, _ = K.load_directory(K.empty_warehouse(spark), fmt["companies"], fmt["jobs"])
+    j = wh["job"].select(F.col("id").alias("jobId"), "title")
+    places = wh["job_office"].join(wh["office"].withColumnRenamed("id", "officeId"), "officeId").join(j, "jobId")
+    assert sorted((r.title, r.location) for r in places.collect()) == [("Eng", "Berlin"), ("Eng", "Lima"), ("PM", "Rome")]
+    assert sorted((r.title, r.minValue) for r in wh["salary_range"].join(j, "jobId").collect()) == [("Eng", 110000.0), ("PM", 90000.0)]
