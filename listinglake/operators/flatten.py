@@ -43,13 +43,15 @@ def drop_nested(df: DataFrame, array_col: str, count_col: str) -> DataFrame:
     return df.withColumn(count_col, F.when(a.isNotNull(), F.size(a)).otherwise(F.lit(0))).drop(array_col)
 
 
-def flatten_founders(companies: DataFrame, parent_key: str, founders: str = "founders") -> DataFrame:
-    """One row per founder with the deterministic founder id (I7). Founder structs carry
-    ``name, title, bio`` and ``social_links`` (map)."""
-    f = companies.select(F.col(parent_key), F.explode(F.col(founders)).alias("f"))
+def flatten_founders(companies: DataFrame, parent_key: str, founders: str = "founders",
+                     carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per founder with the deterministic founder id (I7) and the founder's place in the
+    company (``pos``, from 1). Founder structs carry ``name, title, bio`` and ``social_links`` (map);
+    ``carry`` names further company columns to keep."""
+    f = companies.select(F.col(parent_key), *carry, F.posexplode(F.col(founders)).alias("_p", "f"))
     links = F.col("f.social_links")
     return f.select(
-        F.col(parent_key),
+        F.col(parent_key), *carry, (F.col("_p") + 1).alias("pos"),
         founder_id(F.col("f.name"), links["linkedin"], links["twitter"], F.col("f.bio")).alias("id"),
         F.col("f.name").alias("name"),
         F.when(truthy(F.col("f.title")), F.col("f.title")).alias("title"),

@@ -59,12 +59,24 @@ def fk_violations(child: DataFrame, table: str, fk: str, parent: DataFrame, pk:
                            F.col(fk).cast("string").alias("key_value"), F.col("n").cast("long").alias("n")))
 
 
-def not_null_violations(df: DataFrame, table: str, col: str) -> DataFrame:
-    return (df.filter(F.col(col).isNull()).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0)
-              .select(F.lit(table).alias("table_name"), F.lit(f"not_null({col})").alias("rule"),
-                      F.lit(None).cast("string").alias("key_value"), F.col("n").cast("long").alias("n")))
+def not_null_violations(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
+    """NULLs per required column, counted in one pass over the table; complete columns give no row."""
+    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in cols])
+    found = F.inline(F.array(*[F.struct(F.lit(f"not_null({c})").alias("rule"), F.col(c).alias("n")) for c in cols]))
+    return (counts.select(found).filter(F.col("n") > 0)
+                  .select(F.lit(table).alias("table_name"), "rule", F.lit(None).cast("string").alias("key_value"),
+                          F.col("n").cast("long").alias("n")))
 
 
 def audit_constraints(checks: list[DataFrame]) -> DataFrame:
     """H9: union of violation reports ``(table_name, rule, key_value, n)``."""
     return reduce(lambda a, b: a.unionByName(b), checks)
+
+
+def audit_warehouse(wh: dict[str, DataFrame], required: dict, unique: dict, foreign: dict) -> DataFrame:
+    """H9 over a whole warehouse: every required column, unique key and foreign key of its tables."""
+    checks = [not_null_violations(wh[t], t, cols) for t, cols in required.items()]
+    checks += [unique_violations(wh[t], t, keys) for t, found in unique.items() for keys in found]
+    checks += [fk_violations(wh[t], t, col, wh[parent], pk)
+               for t, found in foreign.items() for col, (parent, pk) in found.items()]
+    return audit_constraints(checks)

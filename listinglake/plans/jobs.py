@@ -197,8 +197,11 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
 def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame, as_of) -> dict[str, DataFrame]:
     """K3: base ⟕ details ⟕ jobs by slug (details win where truthy), formatted companies
     (nested markets / offices / founders kept, jobs dropped with their count) and formatted
-    jobs."""
+    jobs. Where the base records say where they were read (``file_name`` / ``file_path``, ``pos``), both
+    outputs carry it as ``feed_order``; a load then lets the last of several records of one slug win."""
     b = base.alias("b")
+    place = [F.col(f"b.{c}") for c in ("file_path", "file_name", "pos") if c in base.columns]
+    carried = ["feed_order"] if place else []
     d = details.alias("d")
     j = job_files.select("slug", "jobPostings", F.col("socialLinks").alias("job_links")).alias("j")
     m = b.join(d, F.col("b.slug") == F.col("d.slug"), "left").join(j, F.col("b.slug") == F.col("j.slug"), "left")
@@ -219,7 +222,8 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
         F.col("b.one_liner").alias("one_liner"), F.col("b.launched_at").alias("launched_at"),
         F.col("b.top_company").alias("top_company"), F.col("b.regions").alias("regions"),
         F.col("b.small_logo_thumb_url").alias("small_logo_thumb_url"), F.col("b.industries").alias("industries"),
-        F.col("b.tags").alias("tags"), F.col("b.stage").alias("stage"), F.col("b.all_locations").alias("all_locations"))
+        F.col("b.tags").alias("tags"), F.col("b.stage").alias("stage"), F.col("b.all_locations").alias("all_locations"),
+        *([F.struct(*place).alias("feed_order")] if place else []))
     domain = TX.extract_domain(F.col("website"))
     companies = merged.select(
         TX.surrogate_id("slug").alias("id"), "name",
@@ -241,8 +245,9 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
         F.when(truthy(F.col("stage")), F.col("stage")).alias("stage_name"),
         F.when(truthy(F.col("all_locations")), TX.split_locations(F.col("all_locations")))
          .otherwise(F.array().cast("array<string>")).alias("offices"),
-        "jobPostings")
-    postings = flatten_jobs(companies, "jobPostings", {"companyId": "id", "companyName": "name", "companySlug": "slug"})
+        "jobPostings", *carried)
+    postings = flatten_jobs(companies, "jobPostings", {"companyId": "id", "companyName": "name", "companySlug": "slug",
+                                                       **{c: c for c in carried}})
     jobs = postings.select(
         TX.surrogate_id("companySlug", "posting_pos", "url").alias("id"), "companyId", "companyName", "companySlug",
         "posting_pos",
@@ -261,7 +266,7 @@ def format_directory(base: DataFrame, details: DataFrame, job_files: DataFrame,
         F.lit(DIRECTORY_SOURCE).alias("dataSource"), F.lit(DEFAULT_COMPLETENESS).alias("dataCompleteness"),
         F.when(truthy(F.col("location")), F.array(F.col("location"))).otherwise(F.array().cast("array<string>"))
          .alias("offices"),
-        P.parse_salary(F.col("salaryRange")).alias("salaryRange"))
+        P.parse_salary(F.col("salaryRange")).alias("salaryRange"), *carried)
     return {"companies": drop_nested(companies, "jobPostings", "numJobs"), "jobs": jobs}
 
 
@@ -270,9 +275,12 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
                    ) -> tuple[dict[str, DataFrame], DataFrame]:
     """K4: formatted directory companies / jobs into the warehouse: companies upserted by slug
     (16 columns), dimensions and bridges, founders last-wins by id then upserted, jobs whose
-    company is unknown rejected, jobs matched two-tier and upserted, salary ranges, counts."""
+    company is unknown rejected, jobs matched two-tier and upserted, salary ranges, counts. "Last" is
+    by ``feed_order`` where the inputs carry it (companies and jobs alike), then by slug and position."""
     ok, rejects = require_fields(companies, ["slug", "name"])
-    ok = (ok.withColumn("_ord", F.col("slug"))
+    carried = [c for c in ("feed_order",) if c in companies.columns]
+    job_order = [c for c in ("feed_order",) if c in jobs.columns]
+    ok = (ok.withColumn("_ord", F.struct(*carried, "slug"))
             .withColumn("staffCount", or_default(F.col("staffCount"), 0, ok.schema["staffCount"].dataType))
             .withColumn("isFeatured", to_flag(F.col("isFeatured"), ok.schema["isFeatured"].dataType))
             .withColumn("isRemoteFriendly", to_flag(F.col("isRemoteFriendly"), ok.schema["isRemoteFriendly"].dataType)))
@@ -302,9 +310,9 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     out["company_office"] = _dedupe_union(
         wh["company_office"], J.link(staged_o, office, company, dim_name="location", out=("companyId", "officeId")),
         ["companyId", "officeId"])
-    founders = flatten_founders(ok, "slug")
+    founders = flatten_founders(ok, "slug", carry=tuple(carried))
     f_ok, _ = require_fields(founders, ["id", "name"])
-    f_last = D.last_wins(f_ok.withColumn("_o", F.struct("slug", "name")), "id", ["_o"])
+    f_last = D.last_wins(f_ok.withColumn("_o", F.struct(*carried, "slug", "pos")), "id", ["_o"])
     out["founder"] = conform(H.upsert(wh["founder"], conform(f_last, SC.FOUNDER), "id", FOUNDER_REPLACED), SC.FOUNDER)
     out["company_founder"] = _dedupe_union(
         wh["company_founder"],
@@ -314,7 +322,7 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     resolved = jobs.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
                                            "companySlug", "left")
     unknown = resolved.filter(F.col("companyId").isNull()).withColumn("reason", F.lit("unknown company"))
-    staged = resolved.filter(F.col("companyId").isNotNull()).withColumn("ordinal", F.struct("companySlug", "posting_pos"))
+    staged = resolved.filter(F.col("companyId").isNotNull()).withColumn("ordinal", F.struct(*job_order, "companySlug", "posting_pos"))
     job_src = conform(staged, SC.JOB, ("ordinal",))
     job = materialize(conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
                                             replace=DIRECTORY_JOB_REPLACED), SC.JOB))
@@ -342,8 +350,12 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
 def load_flat_feed(wh: dict[str, DataFrame], flat: DataFrame, as_of) -> tuple[dict[str, DataFrame], dict]:
     """K5: normalise the flat feed, resolve the employer (name, else URL rule), seed the
     employer companies, insert-ignore jobs by (url, company), link offices for surviving jobs
-    only, and report the skipped rows."""
-    norm = read_flat_jobs(flat.withColumn("_ord", F.col("id")))
+    only, and report the skipped rows. A job without a url is the same as one loaded before if
+    company and feed id are."""
+    # feed order: numeric ids by value, others behind them by text
+    number = F.expr("try_cast(id AS BIGINT)")
+    norm = read_flat_jobs(flat.withColumn("_ord", F.struct(number.isNull().alias("text"), number.alias("number"),
+                                                           F.col("id").cast("string").alias("id"))))
     resolved = J.resolve_employer(norm, "company", "url")
     skipped = resolved.filter(F.col("employer").isNull())
     ok = resolved.filter(F.col("employer").isNotNull())
@@ -356,8 +368,11 @@ def load_flat_feed(wh: dict[str, DataFrame], flat: DataFrame, as_of) -> tuple[di
         F.when(F.col("desc").isNotNull(), F.array(F.to_json(F.struct(F.col("desc").alias("description")))))
          .alias("skills"), F.col("desc").alias("description"), F.lit(FLAT_SOURCE).alias("dataSource"),
         F.lit(DEFAULT_COMPLETENESS).alias("dataCompleteness"), "location", "_ord")
-    job = H.insert_ignore(wh["job"].withColumn("_ord", F.lit(None).cast("string")),
-                          conform(jobs_src, SC.JOB, ("_ord",)), ["url", "companyId"], ["_ord"])
+    no_url = F.col("url").isNull()
+    fresh = jobs_src.filter(~no_url).unionByName(
+        jobs_src.filter(no_url).join(wh["job"].select("id"), "id", "left_anti").select(*jobs_src.columns))
+    job = H.insert_ignore(wh["job"].withColumn("_ord", F.lit(None).cast(norm.schema["_ord"].dataType)),
+                          conform(fresh, SC.JOB, ("_ord",)), ["url", "companyId"], ["_ord"])
     job = materialize(conform(job, SC.JOB))
     out = dict(wh)
     out["job"] = job

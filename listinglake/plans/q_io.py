@@ -170,6 +170,51 @@ def vendor_postings(spark, sf):
     return R.conform_vendor_postings(responses, "amazon")
 
 
+def _vendor_sql(company: str, url: str, date: str = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)") -> str:
+    return f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS title, 'Order ' || CAST(o_orderkey AS VARCHAR) AS "desc",
+       '{company}' AS company, CAST(o_custkey AS VARCHAR) AS location, {date} AS date,
+       '{url}' || CAST(o_orderkey AS VARCHAR) AS url FROM orders"""
+
+
+def _vendor_fields(spark, sf):
+    """orders with the values of a posting, as text."""
+    key = F.col("o_orderkey").cast("string")
+    return table(spark, sf, "orders").select(
+        F.floor(F.col("o_orderkey") / 100).alias("page"), key.alias("id"), F.col("o_orderpriority").alias("title"),
+        F.col("o_orderdate").cast("date").cast("string").alias("date"), F.col("o_custkey").cast("string").alias("place"),
+        F.concat(F.lit("<p>Order <b>"), key, F.lit("</b></p>")).alias("body"))
+
+
+@query("vendor_postings_microsoft", _vendor_sql("microsoft", "https://jobs.careers.microsoft.com/global/en/job/"))
+def vendor_postings_microsoft(spark, sf):
+    """A5: responses whose postings lie two levels down, with nested properties."""
+    post = F.struct(F.col("id").alias("jobId"), "title", F.col("date").alias("postingDate"),
+                    F.struct(F.col("body").alias("description"), F.col("place").alias("primaryLocation")).alias("properties"))
+    pages = _vendor_fields(spark, sf).groupBy("page").agg(F.collect_list(post).alias("jobs"))
+    return R.conform_vendor_postings(
+        pages.select(F.struct(F.struct("jobs").alias("result")).alias("operationResult")), "microsoft")
+
+
+@query("vendor_postings_netflix", _vendor_sql("netflix", "https://jobs.netflix.com/jobs/"))
+def vendor_postings_netflix(spark, sf):
+    """A5: responses with ``records.postings``."""
+    post = F.struct(F.col("id").alias("external_id"), F.col("title").alias("text"), F.col("date").alias("created_at"),
+                    F.col("body").alias("description"), F.col("place").alias("location"))
+    pages = _vendor_fields(spark, sf).groupBy("page").agg(F.collect_list(post).alias("postings"))
+    return R.conform_vendor_postings(pages.select(F.struct("postings").alias("records")), "netflix")
+
+
+@query("vendor_postings_google", _vendor_sql(
+    "Google", "https://www.google.com/about/careers/applications/jobs/results/", "'2024-03-31'"))
+def vendor_postings_google(spark, sf):
+    """A5: responses that are JSON text of positional arrays, the description inside a nested one."""
+    post = F.format_string('["%s","%s",null,[null,"%s"],null,null,null,null,"%s"]', "id", "title", "body", "place")
+    pages = _vendor_fields(spark, sf).groupBy("page").agg(F.collect_list(post).alias("posts"))
+    raw = pages.select(F.concat(F.lit("["), F.concat_ws(",", "posts"), F.lit("]")).alias("value"))
+    return R.conform_vendor_postings(raw, "google", as_of="2024-03-31")
+
+
 def _payload_pages(spark, sf):
     """Detail pages synthesised from suppliers: a status label and an entity-encoded
     ``data-page`` JSON attribute (absent for one nation group, broken for another)."""
@@ -333,16 +378,18 @@ EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructFi
                              T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-@query("stream_insert_ignore", "SELECT DISTINCT user_id, event_type FROM events")
+@query("stream_insert_ignore", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
 def stream_insert_ignore(spark, sf):
-    """L1 over the events file as a stream (availableNow); result = the first row of every
-    (user, type) key — compared on the key set, which does not depend on arrival order."""
+    """L1 over the events file as a stream (availableNow): one row per (user, type, day). Two events
+    of one day are never more than the delay of one day apart, so the state holds about two days of
+    keys — compared on the key set, which does not depend on arrival order."""
     out = scratch_path(spark, "stream-dedupe-out")
     ckpt = scratch_path(spark, "stream-dedupe-ckpt")
-    stream = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
-    deduped = L.stream_insert_ignore(stream, ["user_id", "event_type"], "ts", "3650 days")
+    stream = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
+              .withColumn("day", F.to_date("ts")))
+    deduped = L.stream_insert_ignore(stream, ["user_id", "event_type", "day"], "ts", "1 day")
     L.run_available_now(deduped.writeStream.format("parquet").option("path", out), ckpt)
-    return spark.read.parquet(out).select("user_id", "event_type")
+    return spark.read.parquet(out).select("user_id", "event_type", "day")
 
 
 @query("stream_upsert", """

@@ -11,7 +11,7 @@ from ..operators import sets as G
 from ..operators.diff import compare_snapshots, diff_counts
 from ..operators.flatten import flatten_links, zip_parallel
 from ..operators.split import company_halves, split_halves
-from ..operators.validate import audit_constraints, fk_violations, unique_violations
+from ..operators.validate import audit_constraints, audit_warehouse, fk_violations, unique_violations
 from .bindings import _URL_SQL, _job_url, founders
 from .catalog import query, table
 
@@ -290,3 +290,61 @@ def audit_constraints_q(spark, sf):
     live = table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
     return audit_constraints([unique_violations(li, "lineitem", ["l_orderkey", "l_linenumber"]),
                               fk_violations(li, "lineitem", "l_orderkey", live, "o_orderkey")])
+
+
+@query("audit_warehouse", """
+WITH company AS (SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_acctbal >= 0 THEN c_name END AS name,
+                        's' || CAST(c_custkey // 2 AS VARCHAR) AS slug FROM customer),
+office AS (SELECT s_suppkey AS id, 'NATION_' || CAST(s_nationkey AS VARCHAR) AS location FROM supplier WHERE s_acctbal >= 0),
+job AS (SELECT o_orderkey AS id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS title,
+               CASE WHEN o_orderstatus <> 'O' THEN 'u' || CAST(o_custkey AS VARCHAR) END AS url,
+               'c' || CAST(CASE WHEN o_orderstatus = 'P' THEN -o_custkey - 1 ELSE o_custkey END AS VARCHAR) AS companyId
+        FROM orders),
+job_office AS (SELECT l_orderkey AS jobId, l_suppkey AS officeId FROM lineitem),
+salary_range AS (SELECT o_orderkey AS id, o_orderkey // 2 AS jobId FROM orders),
+v AS (
+  SELECT 'company' AS table_name, 'not_null(name)' AS rule, NULL AS key_value, count(*) AS n FROM company WHERE name IS NULL
+  UNION ALL SELECT 'job', 'not_null(title)', NULL, count(*) FROM job WHERE title IS NULL
+  UNION ALL SELECT 'company', 'unique(slug)', slug, count(*) FROM company GROUP BY slug HAVING count(*) > 1
+  UNION ALL SELECT 'office', 'unique(location)', location, count(*) FROM office GROUP BY location HAVING count(*) > 1
+  UNION ALL SELECT 'job', 'unique(url,companyId)', url || '|' || companyId, count(*) FROM job WHERE url IS NOT NULL
+            GROUP BY url, companyId HAVING count(*) > 1
+  UNION ALL SELECT 'job_office', 'unique(jobId,officeId)', CAST(jobId AS VARCHAR) || '|' || CAST(officeId AS VARCHAR), count(*)
+            FROM job_office GROUP BY jobId, officeId HAVING count(*) > 1
+  UNION ALL SELECT 'salary_range', 'unique(jobId)', CAST(jobId AS VARCHAR), count(*) FROM salary_range
+            GROUP BY jobId HAVING count(*) > 1
+  UNION ALL SELECT 'job', 'fk(companyId)', companyId, count(*) FROM job
+            WHERE companyId NOT IN (SELECT id FROM company) GROUP BY companyId
+  UNION ALL SELECT 'job_office', 'fk(jobId)', CAST(jobId AS VARCHAR), count(*) FROM job_office
+            WHERE jobId NOT IN (SELECT id FROM job) GROUP BY jobId
+  UNION ALL SELECT 'job_office', 'fk(officeId)', CAST(officeId AS VARCHAR), count(*) FROM job_office
+            WHERE officeId NOT IN (SELECT id FROM office) GROUP BY officeId
+  UNION ALL SELECT 'salary_range', 'fk(jobId)', CAST(jobId AS VARCHAR), count(*) FROM salary_range
+            WHERE jobId NOT IN (SELECT id FROM job) GROUP BY jobId)
+SELECT * FROM v WHERE n > 0""")
+def audit_warehouse_q(spark, sf):
+    """H9: all rules of the 14 warehouse tables, over a warehouse that breaks several of them."""
+    from .. import schemas as SC
+    from .jobs import conform, empty_warehouse
+    no = F.lit(False)
+    c, o, s, li = (table(spark, sf, t) for t in ("customer", "orders", "supplier", "lineitem"))
+    key = F.col("c_custkey")
+    company = c.select(F.concat(F.lit("c"), key.cast("string")).alias("id"),
+                       F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("name"),
+                       F.concat(F.lit("s"), F.floor(key / 2).cast("string")).alias("slug"), F.lit(0).alias("numJobs"),
+                       no.alias("isFeatured"), no.alias("isRemoteFriendly"))
+    office = s.filter(F.col("s_acctbal") >= 0).select(
+        F.col("s_suppkey").alias("id"), F.concat(F.lit("NATION_"), F.col("s_nationkey").cast("string")).alias("location"))
+    cust = F.col("o_custkey")
+    job = o.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("title"),
+        F.when(F.col("o_orderstatus") != "O", F.concat(F.lit("u"), cust.cast("string"))).alias("url"),
+        F.concat(F.lit("c"), F.when(F.col("o_orderstatus") == "P", -cust - 1).otherwise(cust).cast("string")).alias("companyId"),
+        *[no.alias(f) for f in ("remote", "hybrid", "manager", "consultant", "contractor")],
+        F.lit("COMPLETE").alias("dataCompleteness"))
+    job_office = li.select(F.col("l_orderkey").alias("jobId"), F.col("l_suppkey").alias("officeId"))
+    salary = o.select(F.col("o_orderkey").alias("id"), F.floor(F.col("o_orderkey") / 2).alias("jobId"))
+    tables = {"company": company, "office": office, "job": job, "job_office": job_office, "salary_range": salary}
+    wh = empty_warehouse(spark) | {name: conform(df, SC.WAREHOUSE[name]) for name, df in tables.items()}
+    return audit_warehouse(wh, SC.REQUIRED, SC.UNIQUE, SC.FOREIGN)

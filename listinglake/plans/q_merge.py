@@ -388,3 +388,78 @@ def portfolio_job_state(spark, sf):
                                 "officeId").select("jobId", "office")
     return j.join(c, "companyId").join(sal, "jobId", "left").join(off, "jobId", "left") \
         .select("slug", "title", "url", "minValue", "office")
+
+
+# A warehouse that earlier loads filled: the customers outside BUILDING as companies, and per fulfilled
+# order of theirs a job that another feed described.
+_HELD_SQL = """
+WITH company AS (SELECT c_custkey, c_mktsegment <> 'BUILDING' AS held FROM customer),
+held AS (SELECT o_orderkey, o_custkey, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey
+         WHERE o_orderstatus = 'F' AND c_mktsegment <> 'BUILDING')
+"""
+
+
+def _held_warehouse(spark, sf, title):
+    from .. import schemas as SC
+    from . import jobs as K
+    c = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+    key = F.col("c_custkey").cast("string")
+    company = c.select(F.concat(F.lit("held-"), key).alias("id"), F.col("c_name").alias("name"),
+                       F.concat(F.lit("cust-"), key).alias("slug"), F.lit("W1").alias("batchInfo"),
+                       F.lit(-1).alias("staffCount"), F.lit(0).alias("numJobs"))
+    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").join(
+        c.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
+    k = F.col("o_orderkey").cast("string")
+    job = o.select(F.concat(F.lit("held-"), k).alias("id"), title.alias("title"), F.concat(F.lit("job/"), k).alias("url"),
+                   F.concat(F.lit("held-"), F.col("o_custkey").cast("string")).alias("companyId"),
+                   F.concat(F.lit("text "), k).alias("description"), F.lit("1%").alias("equityRange"))
+    salary = job.select(F.concat(F.lit("s-"), "id").alias("id"), F.col("id").alias("jobId"), F.lit(1.0).alias("minValue"))
+    return K.empty_warehouse(spark) | {"company": K.conform(company, SC.COMPANY), "job": K.conform(job, SC.JOB),
+                                       "salary_range": K.conform(salary, SC.SALARY_RANGE)}
+
+
+def _state_rows(wh):
+    """Every job with its company's slug, its salary range and its office."""
+    c = wh["company"].select(F.col("id").alias("companyId"), "slug", "batchInfo", "staffCount", "numJobs")
+    sal = wh["salary_range"].select("jobId", "minValue")
+    off = wh["job_office"].join(wh["office"].select(F.col("id").alias("officeId"), F.col("location").alias("office")),
+                                "officeId").select("jobId", "office")
+    j = wh["job"].select(F.col("id").alias("jobId"), "companyId", "title", "url", "description", "equityRange")
+    return j.join(c, "companyId").join(sal, "jobId", "left").join(off, "jobId", "left").select(
+        "slug", "batchInfo", "staffCount", "numJobs", "title", "url", "description", "equityRange", "minValue", "office")
+
+
+@query("portfolio_upsert_state", _HELD_SQL + """,
+last AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey DESC) = 1),
+job AS (SELECT l.*, h.o_orderkey AS old FROM last l
+        LEFT JOIN held h ON h.o_custkey = l.o_custkey AND h.o_orderpriority = l.o_orderpriority)
+SELECT 'cust-' || CAST(c.c_custkey AS VARCHAR) AS slug, CASE WHEN company.held THEN 'W1' END AS batchInfo,
+       nullif(c.c_nationkey, 0) AS staffCount, count(*) OVER (PARTITION BY c.c_custkey) AS numJobs,
+       o_orderpriority AS title, 'job/' || CAST(o_orderkey AS VARCHAR) AS url,
+       'text ' || CAST(old AS VARCHAR) AS description, CASE WHEN old IS NOT NULL THEN '1%' END AS equityRange,
+       o_totalprice AS minValue, o_orderstatus AS office
+FROM job JOIN customer c ON o_custkey = c.c_custkey JOIN company ON company.c_custkey = c.c_custkey""")
+def portfolio_upsert_state(spark, sf):
+    """K2, upsert, into a warehouse with rows: every held job of a staged (company, title) takes the last
+    staged row's columns, keeps what other feeds wrote, and has its salary range and offices replaced."""
+    from . import jobs as K
+    wh, _ = K.load_portfolio(_held_warehouse(spark, sf, F.col("o_orderpriority")), *_landed_portfolio(spark, sf))
+    return _state_rows(wh)
+
+
+@query("portfolio_insert_state", _HELD_SQL + """
+SELECT 'cust-' || CAST(c.c_custkey AS VARCHAR) AS slug, CASE WHEN company.held THEN 'W1' END AS batchInfo,
+       CASE WHEN company.held THEN -1 ELSE nullif(c.c_nationkey, 0) END AS staffCount,
+       count(*) OVER (PARTITION BY c.c_custkey) AS numJobs,
+       CASE WHEN h.o_orderkey IS NOT NULL THEN 'old ' ELSE '' END || o.o_orderpriority AS title,
+       'job/' || CAST(o.o_orderkey AS VARCHAR) AS url, 'text ' || CAST(h.o_orderkey AS VARCHAR) AS description,
+       CASE WHEN h.o_orderkey IS NOT NULL THEN '1%' END AS equityRange, o_totalprice AS minValue, o_orderstatus AS office
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN company ON company.c_custkey = c.c_custkey
+LEFT JOIN held h ON h.o_orderkey = o.o_orderkey""")
+def portfolio_insert_state(spark, sf):
+    """K2, insert, into a warehouse with rows: held companies and held (url, company) jobs stay as they
+    are, the others are added; salary ranges and offices follow the staged rows."""
+    from . import jobs as K
+    held = _held_warehouse(spark, sf, F.concat(F.lit("old "), "o_orderpriority"))
+    wh, _ = K.load_portfolio(held, *_landed_portfolio(spark, sf), mode="insert")
+    return _state_rows(wh)

@@ -43,6 +43,37 @@ WAREHOUSE = {
     "job": JOB, "job_office": JOB_OFFICE, "salary_range": SALARY_RANGE,
 }
 
+# The warehouse's rules. Required columns, unique keys (primary keys first) and foreign keys
+# (column → table and its key).
+REQUIRED = {
+    "company": ["id", "name", "numJobs", "slug", "isFeatured", "isRemoteFriendly"],
+    "market": ["id", "name"], "stage": ["id", "name"], "office": ["id", "location"],
+    "investor": ["id", "name", "slug"], "founder": ["id", "name"],
+    "company_market": ["companyId", "marketId"], "company_stage": ["companyId", "stageId"],
+    "company_office": ["companyId", "officeId"], "company_investor": ["companyId", "investorId"],
+    "company_founder": ["companyId", "founderId"],
+    "job": ["id", "title", "companyId", "remote", "hybrid", "manager", "consultant", "contractor", "dataCompleteness"],
+    "job_office": ["jobId", "officeId"], "salary_range": ["id", "jobId"],
+}
+UNIQUE = {
+    "company": [["id"], ["slug"]], "market": [["id"], ["name"]], "stage": [["id"], ["name"]],
+    "office": [["id"], ["location"]], "investor": [["id"], ["name"], ["slug"]], "founder": [["id"], ["name", "linkedin"]],
+    "company_market": [["companyId", "marketId"]], "company_stage": [["companyId", "stageId"]],
+    "company_office": [["companyId", "officeId"]], "company_investor": [["companyId", "investorId"]],
+    "company_founder": [["companyId", "founderId"]], "job": [["id"], ["url", "companyId"]],
+    "job_office": [["jobId", "officeId"]], "salary_range": [["id"], ["jobId"]],
+}
+FOREIGN = {
+    "company_market": {"companyId": ("company", "id"), "marketId": ("market", "id")},
+    "company_stage": {"companyId": ("company", "id"), "stageId": ("stage", "id")},
+    "company_office": {"companyId": ("company", "id"), "officeId": ("office", "id")},
+    "company_investor": {"companyId": ("company", "id"), "investorId": ("investor", "id")},
+    "company_founder": {"companyId": ("company", "id"), "founderId": ("founder", "id")},
+    "job": {"companyId": ("company", "id")},
+    "job_office": {"jobId": ("job", "id"), "officeId": ("office", "id")},
+    "salary_range": {"jobId": ("job", "id")},
+}
+
 # ---- landed shapes ---------------------------------------------------------------------
 PORTFOLIO_COMPANY = struct(
     ("name", S), ("slug", S), ("id", S), ("description", S), ("domain", S), ("companyDomain", S),

@@ -21,27 +21,31 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def list_versions(spark: SparkSession, base: str, table: str) -> list[int]:
+def _version_folders(spark: SparkSession, base: str, table: str) -> list[int]:
+    """Numbers of all version folders, half-written ones of a crashed commit included: one listing."""
     fs, p = _fs(spark, f"{base.rstrip('/')}/{table}")
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm_path(spark, st.getPath().toString() + "/_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
 
 
-def next_version(spark: SparkSession, base: str, table: str) -> int:
-    """One above every version folder, half-written ones of a crashed commit included."""
-    fs, p = _fs(spark, f"{base.rstrip('/')}/{table}")
-    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-    return max([int(n[2:]) for n in names if n.startswith("v=")], default=0) + 1
+def _is_committed(spark: SparkSession, base: str, table: str, v: int) -> bool:
+    fs, p = _fs(spark, f"{base.rstrip('/')}/{table}/v={v}/_SUCCESS")
+    return fs.exists(p)
 
 
-def jvm_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+def list_versions(spark: SparkSession, base: str, table: str) -> list[int]:
+    """Every committed version, oldest first (one look per version: for clean-up, not for loads)."""
+    return [v for v in _version_folders(spark, base, table) if _is_committed(spark, base, table, v)]
+
+
+def current_version(spark: SparkSession, base: str, table: str) -> int | None:
+    """The newest committed version; looks only at folders newer than it and at itself."""
+    return next((v for v in reversed(_version_folders(spark, base, table)) if _is_committed(spark, base, table, v)), None)
+
+
+def next_version(spark: SparkSession, base: str, table: str) -> int:
+    """One above every version folder, half-written ones of a crashed commit included."""
+    return max(_version_folders(spark, base, table), default=0) + 1
 
 
 def commit_version(df: DataFrame, base: str, table: str) -> int:
@@ -54,10 +58,10 @@ def commit_version(df: DataFrame, base: str, table: str) -> int:
 
 def read_current(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Latest committed version of ``table`` (None, or an empty typed frame, when none)."""
-    versions = list_versions(spark, base, table)
-    if not versions:
+    v = current_version(spark, base, table)
+    if v is None:
         return empty_frame(spark, schema) if schema is not None else None
-    return spark.read.parquet(f"{base.rstrip('/')}/{table}/v={versions[-1]}")
+    return spark.read.parquet(f"{base.rstrip('/')}/{table}/v={v}")
 
 
 def _table_name(table: str, version: int, base: str = "") -> str:
@@ -90,10 +94,9 @@ def read_bucketed(spark: SparkSession, base: str, table: str) -> DataFrame | Non
     """Latest version of a bucketed table, registered with its bucket spec (no re-shuffle on
     key joins). Falls back to a plain read for versions written without a spec."""
     import json
-    versions = list_versions(spark, base, table)
-    if not versions:
+    v = current_version(spark, base, table)
+    if v is None:
         return None
-    v = versions[-1]
     path = f"{base.rstrip('/')}/{table}/v={v}"
     fs, p = _fs(spark, f"{path}/_bucket_spec.json")
     if not fs.exists(p):

@@ -4,9 +4,9 @@
   State is bounded by the watermark delay, so an id repeated later than the delay is emitted
   again (the batch form, with an unbounded unique index, would ignore it).
 * L2 — each micro-batch of newly landed files is merged into a versioned warehouse table
-  with ``foreachBatch``. Every committed version carries a (query, batch id) marker and a
-  batch whose marker exists is skipped, so a replayed batch (after a driver or executor loss)
-  is idempotent; the merge keeps the row with the greatest ordinal per key, so the final
+  with ``foreachBatch``. Every merged batch leaves a (query, batch id) marker beside the versions
+  (so removing old versions keeps it) and a batch whose marker exists is skipped, so a replayed
+  batch (after a driver or executor loss) is idempotent; the merge keeps the row with the greatest ordinal per key, so the final
   state does not depend on how files were cut into batches.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedupe import last_wins
-from ..sources.sinks import list_versions, read_current
+from ..sources.sinks import read_current
 
 
 def stream_insert_ignore(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -35,23 +35,19 @@ def merge_batch(current: DataFrame | None, batch: DataFrame, key: list[str], ord
 
 def upsert_writer(base: str, table: str, key: list[str], ordinal: str, query_name: str = "stream"):
     """``foreachBatch`` function committing ``merge(current, batch)`` as the next version of the
-    table, tagged with a marker for (query, batch id). A replayed batch whose marker already
-    exists is skipped; a crash between the commit and the marker only re-applies the batch,
+    table and then the marker ``_batches/<query>/<batch id>``: one look per batch, however many
+    versions there are. A replayed batch whose marker already exists is skipped; a crash between the commit and the marker only re-applies the batch,
     which the greatest-ordinal merge absorbs (same state)."""
     from ..sources.sinks import _fs, commit_version
 
     def _write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = f"_batch_{query_name}_{batch_id}"
-        root = f"{base.rstrip('/')}/{table}"
-        for v in reversed(list_versions(spark, base, table)):
-            fs, p = _fs(spark, f"{root}/v={v}/{marker}")
-            if fs.exists(p):
-                return  # replay of a committed batch
+        fs, marker = _fs(spark, f"{base.rstrip('/')}/{table}/_batches/{query_name}/{batch_id}")
+        if fs.exists(marker):
+            return  # replay of a committed batch
         current = read_current(spark, base, table)
-        v = commit_version(merge_batch(current, batch, key, ordinal), base, table)
-        fs, p = _fs(spark, f"{root}/v={v}/{marker}")
-        fs.create(p, True).close()
+        commit_version(merge_batch(current, batch, key, ordinal), base, table)
+        fs.create(marker, True).close()
     return _write
 
 

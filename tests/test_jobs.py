@@ -274,3 +274,24 @@ def test_directory_job_offices_and_salaries_without_url(spark):
     places = wh["job_office"].join(wh["office"].withColumnRenamed("id", "officeId"), "officeId").join(j, "jobId")
     assert sorted((r.title, r.location) for r in places.collect()) == [("Eng", "Berlin"), ("Eng", "Lima"), ("PM", "Rome")]
     assert sorted((r.title, r.minValue) for r in wh["salary_range"].join(j, "jobId").collect()) == [("Eng", 110000.0), ("PM", 90000.0)]
+
+
+def test_later_record_of_a_slug_wins_by_feed_order(spark):
+    base, details, jobs = directory_frames(spark)
+    one = base.filter("slug = 'zeta'").drop("name")
+    again = one.withColumn("name", F.lit("Zeta late")).withColumn("file_name", F.lit("b.json")).withColumn("pos", F.lit(1))
+    first = one.withColumn("name", F.lit("A early")).withColumn("file_name", F.lit("a.json")).withColumn("pos", F.lit(9))
+    for both in (again.unionByName(first), first.unionByName(again)):
+        fmt = K.format_directory(both, details, jobs, "2024-03-31 00:00:00")
+        wh, _ = K.load_directory(K.empty_warehouse(spark), fmt["companies"], fmt["jobs"])
+        assert [r.name for r in wh["company"].collect()] == ["Zeta late"]
+
+
+def test_flat_feed_order_is_numeric_and_repeats_add_nothing(spark):
+    url = "https://www.amazon.jobs/en/jobs/1"
+    flat = spark.createDataFrame([("10", "ten", None, None, None, url, "amazon"),
+                                  ("9", "nine", None, None, None, url, "amazon"),
+                                  ("x", "no url", None, None, None, None, "amazon")], SC.FLAT_JOB)
+    wh, _ = K.load_flat_feed(K.empty_warehouse(spark), flat, "2024-03-31 00:00:00")
+    wh, _ = K.load_flat_feed(wh, flat, "2024-03-31 00:00:00")
+    assert sorted(r.title for r in wh["job"].collect()) == ["nine", "no url"]

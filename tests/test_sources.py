@@ -95,7 +95,9 @@ def test_stream_insert_ignore_and_upsert_replay(spark, tmp_dir):
     assert got == {1: "a2", 2: "b"}
     # a replayed batch id is skipped (its marker is already committed)
     L.upsert_writer(base, "t", ["id"], "ts")(batch1.limit(1), 0)
-    assert S.list_versions(spark, base, "t") == [1]
+    assert S.list_versions(spark, base, "t") == [1] and S.current_version(spark, base, "t") == 1
+    fs, marker = S._fs(spark, f"{base}/t/_batches/stream/0")
+    assert fs.exists(marker)
     # versions committed by someone else do not hide a new batch
     other = f"{tmp_dir}/wh2"
     S.commit_version(batch1.limit(0), other, "t")
