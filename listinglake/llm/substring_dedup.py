@@ -1,14 +1,20 @@
 """Substring dedup (operator 1): sliding sentence spans.
 
-Sentences end at ``.``, ``!`` or ``?`` before white space, or at a line break. Every run of ``run``
-consecutive sentences with at least ``min_words`` words together is hashed (two XXH64 of different
-seeds, so that 10^13 runs stay free of collisions), runs are counted globally with map-side
-combination, and the repeated ones are joined back. The first occurrence of a run, by
+Sentences end at ``.``, ``!`` or ``?`` before white space, or at a line break. A run is ``RUN``
+consecutive sentences, or as many more as reach ``min_words`` words together: the shortest such run
+from every sentence on and the shortest up to every sentence, so that a repeated passage of
+``min_words`` words or more is covered whole, however short its sentences. A text of several sentences
+that has fewer words is one run. Characters of scripts without spaces count as words. Runs are
+hashed (two XXH64 of different seeds, so that 10^13 runs stay free of collisions), counted globally
+with map-side combination, and the repeated ones are joined back. The first occurrence of a run, by
 (doc_id, text hash, position), stays; sentences covered by any other occurrence are removed, and the
 rest of the text is put together again with its original white space.
 
+With ``run`` given, only runs of exactly so many sentences are looked at, and shorter ones than
+``min_words`` are left out; the registered query does not use this.
+
 Defined results: null text counts as empty and comes back empty; a null doc_id sorts last; texts
-with fewer sentences than a run are unchanged; repeated rows of one (doc_id, text) are one document
+of one sentence are unchanged; repeated rows of one (doc_id, text) are one document
 in the count and get the same result; a run that repeats inside a document is removed there too; an
 empty table returns no rows; other columns are never read.
 """
@@ -23,6 +29,9 @@ from pyspark.sql import functions as F
 from .common import mapped, packed, small_batches, stored, text_hash
 
 RUN, MIN_WORDS = 2, 10
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han characters
+UNSPACED = ("\u0E01-\u0E3A\u0E40-\u0E4E\u0E81-\u0ECE\u0F40-\u0FBC\u1000-\u1049\u1780-\u17D3\u3005-\u3007\u3041-\u30FF"
+            "\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF")
 ENDS = r"([.!?][\x20\x09\x0B-\x0D]+\n?[\x20\x09-\x0D]*|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*)"
 
 
@@ -44,53 +53,94 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def runs(text: Column, run: int, min_words: int) -> Column:
-    """array<struct<pos, h1, h2>> of the runs of a text."""
-    def sentence(p):
-        s = normalised(p)
-        return F.struct(F.xxhash64(s).alias("a"), F.xxhash64(s, F.lit("second")).alias("b"),
-                        (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).alias("n"))
+def sentence(piece: Column) -> Column:
+    """Two hashes and the number of words of a sentence."""
+    s = normalised(piece)
+    spaces = F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
+    unspaced = F.when(F.octet_length(s) > F.length(s), F.length(F.regexp_replace(s, f"[^{UNSPACED}]+", ""))).otherwise(0)
+    return F.struct(F.xxhash64(s).alias("a"), F.xxhash64(s, F.lit("second")).alias("b"), (spaces + F.greatest(unspaced, F.lit(1))).alias("n"))
+
 
+def runs(text: Column, run: int, min_words: int) -> Column:
+    """array<struct<pos, len, h1, h2>> of the runs of exactly ``run`` sentences with ``min_words`` words of a text."""
     def of(ss):
         def at(x, i):
             rest = [F.get(ss, i + j) for j in range(1, run)]
-            words = x["n"]
-            for r in rest:
-                words = words + r["n"]
-            return F.struct(i.alias("pos"), F.xxhash64(x["a"], *[r["a"] for r in rest]).alias("h1"),
-                            F.xxhash64(x["b"], *[r["b"] for r in rest]).alias("h2"), words.alias("n"))
-        whole = F.slice(F.transform(ss, at), F.lit(1), F.greatest(F.size(ss) - (run - 1), F.lit(0)))
-        return F.filter(whole, lambda r: r["n"] >= min_words)
+            words = sum((r["n"] for r in rest), x["n"])
+            return F.when(words >= min_words, F.struct(i.alias("pos"), F.lit(run).alias("len"), F.xxhash64(x["a"], *[r["a"] for r in rest]).alias("h1"),
+                                                       F.xxhash64(x["b"], *[r["b"] for r in rest]).alias("h2")))
+        return F.filter(F.transform(ss, at), lambda r: r.isNotNull())
+
+    return _let(F.transform(pieces(text), sentence), of)
+
+
+def spans(text: Column, min_words: int) -> Column:
+    """array<struct<pos, len, h1, h2>> of the shortest runs of ``RUN`` sentences or more with ``min_words`` words
+    from and up to every sentence of a text; as every sentence has a word, ``most`` sentences are always enough."""
+    most = max(RUN, min_words)
+
+    def enough(r):
+        return (r["len"] >= RUN) & (r["words"] >= min_words)
+
+    def reach(part):
+        return F.aggregate(part, F.struct(F.lit(0).alias("len"), F.lit(0).alias("words")), lambda r, x: F.when(enough(r), r).otherwise(
+            F.struct((r["len"] + 1).alias("len"), (r["words"] + x["n"]).alias("words"))))
+
+    def of(ss):
+        def span(pos, size):
+            return _let(F.slice(ss, pos + 1, size), lambda part: F.struct(
+                pos.alias("pos"), size.alias("len"), F.xxhash64(F.transform(part, lambda x: x["a"])).alias("h1"),
+                F.xxhash64(F.transform(part, lambda x: x["b"])).alias("h2")))
+
+        def ahead(x, i):
+            rest = [F.get(ss, i + j) for j in range(1, RUN)]
+            quick = F.struct(i.alias("pos"), F.lit(RUN).alias("len"), F.xxhash64(x["a"], *[r["a"] for r in rest]).alias("h1"),
+                             F.xxhash64(x["b"], *[r["b"] for r in rest]).alias("h2"))
+            return F.when(sum((r["n"] for r in rest), x["n"]) >= min_words, quick).otherwise(
+                _let(reach(F.slice(ss, i + 1, F.lit(most))), lambda r: F.when(enough(r), span(i, r["len"]))))
+
+        def behind(x, i):
+            # only where the run from the same first sentence on ends earlier: the others are found by ahead
+            first = F.greatest(i - (most - 1), F.lit(0))
+            return F.when(sum((F.get(ss, i - j)["n"] for j in range(1, RUN)), x["n"]) < min_words, _let(
+                reach(F.reverse(F.slice(ss, first + 1, i - first + 1))), lambda r: F.when(
+                    enough(r) & (r["len"] > RUN) & (r["words"] - x["n"] >= min_words), span(i - r["len"] + 1, r["len"]))))
+
+        found = F.filter(F.concat(F.transform(ss, ahead), F.transform(ss, behind)), lambda r: r.isNotNull())
+        return _let(found, lambda f: F.when((F.size(f) == 0) & (F.size(ss) >= RUN), F.array(span(F.lit(0), F.size(ss)))).otherwise(f))
 
     return _let(F.transform(pieces(text), sentence), of)
 
 
-def removed_sentences(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, _th, starts: sorted positions of the non-first repeated runs of a document."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("_th"), F.explode(runs(F.col("text"), run, min_words)).alias("r"))
-    rows = stored(rows.select("doc_id", "_th", F.col("r.pos").alias("pos"), F.col("r.h1").alias("h1"), F.col("r.h2").alias("h2")), "runs")
+def removed_sentences(docs: DataFrame, run: int | None = None, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, _th, spans: sorted positions and lengths of the non-first repeated runs of a document."""
+    found = spans(F.col("text"), min_words) if run is None else runs(F.col("text"), run, min_words)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("_th"), F.explode(found).alias("r"))
+    rows = stored(rows.select("doc_id", "_th", "r.*"), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_th"), F.col("pos"))
     first = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     # stored: both sides of the join get exchanges of their own, and a very common run is split
     later = rows.join(stored(first.select("h1", "h2", "first"), "repeated-runs"), ["h1", "h2"]).filter(place != F.col("first"))
-    return later.groupBy("doc_id", "_th").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
+    return later.groupBy("doc_id", "_th").agg(F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("spans"))
 
 
-def substring_dedup(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def substring_dedup(docs: DataFrame, run: int | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text (what stays), n_sentences, n_removed, removed (positions) for every document row."""
     marks = stored(removed_sentences(docs, run, min_words), "removed")
-    k = marks.select(F.col("doc_id").alias("m_id"), F.col("_th").alias("m_th"), "starts")
+    k = marks.select(F.col("doc_id").alias("m_id"), F.col("_th").alias("m_th"), "spans")
     rows = packed(docs.select("doc_id", "text")).join(
         k, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("_th") == F.col("m_th")), "left")
-    rows = rows.select("doc_id", pieces(F.col("_doc.text")).alias("pieces"), "starts")
+    rows = rows.select("doc_id", pieces(F.col("_doc.text")).alias("pieces"), "spans")
 
     def batch(b: pa.RecordBatch) -> dict:
         out = {"text": [], "n_sentences": [], "n_removed": [], "removed": []}
         for i in range(b.num_rows):
-            parts, starts = b.column("pieces")[i].as_py(), b.column("starts")[i].as_py() or []
+            parts, later = b.column("pieces")[i].as_py(), b.column("spans")[i].values
             gone = np.zeros(len(parts), bool)
-            for j in range(run):
-                gone[np.asarray(starts, np.int64) + j] = True
+            if later is not None:
+                starts, sizes = (x.to_numpy() for x in later.flatten())
+                for j in range(int(sizes.max())):
+                    gone[starts[sizes > j] + j] = True
             at = np.flatnonzero(gone).tolist()
             out["text"].append("".join(p for p, g in zip(parts, gone) if not g) if at else "".join(parts))
             out["n_sentences"].append(len(parts)), out["n_removed"].append(len(at)), out["removed"].append(at)

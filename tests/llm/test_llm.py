@@ -180,6 +180,40 @@ def test_substring_against_brute_force(spark, run, least):
     assert "second sentence" in got[200_000][0] and "second sentence" not in got[200_001][0] + got[200_002][0]
 
 
+def brute_spans(texts):
+    """Removed sentences of the registered query: any run of sentences that is shortest from its first or up to its last one."""
+    runs, gone = collections.defaultdict(list), {i: set() for i, _ in texts}
+    for i, t in texts:
+        ps = [re.sub(r"[\x09-\x0D]", " ", p).strip(" ").lower() for p in brute_pieces(t or "")]
+        words = [p.count(" ") + max(1, len(re.findall(f"[{substring_dedup.UNSPACED}]", p))) for p in ps]
+        n, found = len(ps), set()
+        for k in range(n):
+            found |= {(k, e) for e in [next((e for e in range(k + 2, n + 1) if sum(words[k:e]) >= 10), None)] if e}
+            found |= {(b, k + 1) for b in [next((b for b in range(k - 1, -1, -1) if sum(words[b:k + 1]) >= 10), None)] if b is not None}
+        if not found and n > 1:
+            found = {(0, n)}
+        for a, e in found:
+            runs[tuple(ps[a:e])].append((i, a))
+    for key, places in runs.items():
+        for i, a in sorted(places)[1:]:
+            gone[i] |= set(range(a, a + len(key)))
+    return {i: sorted(g) for i, g in gone.items()}
+
+
+def test_substring_short_sentences(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    menu = "\n".join(f"item {k}" for k in range(40, 52)) + "\nThe long line of the menu has eleven words or more in it.\nSoup.\nBread.\nTea."
+    han = "今天天气很好\n我们去公园\n然后回家吃饭"
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [
+        (200_000, f"One begins.\n{menu}\nOne ends here."), (200_001, f"Two begins?\n{menu}\nTwo ends."), (200_002, f"Three begins!\n{menu}"),
+        (200_003, f"开始\n{han}\n第一个结尾"), (200_004, f"另一个\n{han}\n第二个结束了"), (200_005, "Ja. Nein."), (200_006, "Ja. Nein."), (200_007, "Ja. Nein. Other words follow.")]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i: r.removed for i, r in got.items()} == brute_spans(rows)
+    assert got[200_000].n_removed == 0 and got[200_001].text == "Two begins?\nTwo ends." and got[200_002].text == "Three begins!\n"
+    assert got[200_003].n_removed == 0 and got[200_004].text == "另一个\n第二个结束了"
+    assert [got[i].n_removed for i in (200_005, 200_006, 200_007)] == [0, 2, 0]
+
+
 def test_substring_edges(spark):
     out = {(r.doc_id, r.n_sentences): r for r in substring_dedup.substring_dedup(edges(spark)).collect()}
     assert out[9, 3].text == "\x01\x02 odd \x01 bytes. Next one here. And so on."
