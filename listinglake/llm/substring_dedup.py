@@ -1,10 +1,11 @@
 """Substring dedup (operator 1): sliding sentence spans.
 
-Sentences end at ``.``, ``!`` or ``?`` before white space, or at a line break. A run is ``RUN``
+Sentences end at ``.``, ``!`` or ``?`` before white space, at the full stops, question and exclamation
+marks of other scripts (with or without white space behind), or at a line break. A run is ``RUN``
 consecutive sentences, or as many more as reach ``min_words`` words together: the shortest such run
 from every sentence on and the shortest up to every sentence, so that a repeated passage of
-``min_words`` words or more is covered whole, however short its sentences. A text of several sentences
-that has fewer words is one run. Characters of scripts without spaces count as words. Runs are
+``min_words`` words or more is covered whole, however short its sentences. A text of one
+sentence, or of fewer words, is one run. Characters of scripts without spaces count as words. Runs are
 hashed (two XXH64 of different seeds, so that 10^13 runs stay free of collisions), counted globally
 with map-side combination, and the repeated ones are joined back. The first occurrence of a run, by
 (doc_id, text hash, position), stays; sentences covered by any other occurrence are removed, and the
@@ -13,8 +14,8 @@ rest of the text is put together again with its original white space.
 With ``run`` given, only runs of exactly so many sentences are looked at, and shorter ones than
 ``min_words`` are left out; the registered query does not use this.
 
-Defined results: null text counts as empty and comes back empty; a null doc_id sorts last; texts
-of one sentence are unchanged; repeated rows of one (doc_id, text) are one document
+Defined results: null text counts as empty and comes back empty; a null doc_id sorts last; a text
+of one sentence is compared with other whole texts only; texts of white space are unchanged; repeated rows of one (doc_id, text) are one document
 in the count and get the same result; a run that repeats inside a document is removed there too; an
 empty table returns no rows; other columns are never read.
 """
@@ -32,7 +33,9 @@ RUN, MIN_WORDS = 2, 10
 #: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han characters
 UNSPACED = ("\u0E01-\u0E3A\u0E40-\u0E4E\u0E81-\u0ECE\u0F40-\u0FBC\u1000-\u1049\u1780-\u17D3\u3005-\u3007\u3041-\u30FF"
             "\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF")
-ENDS = r"([.!?][\x20\x09\x0B-\x0D]+\n?[\x20\x09-\x0D]*|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*)"
+#: CJK, Devanagari, Arabic, Urdu, Armenian, Ethiopic, Burmese, Khmer and Tibetan ends of sentences, and what closes them
+MARKS, CLOSING = "。！？｡．‼⁇⁈⁉।॥؟۔։።፧፨။។៕།༎", "」』）】〉》”’"
+ENDS = rf"([.!?][\x20\x09\x0B-\x0D]+\n?[\x20\x09-\x0D]*|[{MARKS}][{MARKS}!?]*[{CLOSING}]*[\x20\x09-\x0D\u3000]*|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*)"
 
 
 def pieces(text: Column) -> Column:
@@ -107,7 +110,7 @@ def spans(text: Column, min_words: int) -> Column:
                     enough(r) & (r["len"] > RUN) & (r["words"] - x["n"] >= min_words), span(i - r["len"] + 1, r["len"]))))
 
         found = F.filter(F.concat(F.transform(ss, ahead), F.transform(ss, behind)), lambda r: r.isNotNull())
-        return _let(found, lambda f: F.when((F.size(f) == 0) & (F.size(ss) >= RUN), F.array(span(F.lit(0), F.size(ss)))).otherwise(f))
+        return _let(found, lambda f: F.when((F.size(f) == 0) & F.exists(ss, lambda x: x["a"] != F.xxhash64(F.lit(""))), F.array(span(F.lit(0), F.size(ss)))).otherwise(f))
 
     return _let(F.transform(pieces(text), sentence), of)
 

@@ -190,7 +190,7 @@ def brute_spans(texts):
         for k in range(n):
             found |= {(k, e) for e in [next((e for e in range(k + 2, n + 1) if sum(words[k:e]) >= 10), None)] if e}
             found |= {(b, k + 1) for b in [next((b for b in range(k - 1, -1, -1) if sum(words[b:k + 1]) >= 10), None)] if b is not None}
-        if not found and n > 1:
+        if not found and any(ps):
             found = {(0, n)}
         for a, e in found:
             runs[tuple(ps[a:e])].append((i, a))
@@ -214,6 +214,20 @@ def test_substring_short_sentences(spark):
     assert [got[i].n_removed for i in (200_005, 200_006, 200_007)] == [0, 2, 0]
 
 
+def test_substring_texts_of_one_piece_and_other_scripts(spark):
+    line = " ".join(f"w{k}" for k in range(60))
+    passages = ["今天天气很好。我们去公园！然后回家吃饭？", "यह पहला वाक्य बहुत लंबा है।यह दूसरा वाक्य भी काफ़ी लंबा है।", "هل هذا هو السؤال الأول هنا؟هذه هي الجملة الثانية في النص۔"]
+    rows = [(1, line), (2, line + "\n"), (3, line + " w60"), (4, " \n"), (5, " \n"), (6, "今日は「休み。」明日は仕事。"), (7, "今日は「休み。」明日は仕事。")]
+    for k, p in enumerate(passages):
+        rows += [(10 + 2 * k, f"一。{p}二"), (11 + 2 * k, f"三。{p}四")]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {i: r.removed for i, r in got.items()} == brute_spans(rows)
+    assert got[1].text == line and got[2].text == "" and got[3].n_removed == 0 and got[5].text == " \n"
+    assert got[6].n_sentences == 2 and got[6].n_removed == 0 and got[7].text == ""
+    for k, p in enumerate(passages):
+        assert got[10 + 2 * k].n_removed == 0 and got[11 + 2 * k].text == "三。四"
+
+
 def test_substring_edges(spark):
     out = {(r.doc_id, r.n_sentences): r for r in substring_dedup.substring_dedup(edges(spark)).collect()}
     assert out[9, 3].text == "\x01\x02 odd \x01 bytes. Next one here. And so on."
