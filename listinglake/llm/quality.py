@@ -2,8 +2,8 @@
 
 Overlapping heuristic labellers vote good, bad or nothing on every document. Votes are counted over
 all documents by pattern (3^12 at most, whatever the corpus), and
-expectation-maximisation over the patterns estimates each labeller's accuracy for either class and
-the share of good documents. The posterior of a pattern is the label of its documents: a sample bounded
+expectation-maximisation over the patterns, with one good class and a bad one for each kind of bad
+documents (``KINDS``), estimates each labeller's accuracy and the share of good documents. The posterior of a pattern is the label of its documents: a sample bounded
 by ``SAMPLE_ROWS``, spread over good and bad, trains a linear scorer on hashed features of every word
 (its shape, its ending, whether it repeats the word before) by stochastic gradient descent.
 
@@ -79,6 +79,8 @@ def votes(text: str | None) -> list[int]:
 
 
 LABELLERS = 12
+#: kinds of bad documents and the labellers that know them
+KINDS = {"symbols": (0, 9, 10, 11), "repeats": (2, 3), "repeated lines": (8,), "tables": (0, 11), "numbers": (6, 9)}
 NO_VOTES = sum(NONE * 3 ** i for i in range(LABELLERS))
 
 
@@ -103,28 +105,39 @@ class Labels:
 
 
 def weak_labels(counts: dict[int, int], rounds: int = 300) -> Labels:
-    """Two classes; a labeller votes bad, good or nothing with probabilities of its own in either class.
-    The start takes a bad vote for rare among good documents, as bad ones come in several kinds and
-    each labeller knows one or two of them."""
+    """A good class and one for every kind of bad documents; a labeller votes bad, good or nothing with
+    probabilities of its own in each class. The start takes a bad vote for rare among good documents and
+    for usual among the labellers that know a kind; these never get less likely to vote bad on their kind
+    than to vote good, so that no kind dissolves in the good class or turns into another one."""
     codes = np.array(sorted(c for c in counts if c != NO_VOTES), np.int64)
     n = np.array([counts[c] for c in codes], np.float64)
     v = codes[:, None] // 3 ** np.arange(LABELLERS) % 3
     is_vote = [v == k for k in (BAD, GOOD, NONE)]
-    start = np.array([[0.3, 0.35, 0.35], [0.02, 0.63, 0.35]])         # class bad, good: P(bad, good, no vote)
-    emit = np.repeat(start[:, :, None], LABELLERS, axis=2)
-    share, post = 0.8, np.full(len(codes), 0.8)
+    start = np.empty((1 + len(KINDS), 3, LABELLERS))                  # class (good first), P(bad, good, no vote), labeller
+    start[0], start[1:] = np.array([[0.02], [0.63], [0.35]]), np.array([[0.2], [0.4], [0.4]])
+    for c, known in enumerate(KINDS.values(), 1):
+        start[c][:, known] = [[0.8], [0.05], [0.15]]
+    emit, share = start.copy(), np.array([0.8] + [0.2 / len(KINDS)] * len(KINDS))
+    post = np.repeat(share[:, None], len(codes), axis=1)
     for _ in range(rounds):
-        of = [np.log(p) + sum(x @ np.log(emit[c, k]) for k, x in enumerate(is_vote)) for c, p in ((0, 1 - share), (1, share))]
-        new = 1 / (1 + np.exp(np.clip(of[0] - of[1], -500, 500)))
-        for c, w in ((0, n * (1 - new)), (1, n * new)):
-            emit[c] = (np.stack([w @ x for x in is_vote]) + 20 * start[c][:, None]) / (w.sum() + 20)
-        share = float(np.clip((n @ new + 8) / (n.sum() + 10), 0.02, 0.98))
-        done, post = np.abs(new - post).max() < 1e-7, new
+        of = np.stack([np.log(p) + sum(x @ np.log(e[k]) for k, x in enumerate(is_vote)) for p, e in zip(share, emit)])
+        new = np.exp(of - of.max(axis=0, initial=-np.inf))
+        new /= new.sum(axis=0)
+        for c, w in enumerate(n * new):
+            emit[c] = (np.stack([w @ x for x in is_vote]) + 20 * start[c]) / (w.sum() + 20)
+        for c, known in enumerate(KINDS.values(), 1):
+            for k in known:
+                if emit[c, BAD, k] < emit[c, GOOD, k]:
+                    emit[c, :2, k] = emit[c, :2, k].mean()
+        share = (new @ n + 10 * np.array([0.8] + [0.2 / len(KINDS)] * len(KINDS))) / (n.sum() + 10)
+        good = float(np.clip(share[0], 0.02, 0.98))
+        share = np.r_[good, share[1:] / share[1:].sum() * (1 - good)]
+        done, post = np.abs(new - post).max(initial=0) < 1e-7, new
         if done:
             break
-    weighed = emit * np.array([1 - share, share])[:, None, None]
-    accuracy = np.stack([weighed[0, 0] / weighed[:, 0].sum(axis=0), weighed[1, 1] / weighed[:, 1].sum(axis=0)])
-    return Labels(share, accuracy, dict(zip(codes.tolist(), post.tolist())) | {NO_VOTES: share})
+    weighed = emit * share[:, None, None]
+    accuracy = np.stack([weighed[1:, BAD].sum(axis=0) / weighed[:, BAD].sum(axis=0), weighed[0, GOOD] / weighed[:, GOOD].sum(axis=0)])
+    return Labels(float(share[0]), accuracy, dict(zip(codes.tolist(), post[0].tolist())) | {NO_VOTES: float(share[0])})
 
 
 _SHAPES = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile(r"[^\W\dX_]+"), "x"), (re.compile(r"\d+"), "0"))

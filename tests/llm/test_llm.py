@@ -320,6 +320,18 @@ def test_quality(spark):
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == {i for i in ids if direct[i] >= quality.KEEP_FROM}
 
 
+def test_quality_rejects_every_kind(spark):
+    lab = spark.read.parquet(f"{MEDIUM}/labels.parquet").filter("quality = 0").select("doc_id")
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    kept = collections.defaultdict(list)
+    for r in quality.score_quality(docs).join(lab, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect():
+        words = (r.text or "").split()
+        if len(words) >= quality.SHORT:
+            kind = "repeats" if quality.repeats(words) > len(words) / 2 else "tables" if words.count("|") > len(words) / 20 else "symbols"
+            kept[kind].append(r.keep)
+    assert set(kept) == {"repeats", "tables", "symbols"} and all(np.mean(k) < 0.2 for k in kept.values()), kept
+
+
 def test_quality_edges(spark):
     out = quality.keep_good(edges(spark))
     assert out.columns == edges(spark).columns and out.count() <= 16
