@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, quality, simhash_dedup, substring_dedup,
-               token_counts, toxicity)
+from . import (chat_format, decontaminate, exact_dedup, language_id, mixing, periodic_runs, personal_data, quality,
+               simhash_dedup, substring_dedup, token_counts, toxicity, whitening)
 from .common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,21 @@ def op7(spark, sf_dir):
 @query("op6_quality")
 def op6(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_personal_data")
+def op12(spark, sf_dir):
+    rows = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                       F.sha2(personal_data.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                       personal_data.written(F.col("spans")).alias("spans"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"), plant=True)
