@@ -57,7 +57,7 @@ def dense_counts(df: DataFrame, category_col, categories: list[str], name: str =
         .agg(F.count(F.lit(1)).alias("n"))
     # the category list is a fixed literal table, bounded by the rules
     cats = literal_frame(spark, [(c, i) for i, c in enumerate(categories)], f"{name} string, _ord int")
-    dense = F.broadcast(cats).join(counted, name, "left").select(
+    dense = cats.join(counted, name, "left").select(
         name, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
     if total_label is None:
         return dense

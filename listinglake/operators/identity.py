@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import completeness, truthy
-from ..session import checkpoint_dir
+from ..session import store
 from .joins import rewire_bridge
 from .keys import spread
 
@@ -34,57 +34,72 @@ def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
     return out
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src",
-                         dst: str = "dst") -> DataFrame:
-    """Min-label propagation with pointer jumping, to a fixpoint → ``(id, component)`` where
-    component is the smallest id of the connected component.
-
-    Each round (1) takes the minimum label over a vertex and its neighbours (a join on the
-    edge list + partial aggregate) and (2) jumps every label to its own label's label, which
-    halves path lengths, so the number of rounds grows with log(diameter). The round's state
-    is a reliable checkpoint in the shared checkpoint folder: lineage stays one round long and
-    a lost executor recomputes at most one round. The change count is read from the
-    checkpoint itself (no extra join). Rounds go on to the fixpoint."""
-    checkpoint_dir(nodes.sparkSession)
-    und = (edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
-                .unionByName(edges.select(F.col(dst).alias("a"), F.col(src).alias("b")))
-                .filter(F.col("a") != F.col("b")).distinct()).checkpoint(eager=True)
-    labels = nodes.select(F.col(node).alias("v")).distinct().withColumn("lbl", F.col("v")).checkpoint(eager=True)
-    while True:
-        proposals = und.join(labels, und["b"] == labels["v"]).select(F.col("a").alias("v"), "lbl",
-                                                                    F.lit(None).cast(labels.schema["lbl"].dataType).alias("old"))
-        mins = (labels.select("v", "lbl", F.col("lbl").alias("old")).unionByName(proposals)
-                      .groupBy("v").agg(F.min("lbl").alias("lbl"), F.max("old").alias("old")))
-        hop = mins.select(F.col("v").alias("_v2"), F.col("lbl").alias("_l2"))
-        jumped = (mins.join(hop, mins["lbl"] == hop["_v2"], "left")
-                      .select("v", F.least(F.col("lbl"), F.coalesce(F.col("_l2"), F.col("lbl"))).alias("lbl"), "old"))
-        state = jumped.checkpoint(eager=True)
-        changed = state.filter(F.col("lbl") != F.col("old")).limit(1).count()
-        labels = state.select("v", "lbl")
-        if changed == 0:
-            return labels.select(F.col("v").alias(node), F.col("lbl").alias("component"))
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every node links its larger neighbours to the smallest node of its neighbourhood."""
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    return both.join(spread(low), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Every node links itself and its smaller neighbours to the smallest of them. ``edges``: a > b."""
+    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    rest = edges.join(spread(low), "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    return rest.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
+
+
+def edge_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(id, component)`` of every node that has an edge; component is the smallest id it is connected to.
+
+    Alternating large-star and small-star rounds over the edges alone: nodes without edges are never looked at, a path of
+    n links needs O(log n) rounds, and the edge list does not grow beyond its size. Every round's list is written to the
+    shared folder (lineage stays one round long, a lost executor recomputes at most one round); the rounds end when the
+    list no longer changes. The one-row-per-node side of each join has an exchange of its own, so that the links of
+    a node with a third of them can be split."""
+    def state(e):
+        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    at = store(edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).filter("a <> b").distinct(), "links")
+    seen = state(at)
+    while seen[0]:
+        at = store(_small_star(_large_star(at)), "links")
+        now = state(at)
+        if now == seen:
+            break
+        seen = now
+    return at.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        at.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(id, component)`` of every node; one without edges is a component of its own."""
+    found = edge_components(edges, src, dst).withColumnRenamed("id", node)
+    return (nodes.select(node).distinct().join(found, node, "left")
+            .select(node, F.coalesce("component", node).alias("component")))
 
 
 def choose_survivors(founders: DataFrame, components: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
     """Per component: the most complete record (D13), ties → smallest id. Returns the
     mapping ``(old_id, new_id)`` for every member (survivors map to themselves)."""
-    scored = founders.join(components, id_col).withColumn("_score", completeness(fields, founders))
+    members = components.select(F.col("id").alias(id_col), "component")
+    scored = founders.join(members, id_col).select(id_col, "component", completeness(fields, founders).alias("_score"))
     best = (scored.groupBy("component")
                   .agg(F.min(F.struct((-F.col("_score")).alias("s"), F.col(id_col).alias("i"))).alias("_b"))
                   .select("component", F.col("_b.i").alias("new_id")))
-    return components.join(spread(best), "component").select(F.col(id_col).alias("old_id"), "new_id")
+    return members.join(spread(best), "component").select(F.col(id_col).alias("old_id"), "new_id")
 
 
 def merge_founders(founders: DataFrame, bridge: DataFrame, id_col: str = "id", name: str = "name",
                    via: tuple[str, ...] = ("linkedin", "twitter"), bridge_id: str = "founderId",
                    bridge_other: str = "companyId", fields: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Resolve duplicate links into components, keep one record per component, rewire
-    the bridge. Returns ``(founders, bridge, mapping)``."""
+    the bridge. Returns ``(founders, bridge, mapping)``; people without a duplicate take no part until the end, where
+    the mapping gives them to themselves."""
     fields = fields or [c for c in founders.columns if c != id_col]
     links = duplicate_links(founders, id_col, name, via)
-    comps = connected_components(founders.select(id_col), links, node=id_col, src=id_col, dst="dup_of")
-    mapping = choose_survivors(founders, comps, id_col, fields)
-    survivors = founders.join(mapping.filter(F.col("old_id") == F.col("new_id")).select(F.col("new_id").alias(id_col)),
-                              id_col, "left_semi")
-    moved = mapping.filter(F.col("old_id") != F.col("new_id"))
+    members = store(choose_survivors(founders, edge_components(links, id_col, "dup_of"), id_col, fields), "survivors")
+    moved = members.filter(F.col("old_id") != F.col("new_id"))
+    survivors = founders.join(moved.select(F.col("old_id").alias(id_col)), id_col, "left_anti")
+    mapping = (founders.select(F.col(id_col).alias("old_id")).distinct().join(members, "old_id", "left")
+               .select("old_id", F.coalesce("new_id", "old_id").alias("new_id")))
     return survivors, rewire_bridge(bridge, moved, bridge_id, bridge_other), mapping

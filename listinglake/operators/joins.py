@@ -43,10 +43,6 @@ def attach_company(jobs: DataFrame, company: DataFrame, job_key: str = "company_
     return jobs.join(c, F.col(job_key) == F.col("_ck")).drop("_ck")
 
 
-# detail fields that override the base record when truthy
-OVERRIDE_FIELDS = ["batch", "website", "description", "teamSize", "location", "status"]
-
-
 def enrich_left(base: DataFrame, details: DataFrame, jobs: DataFrame, key: str = "slug",
                 overrides: dict[str, str] | None = None) -> DataFrame:
     """Base ⟕ details ⟕ jobs on ``key``. ``overrides`` maps output column → (details

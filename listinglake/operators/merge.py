@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import truthy
@@ -45,13 +45,19 @@ def upsert(target: DataFrame, src: DataFrame, key: str, replace: list[str], ordi
     """H2/H3: by ``key``: matched rows take the batch values of ``replace`` columns and keep
     their own values of every other column (``keep`` lists ones that must never change, e.g.
     id and counters); unmatched batch rows are inserted as they are. With several batch rows
-    per key the last ``ordinal`` wins."""
-    s = last_wins(src, key, [ordinal]) if ordinal else src
-    t = target.alias("t")
-    s = s.alias("s")
+    per key the last ``ordinal`` wins. A NULL key never conflicts (H1): each such batch row is inserted
+    as it is, and such target rows stay."""
+    if ordinal:
+        own = F.when(F.col(key).isNull(), F.col(ordinal))
+        s = last_wins(src.withColumn("_nk", own), [key, "_nk"], [ordinal]).drop("_nk")
+    else:
+        s = src
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = s.withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    matched_s = F.col(f"s.{key}").isNotNull()
-    in_t = F.col(f"t.{key}").isNotNull()
+    # which side a row has is told by a mark, not by its key, which may be NULL
+    matched_s = F.col("s._in_s").isNotNull()
+    in_t = F.col("t._in_t").isNotNull()
     keep = set(keep or [])
     cols = []
     for c in target.columns:
@@ -75,11 +81,14 @@ def upsert_dimension_checked(target: DataFrame, src: DataFrame, key: str, name:
     owners = target.select(F.col(key).alias("_ok"), F.col(name).alias("_on"))
     clash_cond = (F.col(name) == F.col("_on")) & (F.col(key) != F.col("_ok"))
     free = s.join(owners, clash_cond, "left_anti")
-    # a missing name is a group of its own for every key
-    by_name = Window.partitionBy(name, F.when(F.col(name).isNull(), F.col(key))).orderBy(ordinal, key)
-    ranked = free.withColumn("_rank", F.row_number().over(by_name))
-    ok = ranked.filter("_rank = 1").drop("_rank")
-    rejects = (s.join(owners, clash_cond, "left_semi").unionByName(ranked.filter("_rank > 1").drop("_rank"))
+    # the smallest (ordinal, key) of a name comes from a partial aggregate, so a name that a third of the batch
+    # shares is neither sorted nor gathered in one task; the join back is many-to-one and can be split
+    place = F.struct(F.col(ordinal).alias("o"), F.col(key).alias("k"))
+    holders = free.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("_hn")).agg(F.min(place).alias("_first"))
+    ranked = free.join(spread(holders), F.col(name) == F.col("_hn"), "left")
+    holds = F.col(name).isNull() | (place == F.col("_first"))
+    ok = ranked.filter(holds).select(*s.columns)
+    rejects = (s.join(owners, clash_cond, "left_semi").unionByName(ranked.filter(~holds).select(*s.columns))
                .withColumn("reason", F.lit(f"{name} already used")))
     return upsert(target, ok, key, replace, keep=keep), rejects
 
@@ -92,15 +101,28 @@ def collapse_batch_jobs(staged: DataFrame, company: str, url: str, title: str, o
     return last_wins(step1, [company, title], [ordinal])
 
 
-def unheld_ids(rows: DataFrame, target: DataFrame, company: str, id_col: str = "id") -> DataFrame:
-    """New rows whose id an older row holds already get another one: the hash of that id and of the
-    company's number of rows, which grows with every insert."""
-    held = target.select(F.col(id_col).alias("_held"))
-    marked = rows.join(held, F.col(id_col) == F.col("_held"), "left")
-    sizes = target.groupBy(F.col(company).alias("_company")).agg(F.count(F.lit(1)).alias("_rows"))
-    again = (marked.filter(F.col("_held").isNotNull()).join(spread(sizes), F.col(company) == F.col("_company"))
-             .withColumn(id_col, surrogate_id(id_col, "_rows")))
-    return marked.filter(F.col("_held").isNull()).select(*rows.columns).unionByName(again.select(*rows.columns))
+def _key_rows(df: DataFrame, company: str, url: str | None, title: str | None, id_value: Column | None, size: bool, *carry) -> DataFrame:
+    """One narrow row (kind, company, value) for every key of a job that is given and not missing."""
+    def key(kind, c, value, there):
+        return F.when(there, F.struct(F.lit(kind).alias("kind"), c.alias("company"), value.cast("string").alias("value")))
+    c, known, none = F.col(company).cast("string"), F.col(company).isNotNull(), F.lit("")
+    keys = []
+    if url:
+        keys.append(key("url", c, F.col(url), known & truthy(F.col(url))))
+    if title:
+        keys.append(key("title", c, F.col(title), known & F.col(title).isNotNull()))
+    if id_value is not None:
+        keys.append(key("id", none, id_value, id_value.isNotNull()))
+    if size:
+        keys.append(key("company", c, none, known))
+    return df.select(*carry, F.explode(F.array_compact(F.array(*keys))).alias("_k")).select("*", "_k.*").drop("_k")
+
+
+def job_index(target: DataFrame, company: str = "companyId", url: str = "url", title: str = "title", id_col: str = "id") -> DataFrame:
+    """kind, company, value → found (smallest id), rows: everything a batch asks about the existing jobs - which has this
+    url, this title or this id, and how many a company has - from one exchange of narrow rows, combined map-side."""
+    rows = _key_rows(target, company, url, title, F.col(id_col), True, F.col(id_col).alias("_found"))
+    return rows.groupBy("kind", "company", "value").agg(F.min("_found").alias("found"), F.count(F.lit(1)).alias("rows"))
 
 
 def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", company: str = "companyId",
@@ -110,38 +132,60 @@ def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", compa
     last staged row for that key, insert the rest; ``mode='two_tier'`` — collapse the batch,
     match by (url, company) then (title, company) (C6), update the matched job, insert the rest.
     New jobs get ``id = sha256(company::url::title)``; where an older job holds that id already (it
-    was renamed since), the company's number of jobs goes into the hash too."""
+    was renamed since), the hash of that id and of the company's number of jobs, which grows with every insert.
+
+    The target is shuffled twice: once as narrow key rows (``job_index``), against which the batch looks up matches and
+    held ids in one join, and once as it is, to take the matched rows' new values. Everything else has the batch's size."""
     replace = replace or [c for c in staged.columns if c in target.columns and c not in (id_col, company)]
-    if mode == "title":
-        s = last_wins(staged, [company, title], [ordinal])
-        t = target.alias("t")
-        sj = s.alias("s")
-        j = t.join(sj, (F.col(f"t.{company}") == F.col(f"s.{company}")) & (F.col(f"t.{title}") == F.col(f"s.{title}")),
-                   "left")
-        hit = F.col(f"s.{ordinal}").isNotNull()
-        updated = j.select(*[(F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in replace
-                              else F.col(f"t.{c}")).alias(c) for c in target.columns])
-        inserts = s.join(target.select(company, title).distinct(), [company, title], "left_anti")
-    elif mode == "two_tier":
-        from .joins import two_tier_match
+    two_tier = mode == "two_tier"
+    if two_tier:
         s = collapse_batch_jobs(staged, company, url, title, ordinal)
-        m = two_tier_match(s, target, company=company, url=url, title=title, id_col=id_col, out="_mid")
+    elif mode == "title":
+        s = last_wins(staged, [company, title], [ordinal])
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    # after the collapse a staged row is known by company and title (a missing one included)
+    s = s.drop(id_col).withColumn("_row", F.struct(F.col(company).alias("c"), F.col(title).alias("t")))
+    s = s.withColumn("_new", surrogate_id(company, url, title))
+    index = job_index(target, company, url, title, id_col)
+    asked = _key_rows(s, company, url if two_tier else None, title, F.col("_new"), False, "_row")
+    by_kind = {k: F.min(F.when(F.col("kind") == k, F.col("found"))) for k in ("url", "title", "id")}
+    answers = (asked.join(index, ["kind", "company", "value"]).groupBy("_row")
+               .agg(F.coalesce(by_kind["url"], by_kind["title"]).alias("_mid"), by_kind["id"].isNotNull().alias("_held")))
+    m = s.join(answers, "_row", "left").drop("_row")
+    t = target.alias("t")
+    if two_tier:
         # several staged rows may hit one existing job: the last ordinal wins
-        hits = last_wins(m.filter(F.col("_mid").isNotNull()), "_mid", [ordinal])
-        t = target.alias("t")
-        h = hits.alias("s")
+        h = last_wins(m.filter(F.col("_mid").isNotNull()), "_mid", [ordinal]).alias("s")
         j = t.join(h, F.col(f"t.{id_col}") == F.col("s._mid"), "left")
-        hit = F.col("s._mid").isNotNull()
-        updated = j.select(*[(F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in replace
-                              else F.col(f"t.{c}")).alias(c) for c in target.columns])
-        inserts = m.filter(F.col("_mid").isNull()).drop("_mid", "match_tier")
     else:
-        raise ValueError(f"unknown mode {mode!r}")
-    new_rows = unheld_ids(inserts.withColumn(id_col, surrogate_id(company, url, title)), target, company, id_col)
-    for c in target.columns:
-        if c not in new_rows.columns:
-            new_rows = new_rows.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
-    return updated.unionByName(new_rows.select(*target.columns))
+        h = m.filter(F.col("_mid").isNotNull()).alias("s")
+        j = t.join(h, (F.col(f"t.{company}") == F.col(f"s.{company}")) & (F.col(f"t.{title}") == F.col(f"s.{title}")), "left")
+    hit = F.col("s._mid").isNotNull()
+    updated = j.select(*[(F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in replace
+                          else F.col(f"t.{c}")).alias(c) for c in target.columns])
+    inserts = m.filter(F.col("_mid").isNull())
+    held = F.coalesce(F.col("_held"), F.lit(False))
+    sizes = index.filter(F.col("kind") == "company").select(F.col("company").alias("_c"), F.col("rows").alias("_rows"))
+    again = (inserts.filter(held).join(spread(sizes), F.col(company).cast("string") == F.col("_c"))
+             .withColumn(id_col, surrogate_id("_new", "_rows")))
+    fresh = inserts.filter(~held).withColumn(id_col, F.col("_new"))
+
+    def whole(rows):
+        return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+
+    return updated.unionByName(whole(fresh)).unionByName(whole(again))
+
+
+def unheld_ids(rows: DataFrame, target: DataFrame, company: str, id_col: str = "id") -> DataFrame:
+    """New rows whose id an older row holds already get another one: the hash of that id and of the
+    company's number of rows, which grows with every insert."""
+    held = target.select(F.col(id_col).alias("_held"))
+    marked = rows.join(held, F.col(id_col) == F.col("_held"), "left")
+    sizes = target.groupBy(F.col(company).alias("_company")).agg(F.count(F.lit(1)).alias("_rows"))
+    again = (marked.filter(F.col("_held").isNotNull()).join(spread(sizes), F.col(company) == F.col("_company"))
+             .withColumn(id_col, surrogate_id(id_col, "_rows")))
+    return marked.filter(F.col("_held").isNull()).select(*rows.columns).unionByName(again.select(*rows.columns))
 
 
 def upsert_salary(target: DataFrame, src: DataFrame, job_key: str = "jobId", min_col: str = "minValue") -> DataFrame:
@@ -158,10 +202,6 @@ def replace_links(bridge: DataFrame, touched: DataFrame, new_links: DataFrame, k
     return kept.unionByName(new_links.select(*bridge.columns)).distinct()
 
 
-# Description pattern of a seeded employer company.
-SEED_DESCRIPTION = "{name} job listings"
-
-
 def ensure_seed_companies(target: DataFrame, names: list[str], name_col: str = "name") -> DataFrame:
     """H7: insert the named companies that are missing (matched by name); slug = lower(name),
     description = '<name> job listings'. The seed list is a fixed literal table."""

@@ -30,7 +30,7 @@ from ..operators.topk import top_per_group
 from ..operators.joins import two_tier_match
 from ..operators.validate import require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
-from ..session import checkpoint_dir
+from ..session import store
 from ..sources.literals import empty_frame
 from ..sources.staging import stage_portfolio
 
@@ -64,16 +64,20 @@ def conform(df: DataFrame, schema, extra: tuple[str, ...] = ()) -> DataFrame:
     return df.selectExpr(*exprs, *[f"`{c}`" for c in extra])  # one call, however wide the table
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a state consumed by several later plans: a reliable checkpoint in
-    the shared checkpoint folder (``spark.checkpoint.dir``), so a lost executor recomputes
-    from there, and downstream plans stay small."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "state") -> DataFrame:
+    """Cut the lineage of a state consumed by several later plans: written once, columnar, in the shared folder
+    (``spark.checkpoint.dir``), so a lost executor reads it from there, later plans stay small and read only
+    the columns they need."""
+    return store(df, name)
+
+
+def materialize_changed(wh: dict[str, DataFrame], before: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables a load has changed, written once; the others are passed through."""
+    return {name: df if df is before.get(name) else materialize(df, name) for name, df in wh.items()}
 
 
 def materialize_all(wh: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: materialize(df) for name, df in wh.items()}
+    return {name: materialize(df, name) for name, df in wh.items()}
 
 
 def _dedupe_union(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
@@ -83,14 +87,14 @@ def _dedupe_union(old: DataFrame, new: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------------------------- K1
 def consolidate_portfolio(spark: SparkSession, root: str, company_registry: list, job_registry: list,
                           top_k: int = 10, file_order: str = "file_name", glob: str = "*.json",
-                          recursive: bool = False) -> dict[str, DataFrame]:
+                          recursive: bool = False, lines: bool = False) -> dict[str, DataFrame]:
     """K1: read the per-source company and job folders in their declared orders (the two
     orders differ), first-wins dedupe with duplicate logs and summaries, profiling, top-k and
     the half split; unreadable files and records are in ``read_errors``. Inside a source, files are taken in ``file_order`` (name, or full path
-    for nested layouts), records in file position."""
-    companies, clog, cerr = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY, glob, recursive)
-    jobs, jlog, jerr = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB, glob, recursive)
-    order = ["source_rank", file_order, "pos"]
+    for nested layouts), records in file position. ``lines``: files with a document per line, which are split over tasks."""
+    companies, clog, cerr = read_source_tree(spark, root, company_registry, "companies", SC.PORTFOLIO_COMPANY, glob, recursive, lines)
+    jobs, jlog, jerr = read_source_tree(spark, root, job_registry, "jobs", SC.PORTFOLIO_JOB, glob, recursive, lines)
+    order = ["source_rank", file_order, *(["line"] if lines else []), "pos"]
     ckey, jkey = D.domain_key(), D.job_key("companyDomain", "title")
     uc = D.first_wins(companies, ckey, order).withColumn("company_key", D.domain_key())
     uj = D.first_wins(jobs, jkey, order)
@@ -397,17 +401,17 @@ def unify(wh: dict[str, DataFrame], portfolio: tuple[DataFrame, DataFrame] | Non
           flat: DataFrame | None = None, directory: tuple[DataFrame, DataFrame] | None = None,
           as_of=None, mode: str = "upsert") -> dict[str, DataFrame]:
     """K6: the portfolio, flat and directory feeds in that order; each later feed sees the
-    rows of the earlier ones. Each intermediate state is checkpointed, so the next feed's
-    plans start from materialised tables instead of the whole history."""
+    rows of the earlier ones. The tables a feed has changed are written once, so the next feed's
+    plans start from stored tables instead of the whole history."""
     if portfolio is not None:
-        wh, _ = load_portfolio(wh, portfolio[0], portfolio[1], mode)
-        wh = materialize_all(wh)
+        loaded, _ = load_portfolio(wh, portfolio[0], portfolio[1], mode)
+        wh = materialize_changed(loaded, wh)
     if flat is not None:
-        wh, _ = load_flat_feed(wh, flat, as_of)
-        wh = materialize_all(wh)
+        loaded, _ = load_flat_feed(wh, flat, as_of)
+        wh = materialize_changed(loaded, wh)
     if directory is not None:
-        wh, _ = load_directory(wh, directory[0], directory[1])
-        wh = materialize_all(wh)
+        loaded, _ = load_directory(wh, directory[0], directory[1])
+        wh = materialize_changed(loaded, wh)
     return wh
 
 

@@ -57,16 +57,18 @@ def _company_batch(spark, sf):
 
 
 @query("upsert_company", "WITH" + _COMPANY_T_SQL + """,
-s AS (SELECT * FROM s0 WHERE slug IS NOT NULL QUALIFY row_number() OVER (PARTITION BY slug ORDER BY ord DESC) = 1)
+s AS (SELECT * FROM s0 WHERE slug IS NOT NULL QUALIFY row_number() OVER (PARTITION BY slug ORDER BY ord DESC) = 1
+      UNION ALL SELECT * FROM s0 WHERE slug IS NULL)
 SELECT coalesce(t.slug, s.slug) AS slug,
-       CASE WHEN t.slug IS NOT NULL THEN t.id ELSE s.id END AS id,
-       CASE WHEN s.slug IS NOT NULL THEN s.name ELSE t.name END AS name,
-       CASE WHEN s.slug IS NOT NULL THEN s.description ELSE t.description END AS description,
-       CASE WHEN s.slug IS NOT NULL THEN s.staffCount ELSE t.staffCount END AS staffCount,
-       CASE WHEN t.slug IS NOT NULL THEN t.numJobs ELSE s.numJobs END AS numJobs
+       CASE WHEN t.id IS NOT NULL THEN t.id ELSE s.id END AS id,
+       CASE WHEN s.id IS NOT NULL THEN s.name ELSE t.name END AS name,
+       CASE WHEN s.id IS NOT NULL THEN s.description ELSE t.description END AS description,
+       CASE WHEN s.id IS NOT NULL THEN s.staffCount ELSE t.staffCount END AS staffCount,
+       CASE WHEN t.id IS NOT NULL THEN t.numJobs ELSE s.numJobs END AS numJobs
 FROM t FULL OUTER JOIN s ON t.slug = s.slug""")
 def upsert_company(spark, sf):
-    batch = _company_batch(spark, sf).filter(F.col("slug").isNotNull())
+    """H2 with missing slugs in the batch: these rows conflict with nothing and are inserted as they are."""
+    batch = _company_batch(spark, sf)
     return H.upsert(_company_target(spark, sf), batch, "slug", ["name", "description", "staffCount"], ordinal="ord",
                     keep=["id", "numJobs"])
 

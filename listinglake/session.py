@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants regardless of cluster size: UTC everywhere (the warehouse stores
 # UTC timestamps), adaptive execution with skew-join splitting and partition coalescing, and
@@ -67,3 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for materialised intermediate tables."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once, columnar, to the shared folder and read it back: cuts the lineage of a state that several
+    later plans use, survives lost executors, and lets these plans read only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -120,11 +120,6 @@ def reset_warehouse(spark: SparkSession, base: str, schemas: dict[str, T.StructT
     return {name: commit_version(empty_frame(spark, schema), base, name) for name, schema in schemas.items()}
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """JSON Lines sink (one record per line, one file per task)."""
-    df.write.mode("overwrite").json(path)
-
-
 def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None = None, order: list | None = None,
                        folders: list[str] | None = None, wrap_when=None) -> None:
     """Landed-style documents — one file per ``file_key`` value (inside ``folders``
@@ -134,9 +129,27 @@ def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None =
     groups are bounded (e.g. ``id div 1000`` over unique ids): a document is built in one task,
     exactly as a reader parses one file in one task. One write job for all folders."""
     folders = folders or []
+    docs = _documents(df, file_key, wrapper, order, folders, wrap_when)
+    docs.repartition(*folders, "file_key").write.mode("overwrite").partitionBy(*folders, "file_key").text(path)
+
+
+def write_json_documents(df: DataFrame, path: str, document_key, wrapper: str | None = None, order: list | None = None,
+                         folders: list[str] | None = None, wrap_when=None, tasks: int | None = None) -> None:
+    """A6, bounded number of files: the documents of ``write_json_wrapped``, one per line, many to a file. Ranges of whole
+    documents by ``document_key`` go to ``tasks`` tasks (the shuffle partitions if not given), so there are at most tasks x
+    folders files, in the order of the key, and no folder per document. ``read_json_lines`` reads them back."""
+    folders = folders or []
+    docs = _documents(df, document_key, wrapper, order, folders, wrap_when)
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = docs.repartitionByRange(tasks, "file_key").sortWithinPartitions(*folders, "file_key").select(*folders, "value")
+    (out.write.mode("overwrite").partitionBy(*folders) if folders else out.write.mode("overwrite")).text(path)
+
+
+def _documents(df: DataFrame, file_key, wrapper: str | None, order: list | None, folders: list[str], wrap_when) -> DataFrame:
+    """``folders``, file_key, value: a JSON array (or wrapper object) of each key's records."""
     key = F.col(file_key) if isinstance(file_key, str) else file_key
     skip = set(folders) | ({file_key} if isinstance(file_key, str) else set())
-    cols = [c for c in df.columns if c not in skip]
+    cols = [c for c in df.columns if c not in skip and c not in folders]
     keys = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order or [])]
     recs = F.struct(*keys, *[F.col(c) for c in cols])
     docs = df.groupBy(*[F.col(f) for f in folders], key.alias("file_key")) \
@@ -145,8 +158,7 @@ def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None =
     if wrapper:
         wrapped = F.concat(F.lit('{"' + wrapper + '":'), body, F.lit("}"))
         body = wrapped if wrap_when is None else F.when(wrap_when, wrapped).otherwise(body)
-    docs.select(*folders, "file_key", body.alias("value")).repartition(*folders, "file_key") \
-        .write.mode("overwrite").partitionBy(*folders, "file_key").text(path)
+    return docs.select(*folders, "file_key", body.alias("value"))
 
 
 def write_csv_union(df: DataFrame, path: str) -> None:

@@ -16,9 +16,18 @@ from ..operators.flatten import flatten_links, flatten_locations, flatten_salari
 from ..operators.validate import require_fields
 
 
+def landing_place(landed: DataFrame) -> list[str]:
+    """Columns that tell where a row was landed, most significant first, unique over all files of all sources:
+    the source's rank, the path below its folder (else the full path, else the file name) and the position. Sources
+    have files of one name as a rule, so the name alone is only right for rows that were read from one folder."""
+    path = next((c for c in ("file_below", "file_path", "file_name") if c in landed.columns), None)
+    return [c for c in ("source_rank", path, "line", "pos") if c is not None and c in landed.columns]
+
+
 def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFrame]:
-    """``companies`` / ``jobs``: landed rows (portfolio shapes) with ``file_name`` and ``pos``
-    (and ``dataSource`` for companies). Returns the staging relations plus the rejects."""
+    """``companies`` / ``jobs``: landed rows (portfolio shapes) as ``read_source_tree`` returns them, at least
+    with ``file_name`` and ``pos`` (and ``dataSource`` for companies). A job's key and the order of all rows are their
+    landing place. Returns the staging relations plus the rejects."""
     ok_c, rej_c = require_fields(companies, ["name", "slug"])
     comp = ok_c.select(
         "name", "slug", "description",
@@ -31,12 +40,14 @@ def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFram
         json_text(F.col("logos")).alias("logos"), json_text(F.col("website")).alias("website"),
         F.coalesce(F.col("parentSlugs"), F.array().cast("array<string>")).alias("parentSlugs"),
         F.coalesce(F.col("parents"), F.array().cast("array<string>")).alias("parents"),
-        F.col("dataSource"), F.struct("file_name", "pos").alias("_ord"),
+        F.col("dataSource"), F.struct(*landing_place(companies)).alias("_ord"),
         "markets", "stages", "officeLocations", "investors", "investorSlugs")
     ok_j, rej_j = require_fields(jobs, ["title", "companySlug"])
     job = ok_j.select(
-        F.concat_ws(":", "file_name", F.col("pos").cast("string")).alias("job_key"),
-        F.struct("file_name", "pos").alias("_ord"), "title", F.col("companySlug").alias("company_slug"),
+        # the folder, not the rank: ids of jobs without a url come from it, and ranks change with the registry
+        F.concat_ws(":", *["sourceFolder" if c == "source_rank" and "sourceFolder" in jobs.columns else F.col(c).cast("string")
+                           for c in landing_place(jobs)]).alias("job_key"),
+        F.struct(*landing_place(jobs)).alias("_ord"), "title", F.col("companySlug").alias("company_slug"),
         or_null(F.col("url")).alias("url"), or_null(F.col("applyUrl")).alias("applyUrl"),
         *[to_flag(F.col(c), jobs.schema[c].dataType).alias(c)
           for c in ["remote", "hybrid", "manager", "consultant", "contractor"]],
