@@ -12,14 +12,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listinglake.session import scratch_path
 
-#: rows of one Arrow batch handed to Python: with 100 KB texts a batch stays near 25 MB
-ARROW_ROWS = 256
+#: rows and bytes of text handed to one call of a batch function (a longer text goes alone)
+BATCH_ROWS, BATCH_BYTES = 256, 1 << 24
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -30,12 +31,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-
-
-def large_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+def id_type(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
 
 
 def text_hash(text: Column | str = "text") -> Column:
@@ -67,39 +64,60 @@ def keyed_join(rows: DataFrame, keys: DataFrame, how: str, small: bool = False)
     return rows.join(k, F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_th") == F.col("_k_th")), how)
 
 
-#: rows up to which a stored table is broadcast (16 to 32 bytes each, some 30 MB in a hash table)
+#: values up to which a stored table is broadcast (16 to 32 bytes each, some 30 MB in a hash table)
 BROADCAST_ROWS = 500_000
 
 
-def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table with the broadcast hint if its counted rows allow it; beyond, Spark shuffles it."""
-    return F.broadcast(df) if df.count() <= most else df
+def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
+    """A stored table with the broadcast hint if its counted values allow it; beyond, Spark shuffles it.
+    ``size``: how many values a row holds (one if not given); no other column may be an array."""
+    total = df.agg(F.sum(size) if size is not None else F.count("*")).first()[0]
+    return F.broadcast(df) if (total or 0) <= most else df
 
 
 def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
-def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``mapInArrow`` with one dict of columns out per batch in."""
+def cut_batches(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows and bytes of strings. What a plan's batches hold is set
+    by the session when the plan runs, so no operator relies on it."""
+    for b in batches:
+        total = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+                total += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+        total, start = np.cumsum(total), 0
+        while start < b.num_rows:
+            before = total[start - 1] if start else 0
+            end = min(start + rows, max(start + 1, int(np.searchsorted(total, before + size, "right"))))
+            yield b.slice(start, end - start)
+            start = end
+
+
+def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """``mapInArrow`` with one dict of columns out per part of a batch in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(b))
+        for b in cut_batches(batches, rows):
+            yield pa.RecordBatch.from_pydict(fn(b))
 
     return df.mapInArrow(run, schema)
 
 
 class WordTable(dict):
     """Word → row of a growing float matrix. Rows are computed once per distinct word by
-    ``compute(words) -> matrix``; the table is emptied when it holds ``most`` words, so a task's
-    memory is bounded whatever the vocabulary."""
+    ``compute(words) -> matrix``, for words of about ``PART`` characters at a time; the table is emptied
+    when it holds ``most`` words or ``CHARS`` characters, so a task's memory is bounded by these and the
+    words of one call, whatever the vocabulary and however long the words."""
+
+    PART, CHARS = 1 << 18, 1 << 24
 
     def __init__(self, compute: Callable[[list], np.ndarray], width: int, most: int = 150_000):
         super().__init__()
         self.compute, self.most, self.width = compute, most, width
         self.rows = np.zeros((1024, width), np.float32)
         self.fresh: list = []
+        self.chars = 0
 
     def __missing__(self, word):
         i = self[word] = len(self)
@@ -108,8 +126,9 @@ class WordTable(dict):
 
     def ids(self, words: list) -> np.ndarray:
         """Row numbers of the words, valid until the next call."""
-        if len(self) > self.most:
+        if len(self) > self.most or self.chars > self.CHARS:
             self.clear()
+            self.chars = 0
         out = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.fresh:
             n = len(self)
@@ -117,10 +136,10 @@ class WordTable(dict):
                 grown = np.zeros((max(n, 2 * len(self.rows)), self.width), np.float32)
                 grown[:len(self.rows)] = self.rows
                 self.rows = grown
-            for k in range(0, len(self.fresh), 4096):
-                part = self.fresh[k:k + 4096]
-                start = n - len(self.fresh) + k
-                self.rows[start:start + len(part)] = self.compute(part)
+            at = n - len(self.fresh)
+            for a, b in chunks(self.fresh, self.PART):
+                self.rows[at + a:at + b] = self.compute(self.fresh[a:b])
+            self.chars += sum(map(len, self.fresh))
             self.fresh = []
         return out
 

@@ -16,21 +16,21 @@ any other (null is not held out); other columns are never read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Grams, WordTable, chunks, mapped, small_batches
+from .common import Grams, WordTable, chunks, id_type, mapped
 
 SAMPLE_ROWS, BITS, DIM = 2400, 15, 16
 BUCKETS = 1 << BITS
 EPOCHS, STEPS, BATCH, RATE = 12, 1000, 32, 20.0  # small samples are gone through until STEPS batches
 MAX_ERROR = 0.01
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def subwords(words: list[str]) -> Grams:
@@ -165,9 +165,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         return {"doc_id": b.column("doc_id"), "lang_pred": lang.tolist(), "score": score,
                 "accepted": fit & (score >= (m.least if m else 1.0))}
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(rows, batch, "doc_id bigint, lang_pred string, score double, accepted boolean")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return mapped(rows, batch, f"doc_id {id_type(docs)}, lang_pred string, score double, accepted boolean")
 
 
 _TABLES: dict = {}

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, small_batches
+from .common import id_type, mapped
 
 MIN_LENGTH = 12
 # fixed values: a difference set modulo 31, every residue is the difference of two of its members
@@ -304,11 +304,9 @@ def periodic_runs(docs: DataFrame, min_length: int = MIN_LENGTH, plant: bool = F
         out["text"] = pa.array(out["text"], pa.binary()).cast(pa.string())
         return out
 
-    small_batches(docs.sparkSession)
     seed = F.crc32(F.col("doc_id").cast("string").cast("binary")) if plant else F.lit(None).cast("bigint")
     rows = docs.select("doc_id", seed.alias("h"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return mapped(rows, batch, f"doc_id {kind}, n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, text string")
+    return mapped(rows, batch, f"doc_id {id_type(docs)}, n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, text string")
 
 
 class _Numbers(dict):

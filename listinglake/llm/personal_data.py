@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import counted_broadcast, mapped, packed, small_batches, stored, text_hash, unpacked
+from .common import counted_broadcast, cut_batches, id_type, mapped, packed, stored, text_hash, unpacked
 
 WINDOW, SUPPORT, ALPHA, STEM = 8, 3, 1.5, 4
 #: distinct terms, and their characters, counted by a task before it hands them on
@@ -154,10 +154,8 @@ def found(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 "base": pa.array(out["base"], pa.list_(spot)), "near": pa.array(out["near"], pa.list_(pair)),
                 "entities": pa.array(out["entities"], pa.list_(pa.int64())), "text": pa.array(out["text"], pa.string())}
 
-    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", text_hash().alias("_th"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return mapped(rows, batch, f"doc_id {kind}, _th bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+    return mapped(rows, batch, f"doc_id {id_type(docs)}, _th bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
                   "base array<struct<kind:int,start:bigint,end:bigint>>, near array<struct<entity:bigint,term:string>>, "
                   "entities array<bigint>, text string")
 
@@ -171,7 +169,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
         def ready():
             return pa.RecordBatch.from_pydict({"h": pa.array(map(_hash, counts), pa.int64()), "n": pa.array(counts.values(), pa.int64())})
 
-        for b in batches:
+        for b in cut_batches(batches):
             for t in b.column("text"):
                 text = t.as_py()
                 spans = base_spans(text)
@@ -190,7 +188,6 @@ def term_counts(docs: DataFrame) -> DataFrame:
         if counts:
             yield ready()
 
-    small_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, "h bigint, n bigint")
 
 
@@ -270,7 +267,6 @@ def personal_data(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT,
 
     keep = ["doc_id", "_th", "n_email", "n_ip", "n_card", "n_phone", "base"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
-    small_batches(docs.sparkSession)
     done = mapped(hit.select(*keep, "text", "terms"), batch, f"{schema}, spans array<struct<kind:int,start:bigint,end:bigint>>, clean string")
     rest = rows.filter(F.col("text").isNull()).select(*keep, F.col("base").alias("spans"), F.lit(None).cast("string").alias("clean"))
     return done.unionByName(rest)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, mapped, small_batches
+from .common import WordTable, cut_batches, id_type, mapped
 
 SAMPLE_ROWS, BITS = 3000, 14
 SHORT, KEEP_FROM = 8, 0.5
@@ -90,9 +90,8 @@ def pattern_codes(docs: DataFrame) -> DataFrame:
         return {"doc_id": b.column("doc_id"), "text": b.column("text"),
                 "code": pa.array([sum(v * 3 ** i for i, v in enumerate(votes(t.as_py()))) for t in b.column("text")], pa.int32())}
 
-    small_batches(docs.sparkSession)
-    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                  batch, "doc_id bigint, text string, code int")
+    return mapped(docs.select("doc_id", F.col("text").cast("string").alias("text")),
+                  batch, f"doc_id {id_type(docs)}, text string, code int")
 
 
 @dataclass
@@ -255,8 +254,8 @@ def score_quality(docs: DataFrame) -> DataFrame:
         s = _batch_scores(shared.value, b.column("text"))
         return {"doc_id": b.column("doc_id"), "score": s, "keep": s >= KEEP_FROM}
 
-    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                  batch, "doc_id bigint, score double, keep boolean")
+    return mapped(docs.select("doc_id", F.col("text").cast("string").alias("text")),
+                  batch, f"doc_id {id_type(docs)}, score double, keep boolean")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -265,9 +264,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs)[0])
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                texts = b.column(b.schema.get_field_index("text"))
-                yield b.filter(pa.array(_batch_scores(shared.value, texts) >= KEEP_FROM))
+        for b in cut_batches(batches):
+            texts = b.column(b.schema.get_field_index("text"))
+            yield b.filter(pa.array(_batch_scores(shared.value, texts) >= KEEP_FROM))
 
     return docs.mapInArrow(run, docs.schema)

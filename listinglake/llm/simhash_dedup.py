@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_join, large_batches, mapped, one_row_per_key, small_batches, stored, text_hash, unpacked
+from .common import id_type, keyed_join, mapped, one_row_per_key, stored, text_hash, unpacked
 from .components import components
 
 #: rows of one block of a shared key; about twice as many meet in one comparison
@@ -59,9 +59,8 @@ def fingerprints(docs: DataFrame, k: int = 4) -> DataFrame:
         fps = [simhash(t.as_py(), k) for t in b.column("text")]
         return {"doc_id": b.column("doc_id"), "_th": b.column("_th"), "fp": pa.array(fps, pa.int64())}
 
-    small_batches(docs.sparkSession)
-    return mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("_th"), F.col("text").cast("string").alias("text")),
-                  batch, "doc_id bigint, _th bigint, fp bigint")
+    return mapped(docs.select("doc_id", text_hash().alias("_th"), F.col("text").cast("string").alias("text")),
+                  batch, f"doc_id {id_type(docs)}, _th bigint, fp bigint")
 
 
 def segments(d: int) -> list[tuple[int, int]]:
@@ -92,7 +91,7 @@ def ring_keys(fps: DataFrame, d: int) -> DataFrame:
                 who.append(fp[free]), home.append(np.zeros(int(free.sum()), bool))
         return {"key": np.concatenate(keys).view(np.int64), "fp": np.concatenate(who), "home": np.concatenate(home)}
 
-    return mapped(fps.select("fp"), batch, "key bigint, fp bigint, home boolean")
+    return mapped(fps.select("fp"), batch, "key bigint, fp bigint, home boolean", rows=10_000)
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +150,6 @@ def match_sorted(group: np.ndarray, key: np.ndarray, fp: np.ndarray, home: np.nd
 def links(fps: DataFrame, d: int, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """(u, v): links that span every connected group of distinct fingerprints within d bits."""
     ring = max(d, 2)  # two segments of a ring of three or more make a key that fits 64 bits
-    large_batches(fps.sparkSession)
     keys = ring_keys(fps, ring)
     picked = ring_keys(fps.filter(F.pmod(F.xxhash64("fp"), F.lit(sample)) == 0), ring)
     hot = stored(picked.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") * sample > block)
@@ -191,7 +189,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, d: int = 4, block: int = BLOCK,
     found = components(links(reps.select("fp"), d, block, sample)) if d else reps.select(F.col("fp").alias("node"), F.col("fp").alias("label"))
     labelled = (reps.join(stored(found, "fp-labels").withColumnRenamed("node", "fp"), "fp", "left")
                 .select("fp", "rep", F.coalesce("label", "fp").alias("component")))
-    roots = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # stored: both sides of the join get exchanges of their own, and a component with very many fingerprints is split
+    roots = stored(labelled.groupBy("component").agg(F.min("rep").alias("component_id")), "fp-roots")
     classes = labelled.select("fp", "component").join(roots, "component").select("fp", "component", "component_id")
     return rows.join(stored(classes, "fp-classes"), "fp").select("doc_id", "_th", "fp", "component", "component_id")
 

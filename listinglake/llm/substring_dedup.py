@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, packed, small_batches, stored, text_hash
+from .common import mapped, packed, stored, text_hash
 
 RUN, MIN_WORDS = 2, 10
 #: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han characters
@@ -150,5 +150,4 @@ def substring_dedup(docs: DataFrame, run: int | None = None, min_words: int = MI
         return {"doc_id": b.column("doc_id"), "text": out["text"], "n_sentences": pa.array(out["n_sentences"], pa.int32()),
                 "n_removed": pa.array(out["n_removed"], pa.int32()), "removed": pa.array(out["removed"], pa.list_(pa.int32()))}
 
-    small_batches(docs.sparkSession)
     return mapped(rows, batch, "doc_id bigint, text string, n_sentences int, n_removed int, removed array<int>")

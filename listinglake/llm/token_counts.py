@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, small_batches
+from .common import id_type, mapped
 
 #: merged pre-tokens kept by a process
 KEPT = 400_000
@@ -167,8 +167,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 512) ->
         return {"doc_id": b.column("doc_id"), "n_bytes": b.column("n_bytes"),
                 "n_tokens": pa.array([c.count(t.as_py()) for t in b.column("text")], pa.int64())}
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
-    out = mapped(rows, batch, "doc_id bigint, n_bytes bigint, n_tokens bigint")
+    out = mapped(rows, batch, f"doc_id {id_type(docs)}, n_bytes bigint, n_tokens bigint")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

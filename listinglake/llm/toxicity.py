@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Grams, WordTable, chunks, mapped, small_batches
+from .common import Grams, WordTable, chunks, id_type, mapped
 
 SAMPLE_ROWS = 2400
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 BITS, DIM = 15, 8
 BUCKETS = 1 << BITS
 HIDDEN, ATTENTION = 8, 6
@@ -196,8 +196,8 @@ def sample(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int) -> t
     ids = one.filter(mark < share).orderBy("doc_id").limit(2 * rows).toPandas()
     if ids.empty:
         return [], np.zeros(0)
-    picked = docs.sparkSession.createDataFrame(ids[["doc_id", "toxic"]], "doc_id bigint, toxic int")
-    got = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
+    picked = docs.sparkSession.createDataFrame(ids[["doc_id", "toxic"]], f"doc_id {id_type(labels)}, toxic int")
+    got = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
            .limit(4 * rows).toArrow().sort_by("doc_id"))
     return [t or "" for t in got.column("text").to_pylist()], np.array(got.column("toxic").to_pylist(), np.float64)
 
@@ -296,9 +296,8 @@ def predict(docs: DataFrame, model) -> DataFrame:
             _TABLES.update(model=m, table=m.words())
         return {"doc_id": b.column("doc_id"), "score": m.scores([t.as_py() or "" for t in b.column("text")], _TABLES["table"]).astype(float)}
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return mapped(rows, batch, "doc_id bigint, score double")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return mapped(rows, batch, f"doc_id {id_type(docs)}, score double")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -160,7 +160,8 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         return {"h1": b.column("h1"), "h2": b.column("h2"), "copies": b.column("copies"), "weight": b.column("weight"),
                 "deviation": centre.deviation(m), "z": pa.ListArray.from_arrays(offsets, pa.array(z.ravel()))}
 
-    white = stored(mapped(groups, batch, "h1 bigint, h2 bigint, copies bigint, weight bigint, deviation bigint, z array<double>"), "whitened")
+    white = stored(mapped(groups, batch, "h1 bigint, h2 bigint, copies bigint, weight bigint, deviation bigint, z array<double>", rows=4096),
+                   "whitened")
     error = np.abs(covariance(white, "z", k, sums(white, "z", k, "double"), n) - np.eye(k)).max()
     explained = F.array(*[F.lit(float(e / np.trace(cov))) for e in values])
     out = rows.select("vec_id", *key).join(white.select("h1", "h2", "deviation", "copies", "z"), ["h1", "h2"])
