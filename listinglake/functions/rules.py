@@ -1,12 +1,12 @@
 """Ordered rule tables turned into first-match ``CASE`` expressions.
 
-Rule tables here are short literal lists, so the first-match is a generated ``when`` chain
-evaluated inside codegen — no join, nothing broadcast.
+Rule tables here are short literal lists, so the first-match is a generated ``when`` chain over a text that is
+lower-cased once — no join, nothing broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .core import _col
@@ -45,22 +45,42 @@ EMPLOYER_CATEGORIES = ["microsoft", "apple", "meta", "amazon", "netflix", "googl
 STATUS_BUCKETS = ["active", "acquired", "inactive", "unknown"]
 
 
+def _chain(s: Column, rules: list[tuple]) -> Column:
+    """CASE over the needles in rule order."""
+    out = None
+    for needles, label in rules:
+        for n in ((needles,) if isinstance(needles, str) else needles):
+            out = F.when(s.contains(n), F.lit(label)) if out is None else out.when(s.contains(n), F.lit(label))
+    return out
+
+
 def first_contained(c, rules: list[tuple], default=None, lower: bool = True) -> Column:
     """First rule whose needle (or any of its needles) is contained in ``c`` wins.
 
-    The rules become one literal array of (needle, label) in rule order and the match is a
-    ``filter`` over it, so the input column is referenced once — a chain of ``CASE WHEN
-    contains(...)`` would repeat the input expression per needle, and Catalyst inlines that
-    expression into every reference (and into pushed-down filters)."""
+    The lower-cased text is bound once (by a ``transform`` over an array of one) and the rules are a CASE over it, so
+    neither the input expression nor ``lower`` is repeated per needle. Where a whole column is matched and then filtered
+    on, ``with_first_contained`` does it in generated code."""
     s = F.lower(_col(c)) if lower else _col(c)
-    entries = []
-    for needles, label in rules:
-        for n in ((needles,) if isinstance(needles, str) else needles):
-            entries.append(F.struct(F.lit(n).alias("n"), F.lit(label).alias("l")))
-    hit = F.try_element_at(F.filter(F.array(*entries), lambda r: s.contains(r["n"])), F.lit(1))["l"]
+    hit = F.get(F.transform(F.array(s), lambda t: _chain(t, rules)), 0)
     return F.coalesce(hit, F.lit(default)) if default is not None else hit
 
 
+def with_first_contained(df: DataFrame, name: str, c, rules: list[tuple], default=None, when: Column | None = None) -> DataFrame:
+    """``df`` with the first matching rule's label (only where ``when`` holds, if given) as column ``name``.
+
+    The lower-cased text is a column of its own below a generator of one row, and the CASE is what it generates: it is
+    compiled, evaluated once per row, and neither the optimizer's merging of projections nor a filter on the label
+    pushed downwards can bring it (or ``lower``) back a second time."""
+    label = _chain(F.col("_lowered"), rules)
+    if when is not None:
+        label = F.when(F.col("_asked"), label)
+    if default is not None:
+        label = F.coalesce(label, F.lit(default))
+    asked = [when.alias("_asked")] if when is not None else []
+    return (df.select("*", F.lower(_col(c)).alias("_lowered"), *asked)
+            .select("*", F.inline(F.array(F.struct(label.alias(name))))).drop("_lowered", "_asked"))
+
+
 def employer_from_url(url) -> Column:
     """C11 with the employer URL table; NULL when nothing matches."""
     return first_contained(url, EMPLOYER_URL_RULES)

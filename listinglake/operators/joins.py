@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .keys import spread, with_null_safe_keys
 from ..functions.core import truthy
-from ..functions.rules import employer_from_name, employer_from_url
+from ..functions.rules import EMPLOYER_URL_RULES, employer_from_name, with_first_contained
 
 
 def link(staged: DataFrame, dim: DataFrame, company: DataFrame, staged_name: str = "name",
@@ -128,11 +128,13 @@ def resolve_employer(df: DataFrame, company: str = "company", url: str = "url")
     """I14 + C11: exact case-insensitive employer name, else (when the url is truthy) the first
     URL rule, else a skip reason that depends only on whether a company name was given.
     Adds ``employer``, ``match_source`` and ``reject_reason``."""
-    by_name = employer_from_name(F.col(company))
-    by_url = F.when(truthy(F.col(url)), employer_from_url(F.col(url)))
-    return (df.withColumn("employer", F.coalesce(by_name, by_url))
-              .withColumn("match_source", F.when(by_name.isNotNull(), F.lit(MATCH_BY_NAME))
-                                           .when(by_url.isNotNull(), F.lit(MATCH_BY_URL)))
+    named = df.withColumn("_by_name", employer_from_name(F.col(company)))
+    # resolved once, before any filter on the result: rows with a name are not matched against the url rules at all
+    found = with_first_contained(named, "_by_url", F.col(url), EMPLOYER_URL_RULES, when=F.col("_by_name").isNull() & truthy(F.col(url)))
+    return (found.withColumn("employer", F.coalesce("_by_name", "_by_url"))
+              .withColumn("match_source", F.when(F.col("_by_name").isNotNull(), F.lit(MATCH_BY_NAME))
+                                           .when(F.col("_by_url").isNotNull(), F.lit(MATCH_BY_URL)))
+              .drop("_by_name", "_by_url")
               .withColumn("reject_reason",
                           F.when(F.col("employer").isNotNull(), F.lit(None).cast("string"))
                            .when(~truthy(F.col(company)), F.lit(REASON_NO_NAME))

@@ -35,4 +35,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-from . import q_dedupe, q_stats, q_joins, q_merge, q_scalar, q_io, q_directory, q_unify, q_landing  # noqa: E402,F401  (registration)
+from . import q_dedupe, q_stats, q_joins, q_merge, q_scalar, q_io, q_directory, q_unify, q_landing, q_held  # noqa: E402,F401  (registration)

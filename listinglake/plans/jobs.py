@@ -28,7 +28,7 @@ from ..operators.sets import build_dimension, concat_arrays, union_distinct
 from ..operators.split import split_halves
 from ..operators.topk import top_per_group
 from ..operators.joins import two_tier_match
-from ..operators.validate import require_fields
+from ..operators.validate import reject_unknown_parent, require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
 from ..session import store
 from ..sources.literals import empty_frame
@@ -323,10 +323,9 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
         f_ok.join(company.select(F.col("slug"), F.col("id").alias("companyId")), "slug")
             .select("companyId", F.col("id").alias("founderId")), ["companyId", "founderId"])
     # jobs: resolve the company against the warehouse, reject unknown ones
-    resolved = jobs.drop("companyId").join(company.select(F.col("slug").alias("companySlug"), F.col("id").alias("companyId")),
-                                           "companySlug", "left")
-    unknown = resolved.filter(F.col("companyId").isNull()).withColumn("reason", F.lit("unknown company"))
-    staged = resolved.filter(F.col("companyId").isNotNull()).withColumn("ordinal", F.struct(*job_order, "companySlug", "posting_pos"))
+    _known, unknown = reject_unknown_parent(jobs, company, "companySlug", "slug", "unknown company")
+    resolved = J.attach_company(jobs.drop("companyId"), company, "companySlug")
+    staged = resolved.withColumn("ordinal", F.struct(*job_order, "companySlug", "posting_pos"))
     job_src = conform(staged, SC.JOB, ("ordinal",))
     job = materialize(conform(H.upsert_jobs(wh["job"], job_src.drop("id"), mode="two_tier", ordinal="ordinal",
                                             replace=DIRECTORY_JOB_REPLACED), SC.JOB))
