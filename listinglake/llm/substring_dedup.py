@@ -6,11 +6,15 @@ consecutive sentences, or as many more as reach ``min_words`` words together: th
 from every sentence on and the shortest up to every sentence, so that a repeated passage of
 ``min_words`` words or more is covered whole, however short its sentences. A text of one
 sentence, or of fewer words, is one run. Characters of scripts without spaces count as words. Runs are
-hashed (two XXH64 of different seeds, so that 10^13 runs stay free of collisions), counted globally
-with map-side combination, and the repeated ones are joined back. The first occurrence of a run, by
+hashed to 128 bits (so that 10^13 runs stay free of collisions), counted globally with map-side
+combination, and the repeated ones are joined back. The first occurrence of a run, by
 (doc_id, text hash, position), stays; sentences covered by any other occurrence are removed, and the
 rest of the text is put together again with its original white space.
 
+Texts are cut and hashed in Arrow batches: every sentence once, all sentences of a batch in one array.
+Running totals of words give the ends of all runs by binary search, and running totals of sentence
+hashes times powers of an odd number give the hash of any run by one difference.
+
 With ``run`` given, only runs of exactly so many sentences are looked at, and shorter ones than
 ``min_words`` are left out; the registered query does not use this.
 
@@ -22,12 +26,16 @@ empty table returns no rows; other columns are never read.
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, packed, stored, text_hash
+from .common import id_type, mapped, packed, stored, text_hash
 
 RUN, MIN_WORDS = 2, 10
 #: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han characters
@@ -36,90 +44,100 @@ UNSPACED = ("\u0E01-\u0E3A\u0E40-\u0E4E\u0E81-\u0ECE\u0F40-\u0FBC\u1000-\u1049\u
 #: CJK, Devanagari, Arabic, Urdu, Armenian, Ethiopic, Burmese, Khmer and Tibetan ends of sentences, and what closes them
 MARKS, CLOSING = "。！？｡．‼⁇⁈⁉।॥؟۔։።፧፨။។៕།༎", "」』）】〉》”’"
 ENDS = rf"([.!?][\x20\x09\x0B-\x0D]+\n?[\x20\x09-\x0D]*|[{MARKS}][{MARKS}!?]*[{CLOSING}]*[\x20\x09-\x0D\u3000]*|[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*)"
-
-
-def pieces(text: Column) -> Column:
+#: the same ends, found by their first mark or line break; the white space before a line break is no matter for a cut
+CUT = re.compile(rf"[.!?\n{MARKS}](?:(?<=[.!?])[\x20\x09\x0B-\x0D][\x20\x09-\x0D]*+|(?<=\n)[\x20\x09-\x0D]*+"
+                 rf"|(?<=[{MARKS}])[{MARKS}!?]*+[{CLOSING}]*+[\x20\x09-\x0D　]*+)")
+CUT_ASCII = re.compile(r"[.!?\n](?:(?<=[.!?])[\x20\x09\x0B-\x0D][\x20\x09-\x0D]*+|(?<=\n)[\x20\x09-\x0D]*+)")
+WIDE = re.compile(f"[{UNSPACED}]")
+BLANK = {c: " " for c in range(9, 14)}
+# fixed values: an odd number and its inverse modulo 2^64
+POWER = 0xD1342543DE82EF95
+INVERSE = pow(POWER, -1, 1 << 64)
+
+
+def cuts(text: str) -> list[int]:
+    """Where the sentences of a text end; white space behind a sentence belongs to it."""
+    ends = [m.end() for m in (CUT_ASCII if text.isascii() else CUT).finditer(text)]
+    if text and (not ends or ends[-1] < len(text)):
+        ends.append(len(text))
+    return ends
+
+
+def pieces(text: str) -> list[str]:
     """The text cut behind every sentence; the pieces put together are the text again."""
-    # the mark is \x01\x02; a \x01 of the text itself is followed by \x03 meanwhile
-    plain = F.replace(F.coalesce(text, F.lit("")), F.lit("\x01"), F.lit("\x01\x03"))
-    marked = F.regexp_replace(plain, ENDS, "$1\x01\x02")
-    return F.transform(F.filter(F.split(marked, "\x01\x02"), lambda p: p != ""),
-                       lambda p: F.replace(p, F.lit("\x01\x03"), F.lit("\x01")))
-
-
-def normalised(piece: Column) -> Column:
-    return F.lower(F.trim(F.translate(piece, "\t\n\x0b\x0c\r", "     ")))
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def sentence(piece: Column) -> Column:
-    """Two hashes and the number of words of a sentence."""
-    s = normalised(piece)
-    spaces = F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
-    unspaced = F.when(F.octet_length(s) > F.length(s), F.length(F.regexp_replace(s, f"[^{UNSPACED}]+", ""))).otherwise(0)
-    return F.struct(F.xxhash64(s).alias("a"), F.xxhash64(s, F.lit("second")).alias("b"), (spaces + F.greatest(unspaced, F.lit(1))).alias("n"))
-
-
-def runs(text: Column, run: int, min_words: int) -> Column:
-    """array<struct<pos, len, h1, h2>> of the runs of exactly ``run`` sentences with ``min_words`` words of a text."""
-    def of(ss):
-        def at(x, i):
-            rest = [F.get(ss, i + j) for j in range(1, run)]
-            words = sum((r["n"] for r in rest), x["n"])
-            return F.when(words >= min_words, F.struct(i.alias("pos"), F.lit(run).alias("len"), F.xxhash64(x["a"], *[r["a"] for r in rest]).alias("h1"),
-                                                       F.xxhash64(x["b"], *[r["b"] for r in rest]).alias("h2")))
-        return F.filter(F.transform(ss, at), lambda r: r.isNotNull())
-
-    return _let(F.transform(pieces(text), sentence), of)
-
-
-def spans(text: Column, min_words: int) -> Column:
-    """array<struct<pos, len, h1, h2>> of the shortest runs of ``RUN`` sentences or more with ``min_words`` words
-    from and up to every sentence of a text; as every sentence has a word, ``most`` sentences are always enough."""
-    most = max(RUN, min_words)
-
-    def enough(r):
-        return (r["len"] >= RUN) & (r["words"] >= min_words)
-
-    def reach(part):
-        return F.aggregate(part, F.struct(F.lit(0).alias("len"), F.lit(0).alias("words")), lambda r, x: F.when(enough(r), r).otherwise(
-            F.struct((r["len"] + 1).alias("len"), (r["words"] + x["n"]).alias("words"))))
-
-    def of(ss):
-        def span(pos, size):
-            return _let(F.slice(ss, pos + 1, size), lambda part: F.struct(
-                pos.alias("pos"), size.alias("len"), F.xxhash64(F.transform(part, lambda x: x["a"])).alias("h1"),
-                F.xxhash64(F.transform(part, lambda x: x["b"])).alias("h2")))
-
-        def ahead(x, i):
-            rest = [F.get(ss, i + j) for j in range(1, RUN)]
-            quick = F.struct(i.alias("pos"), F.lit(RUN).alias("len"), F.xxhash64(x["a"], *[r["a"] for r in rest]).alias("h1"),
-                             F.xxhash64(x["b"], *[r["b"] for r in rest]).alias("h2"))
-            return F.when(sum((r["n"] for r in rest), x["n"]) >= min_words, quick).otherwise(
-                _let(reach(F.slice(ss, i + 1, F.lit(most))), lambda r: F.when(enough(r), span(i, r["len"]))))
-
-        def behind(x, i):
-            # only where the run from the same first sentence on ends earlier: the others are found by ahead
-            first = F.greatest(i - (most - 1), F.lit(0))
-            return F.when(sum((F.get(ss, i - j)["n"] for j in range(1, RUN)), x["n"]) < min_words, _let(
-                reach(F.reverse(F.slice(ss, first + 1, i - first + 1))), lambda r: F.when(
-                    enough(r) & (r["len"] > RUN) & (r["words"] - x["n"] >= min_words), span(i - r["len"] + 1, r["len"]))))
-
-        found = F.filter(F.concat(F.transform(ss, ahead), F.transform(ss, behind)), lambda r: r.isNotNull())
-        return _let(found, lambda f: F.when((F.size(f) == 0) & F.exists(ss, lambda x: x["a"] != F.xxhash64(F.lit(""))), F.array(span(F.lit(0), F.size(ss)))).otherwise(f))
-
-    return _let(F.transform(pieces(text), sentence), of)
+    ends = cuts(text)
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def normalised(text: str) -> list[str]:
+    """The sentences in lower case, all white space as blanks, none around them."""
+    flat = text.translate(BLANK)
+    ends = cuts(text)
+    if flat.isascii():
+        flat = flat.lower()
+        return [flat[a:b].strip(" ") for a, b in zip([0, *ends], ends)]
+    return [flat[a:b].strip(" ").lower() for a, b in zip([0, *ends], ends)]
+
+
+def words(sentence: str) -> int:
+    return sentence.count(" ") + (1 if sentence.isascii() else max(1, len(WIDE.findall(sentence))))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def runs(texts: list[str], run: int | None, min_words: int) -> tuple[np.ndarray, ...]:
+    """(text number, position, length, hash, hash) of the runs of some texts: with ``run``, of exactly so
+    many sentences with ``min_words`` words; else the shortest of ``RUN`` sentences or more with as many
+    words from and up to every sentence, or the whole of a text that has none."""
+    cut = [normalised(t) for t in texts]
+    size = np.fromiter(map(len, cut), np.int64, len(cut))
+    flat = list(chain.from_iterable(cut))
+    n = len(flat)
+    start = np.cumsum(size) - size
+    text = np.repeat(np.arange(len(cut)), size)
+    total = np.concatenate([[0], np.cumsum(np.fromiter(map(words, flat), np.int64, n))])
+    at = np.arange(n)
+    if run is not None:
+        a, e = at, at + run
+        ok = e <= (start + size)[text]
+        a, e = a[ok], e[ok]
+        enough = total[e] - total[a] >= min_words
+        a, e = a[enough], e[enough]
+    else:
+        e = np.maximum(at + RUN, np.searchsorted(total, total[:-1] + min_words, "left"))
+        b = np.minimum(at + 1 - RUN, np.searchsorted(total, total[1:] - min_words, "right") - 1)
+        ahead, behind = e <= (start + size)[text], b >= start[text]
+        codes = np.unique(np.concatenate([at[ahead] * (n + 1) + e[ahead], b[behind] * (n + 1) + at[behind] + 1]))
+        a, e = codes // (n + 1), codes % (n + 1)
+        alone = np.ones(len(cut), bool)
+        alone[text[a]] = False
+        alone = np.flatnonzero(alone & np.array([any(c) for c in cut], bool))
+        a, e = np.concatenate([a, start[alone]]), np.concatenate([e, (start + size)[alone]])
+    h = np.frombuffer(b"".join([xxhash.xxh3_128_digest(s.encode()) for s in flat]), "<u8").reshape(n, 2)
+    rise, fall = _powers(POWER, n), _powers(INVERSE, n)
+    out = []
+    for k in range(2):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h[:, k] * rise, dtype=np.uint64)])
+        x = (sums[e] - sums[a]) * (fall[a] if n else np.zeros(0, np.uint64)) + (e - a).astype(np.uint64)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(POWER)
+        out.append((x ^ (x >> np.uint64(29))).view(np.int64))
+    return text[a], a - start[text[a]], e - a, *out
 
 
 def removed_sentences(docs: DataFrame, run: int | None = None, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, _th, spans: sorted positions and lengths of the non-first repeated runs of a document."""
-    found = spans(F.col("text"), min_words) if run is None else runs(F.col("text"), run, min_words)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("_th"), F.explode(found).alias("r"))
-    rows = stored(rows.select("doc_id", "_th", "r.*"), "runs")
+    def batch(b: pa.RecordBatch) -> dict:
+        who, pos, size, h1, h2 = runs(b.column("text").to_pylist(), run, min_words)
+        who = pa.array(who)
+        return {"doc_id": b.column("doc_id").take(who), "_th": b.column("_th").take(who),
+                "pos": pa.array(pos, pa.int32()), "len": pa.array(size, pa.int32()), "h1": h1, "h2": h2}
+
+    rows = docs.select("doc_id", text_hash().alias("_th"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = stored(mapped(rows, batch, f"doc_id {id_type(docs)}, _th bigint, pos int, len int, h1 bigint, h2 bigint"), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("_th"), F.col("pos"))
     first = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     # stored: both sides of the join get exchanges of their own, and a very common run is split
@@ -133,21 +151,24 @@ def substring_dedup(docs: DataFrame, run: int | None = None, min_words: int = MI
     k = marks.select(F.col("doc_id").alias("m_id"), F.col("_th").alias("m_th"), "spans")
     rows = packed(docs.select("doc_id", "text")).join(
         k, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("_th") == F.col("m_th")), "left")
-    rows = rows.select("doc_id", pieces(F.col("_doc.text")).alias("pieces"), "spans")
+    rows = rows.select("doc_id", F.coalesce(F.col("_doc.text").cast("string"), F.lit("")).alias("text"), "spans")
 
     def batch(b: pa.RecordBatch) -> dict:
         out = {"text": [], "n_sentences": [], "n_removed": [], "removed": []}
         for i in range(b.num_rows):
-            parts, later = b.column("pieces")[i].as_py(), b.column("spans")[i].values
-            gone = np.zeros(len(parts), bool)
+            text, later = b.column("text")[i].as_py(), b.column("spans")[i].values
+            ends = cuts(text)
+            at = []
             if later is not None:
+                gone = np.zeros(len(ends), bool)
                 starts, sizes = (x.to_numpy() for x in later.flatten())
                 for j in range(int(sizes.max())):
                     gone[starts[sizes > j] + j] = True
-            at = np.flatnonzero(gone).tolist()
-            out["text"].append("".join(p for p, g in zip(parts, gone) if not g) if at else "".join(parts))
-            out["n_sentences"].append(len(parts)), out["n_removed"].append(len(at)), out["removed"].append(at)
-        return {"doc_id": b.column("doc_id"), "text": out["text"], "n_sentences": pa.array(out["n_sentences"], pa.int32()),
+                at = np.flatnonzero(gone).tolist()
+                text = "".join([text[a:e] for a, e, g in zip([0, *ends], ends, gone.tolist()) if not g])
+            out["text"].append(text)
+            out["n_sentences"].append(len(ends)), out["n_removed"].append(len(at)), out["removed"].append(at)
+        return {"doc_id": b.column("doc_id"), "text": pa.array(out["text"], pa.string()), "n_sentences": pa.array(out["n_sentences"], pa.int32()),
                 "n_removed": pa.array(out["n_removed"], pa.int32()), "removed": pa.array(out["removed"], pa.list_(pa.int32()))}
 
-    return mapped(rows, batch, "doc_id bigint, text string, n_sentences int, n_removed int, removed array<int>")
+    return mapped(rows, batch, f"doc_id {id_type(docs)}, text string, n_sentences int, n_removed int, removed array<int>")
