@@ -65,8 +65,8 @@ def _split_cases(spark):
     existing = spark.range(0, 300_000, 7).selectExpr("if(id % 2 = 0, -1, id) AS k", "id")
     parents = existing.filter("k > 0")
     text = rows.selectExpr("cast(v AS string) AS id", "cast(k AS string) AS name", "'x' AS linkedin", "cast(null AS string) AS twitter", "pad")
-    staged = rows.selectExpr("k AS companyId", "'u' AS url", "'t' AS title", "v AS s", "pad")
-    jobs = existing.selectExpr("k AS companyId", "'u' AS url", "'t' AS title", "id")
+    staged = rows.selectExpr("k AS companyId", "concat('u', k) AS url", "concat('t', k) AS title", "v AS s", "pad")
+    jobs = existing.selectExpr("k AS companyId", "concat('u', k) AS url", "concat('t', k) AS title", "id")
     no_title = staged.selectExpr("companyId", "'' AS url", "title", "s", "pad")
     return {
         "match_existing": lambda: J.match_existing(rows, existing, ["k"]), "new_jobs": lambda: J.new_jobs(rows, parents, ["k"]),
