@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.core import completeness, truthy
 from ..session import store
 from .joins import rewire_bridge
-from .keys import spread
+from .keys import default_tasks, spread
 
 
 def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
@@ -34,17 +34,21 @@ def duplicate_links(founders: DataFrame, id_col: str = "id", name: str = "name",
     return out
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: links of one task of the exchange below a round's joins
+LINKS_PER_TASK = 200_000
+
+
+def _large_star(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """Every node links its larger neighbours to the smallest node of its neighbourhood."""
     both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
     low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    return both.join(spread(low), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    return both.join(spread(low, tasks), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int | None = None) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them. ``edges``: a > b."""
     low = edges.groupBy("a").agg(F.min("b").alias("low"))
-    rest = edges.join(spread(low), "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    rest = edges.join(spread(low, tasks), "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return rest.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
 
 
@@ -62,7 +66,8 @@ def edge_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
     at = store(edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).filter("a <> b").distinct(), "links")
     seen = state(at)
     while seen[0]:
-        at = store(_small_star(_large_star(at)), "links")
+        tasks = min(default_tasks(edges), 1 + seen[0] // LINKS_PER_TASK)  # the list never grows: small ones need few
+        at = store(_small_star(_large_star(at, tasks), tasks), "links")
         now = state(at)
         if now == seen:
             break

@@ -33,11 +33,15 @@ def _comparable(k: str, dtype: T.DataType):
     return F.coalesce(text, F.lit(""))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def default_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """A one-row-per-key side with an exchange of its own. An aggregate is already partitioned by
     the join key, so the join would shuffle only the other side and adaptive execution could not
     split a hot key; behind a round-robin exchange the join shuffles both sides, and it can."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks or default_tasks(df))
 
 
 def with_null_safe_keys(df: DataFrame, keys: list[str], prefix: str = "_nk", always: bool = False) -> tuple[DataFrame, list[str]]:

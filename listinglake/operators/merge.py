@@ -101,28 +101,19 @@ def collapse_batch_jobs(staged: DataFrame, company: str, url: str, title: str, o
     return last_wins(step1, [company, title], [ordinal])
 
 
-def _key_rows(df: DataFrame, company: str, url: str | None, title: str | None, id_value: Column | None, size: bool, *carry) -> DataFrame:
-    """One narrow row (kind, company, value) for every key of a job that is given and not missing."""
+def _key_rows(df: DataFrame, company: str, url: str | None, title: str | None, id_value: Column, *carry: Column | str) -> DataFrame:
+    """One narrow row (hash, kind, company, value) for every key of a job that is given and not missing. The hash leads
+    the others in a join, so that they are compared only where it is equal."""
     def key(kind, c, value, there):
         return F.when(there, F.struct(F.lit(kind).alias("kind"), c.alias("company"), value.cast("string").alias("value")))
-    c, known, none = F.col(company).cast("string"), F.col(company).isNotNull(), F.lit("")
-    keys = []
+    c, known = F.col(company).cast("string"), F.col(company).isNotNull()
+    keys = [key("id", F.lit(""), id_value, id_value.isNotNull())]
     if url:
         keys.append(key("url", c, F.col(url), known & truthy(F.col(url))))
     if title:
         keys.append(key("title", c, F.col(title), known & F.col(title).isNotNull()))
-    if id_value is not None:
-        keys.append(key("id", none, id_value, id_value.isNotNull()))
-    if size:
-        keys.append(key("company", c, none, known))
-    return df.select(*carry, F.explode(F.array_compact(F.array(*keys))).alias("_k")).select("*", "_k.*").drop("_k")
-
-
-def job_index(target: DataFrame, company: str = "companyId", url: str = "url", title: str = "title", id_col: str = "id") -> DataFrame:
-    """kind, company, value → found (smallest id), rows: everything a batch asks about the existing jobs - which has this
-    url, this title or this id, and how many a company has - from one exchange of narrow rows, combined map-side."""
-    rows = _key_rows(target, company, url, title, F.col(id_col), True, F.col(id_col).alias("_found"))
-    return rows.groupBy("kind", "company", "value").agg(F.min("_found").alias("found"), F.count(F.lit(1)).alias("rows"))
+    return (df.select(*carry, F.explode(F.array_compact(F.array(*keys))).alias("_k"))
+            .select("*", F.xxhash64("_k.kind", "_k.company", "_k.value").alias("hash"), "_k.*").drop("_k"))
 
 
 def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", company: str = "companyId",
@@ -134,8 +125,9 @@ def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", compa
     New jobs get ``id = sha256(company::url::title)``; where an older job holds that id already (it
     was renamed since), the hash of that id and of the company's number of jobs, which grows with every insert.
 
-    The target is shuffled twice: once as narrow key rows (``job_index``), against which the batch looks up matches and
-    held ids in one join, and once as it is, to take the matched rows' new values. Everything else has the batch's size."""
+    The target is shuffled twice: once as narrow key rows, among which the batch looks up matches and held ids in one
+    join (its side has each key once), and once as it is, to take the matched rows' new values. A count of jobs per company,
+    combined map-side, is made beside that for ids that are held; everything else has the batch's size."""
     replace = replace or [c for c in staged.columns if c in target.columns and c not in (id_col, company)]
     two_tier = mode == "two_tier"
     if two_tier:
@@ -147,10 +139,10 @@ def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", compa
     # after the collapse a staged row is known by company and title (a missing one included)
     s = s.drop(id_col).withColumn("_row", F.struct(F.col(company).alias("c"), F.col(title).alias("t")))
     s = s.withColumn("_new", surrogate_id(company, url, title))
-    index = job_index(target, company, url, title, id_col)
-    asked = _key_rows(s, company, url if two_tier else None, title, F.col("_new"), False, "_row")
-    by_kind = {k: F.min(F.when(F.col("kind") == k, F.col("found"))) for k in ("url", "title", "id")}
-    answers = (asked.join(index, ["kind", "company", "value"]).groupBy("_row")
+    known = _key_rows(target, company, url if two_tier else None, title, F.col(id_col), F.col(id_col).alias("_found"))
+    asked = _key_rows(s, company, url if two_tier else None, title, F.col("_new"), "_row")
+    by_kind = {k: F.min(F.when(F.col("kind") == k, F.col("_found"))) for k in ("url", "title", "id")}
+    answers = (asked.join(known, ["hash", "kind", "company", "value"]).groupBy("_row")
                .agg(F.coalesce(by_kind["url"], by_kind["title"]).alias("_mid"), by_kind["id"].isNotNull().alias("_held")))
     m = s.join(answers, "_row", "left").drop("_row")
     t = target.alias("t")
@@ -166,15 +158,11 @@ def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", compa
                           else F.col(f"t.{c}")).alias(c) for c in target.columns])
     inserts = m.filter(F.col("_mid").isNull())
     held = F.coalesce(F.col("_held"), F.lit(False))
-    sizes = index.filter(F.col("kind") == "company").select(F.col("company").alias("_c"), F.col("rows").alias("_rows"))
-    again = (inserts.filter(held).join(spread(sizes), F.col(company).cast("string") == F.col("_c"))
-             .withColumn(id_col, surrogate_id("_new", "_rows")))
-    fresh = inserts.filter(~held).withColumn(id_col, F.col("_new"))
-
-    def whole(rows):
-        return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns])
-
-    return updated.unionByName(whole(fresh)).unionByName(whole(again))
+    sizes = target.groupBy(F.col(company).alias("_c")).agg(F.count(F.lit(1)).alias("_rows"))
+    new = inserts.join(spread(sizes), (F.col(company) == F.col("_c")) & held, "left").withColumn(
+        id_col, F.when(held, surrogate_id("_new", "_rows")).otherwise(F.col("_new")))
+    return updated.unionByName(new.select(*[
+        F.col(c) if c in new.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]))
 
 
 def unheld_ids(rows: DataFrame, target: DataFrame, company: str, id_col: str = "id") -> DataFrame:

@@ -332,9 +332,7 @@ def _landed_portfolio(spark, sf):
         F.array(F.col("c_mktsegment"), F.lit("")).alias("markets"),
         F.array(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"))).alias("officeLocations"),
         F.lit("TPC").alias("dataSource"))
-    for f in SC.PORTFOLIO_COMPANY.fields:
-        if f.name not in companies.columns:
-            companies = companies.withColumn(f.name, F.lit(None).cast(f.dataType))
+    companies = companies.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SC.PORTFOLIO_COMPANY.fields if f.name not in companies.columns])
     o = table(spark, sf, "orders")
     jobs = o.select(
         F.lit("orders.json").alias("file_name"), (F.col("o_orderkey") + 1).cast("int").alias("pos"),
@@ -343,9 +341,7 @@ def _landed_portfolio(spark, sf):
         F.array(F.col("o_orderstatus")).alias("locations"),
         F.struct(F.col("o_totalprice").cast("string").alias("minValue"), F.lit(None).cast("string").alias("maxValue"),
                  F.lit("USD").alias("currency"), F.lit("yearly").alias("period")).alias("salary"))
-    for f in SC.PORTFOLIO_JOB.fields:
-        if f.name not in jobs.columns:
-            jobs = jobs.withColumn(f.name, F.lit(None).cast(f.dataType))
+    jobs = jobs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SC.PORTFOLIO_JOB.fields if f.name not in jobs.columns])
     return companies, jobs
 
 
