@@ -49,7 +49,7 @@ class DigestIndex:
         at = jvm.org.apache.hadoop.fs.Path(spec)
         if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
             last = spark.read.schema(SPEC).parquet(spec).orderBy(F.desc("version")).first()
-            self.buckets, self.version, folder = last["buckets"], last["version"], last["folder"]
+            self.buckets, self.version, folder = last["buckets"], last["version"] or 0, last["folder"] or "entries"
         else:
             self.buckets, self.version, folder = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 0, "entries"
             self._note(folder)
