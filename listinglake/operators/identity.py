@@ -57,21 +57,22 @@ def edge_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> Dat
 
     Alternating large-star and small-star rounds over the edges alone: nodes without edges are never looked at, a path of
     n links needs O(log n) rounds, and the edge list does not grow beyond its size. Every round's list is written to the
-    shared folder (lineage stays one round long, a lost executor recomputes at most one round); the rounds end when the
-    list no longer changes. The one-row-per-node side of each join has an exchange of its own, so that the links of
+    shared folder (lineage stays one round long, a lost executor recomputes at most one round); the rounds end when
+    the list is stars. The one-row-per-node side of each join has an exchange of its own, so that the links of
     a node with a third of them can be split."""
-    def state(e):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def open_nodes(e):
+        """Links, and nodes that still have two smaller neighbours or lie between two others: none is left of stars."""
+        ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                          F.struct(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("x"))
+        per = ends.groupBy("x.n").agg(F.sum("x.up").alias("up"), F.max("x.down").alias("down"))
+        return per.agg(F.sum("up"), F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()
 
     at = store(edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).filter("a <> b").distinct(), "links")
-    seen = state(at)
-    while seen[0]:
-        tasks = min(default_tasks(edges), 1 + seen[0] // LINKS_PER_TASK)  # the list never grows: small ones need few
+    links, unsettled = open_nodes(at)
+    while unsettled:
+        tasks = min(default_tasks(edges), 1 + links // LINKS_PER_TASK)  # the list never grows: small ones need few
         at = store(_small_star(_large_star(at, tasks), tasks), "links")
-        now = state(at)
-        if now == seen:
-            break
-        seen = now
+        links, unsettled = open_nodes(at)
     return at.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         at.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
