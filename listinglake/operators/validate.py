@@ -73,41 +73,20 @@ def audit_constraints(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks)
 
 
-def _rule_rows(df: DataFrame, required: list[str], unique: list[list[str]], foreign: dict) -> DataFrame:
-    """(rule, kind, key) → n: every rule of a table over one scan. A row gives one entry for each missing required column,
-    for each unique key without a missing part, and for each given foreign key; equal entries are counted map-side first."""
-    def entry(rule, kind, key, there):
-        return F.when(there, F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), key.alias("key")))
-
-    def text(cols):
-        return F.array(*[F.col(c).cast("string") for c in cols])
-    entries = [entry(f"not_null({c})", "null", F.array().cast("array<string>"), F.col(c).isNull()) for c in required]
-    entries += [entry(f"unique({','.join(keys)})", "unique", text(keys), reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-                for keys in unique]
-    entries += [entry(f"fk({c})", "fk", text([c]), F.col(c).isNotNull()) for c in foreign]
-    return (df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
-            .groupBy("rule", "kind", "key").agg(F.count(F.lit(1)).alias("n")))
-
-
 def audit_warehouse(wh: dict[str, DataFrame], required: dict, unique: dict, foreign: dict) -> DataFrame:
     """H9 over a whole warehouse: every required column, unique key and foreign key of its tables, as
     ``(table_name, rule, key_value, n)``.
 
-    Each table is scanned once for all its rules, and once more as a parent if foreign keys refer to it; one anti join
-    serves the foreign keys of all tables. Keys are counted before they move, so one that holds a third of the rows is
-    a row by then; equal keys are told apart by their parts, not by their joined text."""
-    counted = reduce(lambda a, b: a.unionByName(b), [
-        _rule_rows(df, required.get(t, []), unique.get(t, []), foreign.get(t, {})).withColumn("table_name", F.lit(t))
-        for t, df in wh.items() if t in required or t in unique or t in foreign])
-    referred: dict = {}
-    for t, found in foreign.items():
-        for c, (parent, pk) in found.items():
-            referred.setdefault((parent, pk), []).append(F.struct(F.lit(t).alias("table_name"), F.lit(f"fk({c})").alias("rule")))
-    held = [wh[parent].select(F.explode(F.array(*children)).alias("c"), F.array(F.col(pk).cast("string")).alias("key"))
-            .select("c.*", "key") for (parent, pk), children in referred.items()]
-    broken = counted.filter(((F.col("kind") == "null") | ((F.col("kind") == "unique") & (F.col("n") > 1))))
-    if held:
-        parents = reduce(lambda a, b: a.unionByName(b), held)
-        broken = broken.unionByName(counted.filter(F.col("kind") == "fk").join(parents, ["table_name", "rule", "key"], "left_anti")
-                                    .select(*counted.columns))
-    return broken.select("table_name", "rule", F.when(F.size("key") > 0, F.array_join("key", "|")).alias("key_value"), F.col("n").cast("long").alias("n"))
+    Every rule reads and moves its own key columns only, as they are: no row carries its rule's name or an array of key
+    parts, and the counts run in generated code. Required columns are counted in one pass per table. Keys are counted before
+    they move, so one that holds a third of the rows is a row by then; equal keys are told apart by their parts, not by their
+    joined text. Keys are compared as text, whatever their types."""
+    def keys_of(t, *cols):
+        return wh[t].select(*[F.col(c).cast("string").alias(c) for c in cols])
+    checks = []
+    for t, df in wh.items():
+        if required.get(t):
+            checks.append(not_null_violations(df, t, required[t]))
+        checks += [unique_violations(keys_of(t, *keys), t, keys) for keys in unique.get(t, [])]
+        checks += [fk_violations(keys_of(t, c), t, c, keys_of(parent, pk), pk) for c, (parent, pk) in foreign.get(t, {}).items()]
+    return audit_constraints(checks)

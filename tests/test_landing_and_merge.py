@@ -250,3 +250,15 @@ def test_audit_tells_key_parts_apart(spark):
     got = sorted(tuple(r) for r in audit_warehouse(wh, SC.REQUIRED, SC.UNIQUE, SC.FOREIGN).fillna("").collect())
     assert got == [("company_founder", "fk(companyId)", "x", 3), ("company_founder", "fk(founderId)", "9", 2), ("company_founder", "not_null(companyId)", "", 1),
                    ("company_founder", "unique(companyId,founderId)", "x|9", 2), ("founder", "unique(name,linkedin)", "n|l", 2)]
+
+
+def test_audit_moves_key_columns_only(spark):
+    """No row is blown up into an entry per rule: keys move as they are, without rule names and arrays of parts."""
+    wh = K.empty_warehouse(spark)
+    wh["job_office"] = K.conform(spark.range(4).selectExpr("id DIV 2 AS jobId", "5 AS officeId"), SC.JOB_OFFICE)
+    found = audit_warehouse(wh, SC.REQUIRED, SC.UNIQUE, SC.FOREIGN)
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("job_office", "fk(jobId)", "0", 2), ("job_office", "fk(jobId)", "1", 2), ("job_office", "fk(officeId)", "5", 4),
+        ("job_office", "unique(jobId,officeId)", "0|5", 2), ("job_office", "unique(jobId,officeId)", "1|5", 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_compact" not in plan and "explode" not in plan and "array<string>" not in plan
