@@ -73,7 +73,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table once, columnar, to the shared folder and read it back: cuts the lineage of a state that several
-    later plans use, survives lost executors, and lets these plans read only the columns they need."""
+    later plans use, survives lost executors, and lets these plans read only the columns they need.
+    A frame that this function returned is stored already and comes back as it is."""
+    if getattr(df, "_stored", False):
+        return df
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored = True
+    return out

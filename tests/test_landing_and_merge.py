@@ -262,3 +262,11 @@ def test_audit_moves_key_columns_only(spark):
         ("job_office", "unique(jobId,officeId)", "0|5", 2), ("job_office", "unique(jobId,officeId)", "1|5", 2)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "array_compact" not in plan and "explode" not in plan and "array<string>" not in plan
+
+
+def test_stored_tables_are_written_once(spark):
+    """A load's stored tables are not written again for the next feed."""
+    from listinglake.session import store
+    at = store(spark.range(3), "once")
+    assert K.materialize(at) is at and K.materialize_changed({"job": at}, {})["job"] is at
+    assert K.materialize(at.filter("id > 0")).count() == 2
