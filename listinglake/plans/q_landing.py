@@ -164,9 +164,10 @@ def portfolio_two_sources_state(spark, sf):
     """K1 → K2 over two boards whose files have the same names, in both modes: every job with its own salary range and
     office, jobs without a url included, and ids unique."""
     out = _consolidated(spark, sf)
+    companies, jobs = (K.materialize(out[name], name) for name in ("companies", "jobs"))  # both loads read what was kept, not the files
     states = []
     for mode in ("upsert", "insert"):
-        wh, _rejects = K.load_portfolio(K.empty_warehouse(spark), out["companies"], out["jobs"], mode=mode)
+        wh, _rejects = K.load_portfolio(K.empty_warehouse(spark), companies, jobs, mode=mode)
         c = wh["company"].select(F.col("id").alias("companyId"), "slug")
         ids = wh["job"].groupBy(F.col("id").alias("jobId")).agg(F.count(F.lit(1)).alias("ids"))
         sal = wh["salary_range"].select("jobId", "minValue")
