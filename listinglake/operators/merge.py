@@ -118,24 +118,26 @@ def _key_rows(df: DataFrame, company: str, url: str | None, title: str | None, i
 
 def upsert_jobs(target: DataFrame, staged: DataFrame, mode: str = "title", company: str = "companyId",
                 url: str = "url", title: str = "title", id_col: str = "id", ordinal: str = "ordinal",
-                replace: list[str] | None = None) -> DataFrame:
+                replace: list[str] | None = None, collapsed: bool = False) -> DataFrame:
     """H4: ``mode='title'`` — update every existing job with the same (title, company) with the
     last staged row for that key, insert the rest; ``mode='two_tier'`` — collapse the batch,
     match by (url, company) then (title, company) (C6), update the matched job, insert the rest.
     New jobs get ``id = sha256(company::url::title)``; where an older job holds that id already (it
     was renamed since), the hash of that id and of the company's number of jobs, which grows with every insert.
 
+    ``collapsed``: the batch has one row per company and title already.
+
     The target is shuffled twice: once as narrow key rows, among which the batch looks up matches and held ids in one
     join (its side has each key once), and once as it is, to take the matched rows' new values. A count of jobs per company,
     combined map-side, is made beside that for ids that are held; everything else has the batch's size."""
     replace = replace or [c for c in staged.columns if c in target.columns and c not in (id_col, company)]
     two_tier = mode == "two_tier"
-    if two_tier:
-        s = collapse_batch_jobs(staged, company, url, title, ordinal)
-    elif mode == "title":
-        s = last_wins(staged, [company, title], [ordinal])
-    else:
+    if mode not in ("title", "two_tier"):
         raise ValueError(f"unknown mode {mode!r}")
+    if collapsed:
+        s = staged
+    else:
+        s = collapse_batch_jobs(staged, company, url, title, ordinal) if two_tier else last_wins(staged, [company, title], [ordinal])
     # after the collapse a staged row is known by company and title (a missing one included)
     s = s.drop(id_col).withColumn("_row", F.struct(F.col(company).alias("c"), F.col(title).alias("t")))
     s = s.withColumn("_new", surrogate_id(company, url, title))

@@ -161,9 +161,11 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     staged = J.attach_company(st["job"], company.select("slug", "id"), "company_slug", "slug", "id", "companyId")
     job_src = conform(staged, SC.JOB, ("_ord", "job_key"))
     if mode == "upsert":
-        job = H.upsert_jobs(wh["job"], job_src.drop("id"), mode="title", ordinal="_ord",
-                            replace=PORTFOLIO_JOB_REPLACED)
+        # the last staged row of a company and title: stored once for the job table, the offices and the salaries
+        last = materialize(D.last_wins(job_src.drop("id"), ["companyId", "title"], ["_ord"]), "staged-jobs")
+        job = H.upsert_jobs(wh["job"], last, mode="title", ordinal="_ord", replace=PORTFOLIO_JOB_REPLACED, collapsed=True)
     else:
+        job_src = materialize(job_src, "staged-jobs")
         # jobs without a url have no natural key: their place in the feed tells them apart, and a job
         # loaded from the same place before is left alone
         job_src = job_src.withColumn("id", TX.surrogate_id("companyId", "url", "title",
@@ -179,12 +181,12 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     # insert the one job of its company and url (without a url, the staged row's own)
     ids = job.select(F.col("id").alias("jobId"), "companyId", "title", "url")
     if mode == "upsert":
-        key_map = (D.last_wins(job_src, ["companyId", "title"], ["_ord"]).select("job_key", "companyId", "title")
-                   .join(ids, ["companyId", "title"]).select("job_key", "jobId"))
+        key_map = last.select("job_key", "companyId", "title").join(ids, ["companyId", "title"]).select("job_key", "jobId")
     else:
         with_url = D.first_wins(job_src.filter(F.col("url").isNotNull()), ["companyId", "url"], ["_ord"])
         key_map = (with_url.select("job_key", "companyId", "url").join(ids, ["companyId", "url"]).select("job_key", "jobId")
                    .unionByName(job_src.filter(F.col("url").isNull()).select("job_key", F.col("id").alias("jobId"))))
+    key_map = materialize(key_map, "job-keys")
     loc_links = (st["job_location"].join(key_map, F.col("job_ordinal") == F.col("job_key"))
                  .join(office.select(F.col("location").alias("location_name"), F.col("id").alias("officeId")),
                        "location_name").select("jobId", "officeId"))
@@ -331,11 +333,14 @@ def load_directory(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
                                             replace=DIRECTORY_JOB_REPLACED), SC.JOB))
     out["job"] = job
     # every posting's offices go to the job it ended in, also those of postings that a later one replaced
+    # (jobs are matched within a company, so those of other companies are left out before anything is grouped)
+    fed = staged.select("companyId").distinct()
+    mine = materialize(job.select("id", "companyId", "url", "title").join(fed, "companyId", "left_semi"), "fed-jobs")
     placed = two_tier_match(staged.select("ordinal", "companyId", "url", "title", F.explode("offices").alias("location"))
-                            .filter(truthy(F.col("location"))), job, out="jobId")
+                            .filter(truthy(F.col("location"))), mine, out="jobId")
     job_offices = placed.join(office.select("location", F.col("id").alias("officeId")), "location")
     out["job_office"] = _dedupe_union(wh["job_office"], job_offices, ["jobId", "officeId"])
-    of_job = job.select(F.col("id").alias("jobId"), *[F.col(c).alias(f"j_{c}") for c in ("companyId", "url", "title")])
+    of_job = mine.select(F.col("id").alias("jobId"), *[F.col(c).alias(f"j_{c}") for c in ("companyId", "url", "title")])
     sal = (staged.filter(F.col("salaryRange").isNotNull())
            .join(of_job, (F.col("companyId") == F.col("j_companyId")) & (F.col("title") == F.col("j_title"))
                  & F.col("url").eqNullSafe(F.col("j_url")))
@@ -363,7 +368,9 @@ def load_flat_feed(wh: dict[str, DataFrame], flat: DataFrame, as_of) -> tuple[di
     skipped = resolved.filter(F.col("employer").isNull())
     ok = resolved.filter(F.col("employer").isNotNull())
     company = materialize(conform(H.ensure_seed_companies(wh["company"], SEED_EMPLOYERS), SC.COMPANY))
-    staged = J.lookup(ok, company.select("name", "id"), "employer", "name", "id", "companyId")
+    # employers are of the seed list, so only companies of these names are looked up: a side that stays small
+    employers = company.filter(F.col("name").isin(SEED_EMPLOYERS)).select("name", "id")
+    staged = J.lookup(ok, employers, "employer", "name", "id", "companyId")
     ts = F.coalesce(F.col("date"), F.to_timestamp(F.lit(str(as_of) if not isinstance(as_of, _dt.datetime)
                                                           else as_of.isoformat(sep=" "))))
     jobs_src = staged.select(
