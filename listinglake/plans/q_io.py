@@ -78,8 +78,7 @@ def entity_dir(spark, sf):
     s = table(spark, sf, "supplier")
     body = F.when(F.col("s_acctbal") < 0, F.lit("{broken")).otherwise(
         F.to_json(F.struct("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("status"))))
-    s.select(F.concat(F.lit("sup-"), F.col("s_suppkey").cast("string")).alias("slug"), body.alias("value")) \
-        .repartition("slug").write.mode("overwrite").partitionBy("slug").text(path)
+    S.write_entity_dir(s.select(F.concat(F.lit("sup-"), F.col("s_suppkey").cast("string")).alias("slug"), body.alias("value")), path)
     ok, bad = R.read_entity_dir(spark, path, ".txt", ENTITY_SCHEMA, slug_from_dir="slug")
     return ok.select("slug", "s_suppkey", "s_name", F.lit(None).cast("string").alias("error")).unionByName(
         bad.select("slug", F.lit(None).cast("long").alias("s_suppkey"), F.lit(None).cast("string").alias("s_name"),

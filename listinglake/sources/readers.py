@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.core import truthy
 from ..functions.text import strip_html
+from ..operators.keys import default_tasks
 from ..session import store
 from .literals import empty_frame, literal_frame
 
@@ -119,11 +120,11 @@ def read_entity_dir(spark: SparkSession, path: str, suffix: str, schema: T.Struc
                     slug_from_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """A2: one JSON object per entity file named ``<slug><suffix>``; only such files are
     read. With ``slug_from_dir='slug'`` the slug comes from a ``slug=<value>`` folder instead
-    (the layout Spark's partitioned writer produces). Returns ``(rows with slug, error rows)``."""
-    docs = (spark.read.option("wholetext", True).option("pathGlobFilter", "*" + suffix)
-                 .option("recursiveFileLookup", slug_from_dir is not None).text(path)
-                 .select(F.col("_metadata.file_name").alias("file_name"),
-                         F.col("_metadata.file_path").alias("file_path"), F.col("value")))
+    (the layout Spark's partitioned writer produces). Returns ``(rows with slug, error rows)``. Opening a file costs more
+    than its text, so the texts are stored once and both frames read that table; it is written by at most as many tasks as
+    there are shuffle partitions, since Spark's reader makes a task of every few small files."""
+    docs = read_documents(spark, path, "*" + suffix, slug_from_dir is not None)
+    docs = store(docs.coalesce(default_tasks(docs)), "entity-texts")
     parsed = docs.select("file_name", "file_path", F.from_json(F.col("value"), schema).alias("_r"),
                          F.coalesce(F.json_object_keys(F.col("value")).isNotNull(), F.lit(False)).alias("_obj"))
     if slug_from_dir:

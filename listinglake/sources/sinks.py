@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import status_bucket
+from ..operators.keys import default_tasks
 from .literals import empty_frame
 
 
@@ -129,8 +130,21 @@ def write_json_wrapped(df: DataFrame, path: str, file_key, wrapper: str | None =
     groups are bounded (e.g. ``id div 1000`` over unique ids): a document is built in one task,
     exactly as a reader parses one file in one task. One write job for all folders."""
     folders = folders or []
-    docs = _documents(df, file_key, wrapper, order, folders, wrap_when)
-    docs.repartition(*folders, "file_key").write.mode("overwrite").partitionBy(*folders, "file_key").text(path)
+    rows = _rows_by_file(df, [*folders, file_key])
+    docs = _documents(rows, file_key, wrapper, order, folders, wrap_when)
+    docs.write.mode("overwrite").partitionBy(*folders, "file_key").text(path)
+
+
+def write_entity_dir(df: DataFrame, path: str, slug: str = "slug", value: str = "value") -> None:
+    """A2's layout: the text ``value`` of each entity in a file of its own in the folder ``<slug>=<entity's slug>``, as
+    ``read_entity_dir`` reads it with ``slug_from_dir``."""
+    _rows_by_file(df.select(slug, value), [slug]).write.mode("overwrite").partitionBy(slug).text(path)
+
+
+def _rows_by_file(df: DataFrame, keys: list) -> DataFrame:
+    """The rows of a file brought together. Writing small files takes time by their number, not by their bytes, so the
+    number of tasks is given (the shuffle partitions): adaptive execution would put all of a few MB into one task."""
+    return df.repartition(default_tasks(df), *keys)
 
 
 def write_json_documents(df: DataFrame, path: str, document_key, wrapper: str | None = None, order: list | None = None,

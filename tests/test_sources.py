@@ -61,6 +61,35 @@ def test_wrapped_json_sink_roundtrip(spark, tmp_dir):
     assert got[:3] == [(0, 1), (1, 2), (2, 3)] and got[-1] == (24, 5) and errors.count() == 0
 
 
+def _writers(root):
+    """Numbers of the tasks that wrote the text files below ``root``."""
+    return {f.split("-")[1] for _, _, files in os.walk(root) for f in files if f.startswith("part-") and f.endswith(".txt")}
+
+
+def test_a_file_per_key_is_written_by_several_tasks(spark, tmp_dir):
+    df = spark.range(0, 200).select(F.col("id").alias("k"), F.floor(F.col("id") / 5).alias("fk"))
+    S.write_json_wrapped(df, f"{tmp_dir}/docs", "fk", order=["k"])
+    assert len(os.listdir(f"{tmp_dir}/docs")) >= 40 and len(_writers(f"{tmp_dir}/docs")) > 1
+
+
+def test_entity_dir_writes_in_several_tasks_and_opens_a_file_once(spark, tmp_dir):
+    from listinglake.plans import catalog
+    from listinglake.session import checkpoint_dir
+    rows = [(k, f"S{k}", k % 5, -1.0 if k % 10 == 0 else 1.0) for k in range(40)] + [(7, "S7", 2, 1.0)]
+    spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double") \
+        .write.parquet(f"{tmp_dir}/supplier.parquet")
+    scratch = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch)) if os.path.exists(scratch) else set()
+    out = catalog.QUERIES["entity_dir"](spark, tmp_dir)
+    landed = [d for d in set(os.listdir(scratch)) - before if d.startswith("entities-")]
+    assert len(landed) == 1 and len(_writers(f"{scratch}/{landed[0]}")) > 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "Scan text" not in plan  # both frames read the stored texts
+    got = sorted((r.slug, r.s_suppkey, r.s_name, r.error) for r in out.collect())
+    assert got == sorted((f"sup-{k}", None, None, "unreadable JSON") if k % 10 == 0 else (f"sup-{k}", k, f"S{k}", None)
+                         for k, *_ in rows)
+
+
 def test_vendor_conformance(spark):
     ms = spark.createDataFrame(
         [({"result": {"jobs": [{"jobId": "7", "title": "SWE", "postingDate": "2024-01-01",
