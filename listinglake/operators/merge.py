@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import truthy
 from ..functions.text import surrogate_id
-from ..sources.literals import literal_frame
+from ..sources.literals import known_empty, literal_frame
 from .dedupe import first_wins, last_wins
 from .keys import spread
 
@@ -24,18 +24,23 @@ def _all_not_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def insert_ignore(target: DataFrame, src: DataFrame, keys: list[str], order: list) -> DataFrame:
+def collapse_batch(src: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """H1, inside the batch: the first row per key (under ``order``) wins. NULL-key rows get their own ordering value as
+    an extra window key, so each forms a group of one."""
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    tagged = src.withColumn("_nk", F.when(~_all_not_null(keys), F.struct(*order_cols)))
+    return first_wins(tagged, keys + ["_nk"], order).drop("_nk")
+
+
+def insert_ignore(target: DataFrame, src: DataFrame, keys: list[str], order: list, collapsed: bool = False) -> DataFrame:
     """H1: existing rows win; inside the batch the first row (under ``order``, which must end
     in a unique column) wins; a row with any NULL key part never conflicts (unique indexes
     treat NULLs as distinct), so it is always inserted.
 
-    One pass over the batch: NULL-key rows get their own ordering value as an extra window
-    key, so each forms a group of one; they also fall through the anti join because NULL
-    never equals anything."""
+    One pass over the batch (``collapse_batch``; none if it is ``collapsed`` already); NULL-key rows also fall through the
+    anti join because NULL never equals anything."""
     nn = _all_not_null(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    tagged = src.withColumn("_nk", F.when(~nn, F.struct(*order_cols)))
-    batch = first_wins(tagged, keys + ["_nk"], order).drop("_nk")
+    batch = src if collapsed else collapse_batch(src, keys, order)
     fresh = batch.join(target.select(*keys).filter(nn).distinct(), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
@@ -52,6 +57,8 @@ def upsert(target: DataFrame, src: DataFrame, key: str, replace: list[str], ordi
         s = last_wins(src.withColumn("_nk", own), [key, "_nk"], [ordinal]).drop("_nk")
     else:
         s = src
+    if known_empty(target):  # every row is new; without a join they also stay dealt out as they are
+        return s.select(*[F.col(c) if c in s.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns])
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     s = s.withColumn("_in_s", F.lit(True)).alias("s")
     j = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
@@ -178,18 +185,24 @@ def unheld_ids(rows: DataFrame, target: DataFrame, company: str, id_col: str = "
     return marked.filter(F.col("_held").isNull()).select(*rows.columns).unionByName(again.select(*rows.columns))
 
 
-def upsert_salary(target: DataFrame, src: DataFrame, job_key: str = "jobId", min_col: str = "minValue") -> DataFrame:
+def upsert_salary(target: DataFrame, src: DataFrame, job_key: str = "jobId", min_col: str = "minValue",
+                  new_id: Column | None = None) -> DataFrame:
     """H5: one range per job — the batch keeps the largest minimum (NULL first, as PostgreSQL's
-    DESC orders), then overwrites the job's existing range."""
+    DESC orders), then overwrites the job's existing range. ``new_id``: a new range's id where the batch has none, made
+    after the batch has moved."""
     order = [F.col(min_col).desc_nulls_first()] + [F.col(c).asc_nulls_last() for c in src.columns if c != min_col]
     s = first_wins(src, job_key, order)
+    if new_id is not None:
+        s = s.withColumn("id", new_id)
     return upsert(target, s, job_key, [c for c in target.columns if c not in (job_key, "id")], keep=["id"])
 
 
-def replace_links(bridge: DataFrame, touched: DataFrame, new_links: DataFrame, key: str) -> DataFrame:
-    """H6: drop every link of a re-imported parent, add the new links, unique pairs."""
+def replace_links(bridge: DataFrame, touched: DataFrame, new_links: DataFrame, key: str, by_key: bool = False) -> DataFrame:
+    """H6: drop every link of a re-imported parent, add the new links, unique pairs. ``by_key``, for parents of few links:
+    they are dealt out by the parent alone, so a later join with it does not move them again."""
     kept = bridge.join(touched.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(new_links.select(*bridge.columns)).distinct()
+    links = kept.unionByName(new_links.select(*bridge.columns))
+    return (links.repartition(key) if by_key else links).distinct()
 
 
 def ensure_seed_companies(target: DataFrame, names: list[str], name_col: str = "name") -> DataFrame:

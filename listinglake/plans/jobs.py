@@ -23,16 +23,16 @@ from ..operators import dedupe as D
 from ..operators import joins as J
 from ..operators import merge as H
 from ..operators.filters import split_by_has_jobs
-from ..operators.flatten import drop_nested, flatten_founders, flatten_jobs, flatten_links
+from ..operators.flatten import drop_nested, flatten_founders, flatten_jobs, flatten_links, flatten_locations, flatten_salaries
 from ..operators.sets import build_dimension, concat_arrays, union_distinct
 from ..operators.split import split_halves
 from ..operators.topk import top_per_group
 from ..operators.joins import two_tier_match
 from ..operators.validate import reject_unknown_parent, require_fields
 from ..sources.readers import read_flat_jobs, read_source_tree
-from ..session import store
+from ..session import settings, store, stored_columns
 from ..sources.literals import empty_frame
-from ..sources.staging import stage_portfolio
+from ..sources.staging import landing_place, stage_jobs, stage_portfolio
 
 # Company columns replaced by an upsert of each feed.
 PORTFOLIO_REPLACED = ["name", "description", "domain", "emailDomains", "staffCount", "isFeatured", "isRemoteFriendly",
@@ -43,6 +43,8 @@ PORTFOLIO_JOB_REPLACED = ["applyUrl", "url", "remote", "hybrid", "timeStamp", "m
                           "minYearsExp", "maxYearsExp", "skills", "requiredSkills", "preferredSkills", "departments",
                           "jobTypes", "jobFunctions", "jobSeniorities", "regions", "dataSource"]
 DIRECTORY_JOB_REPLACED = ["title", *PORTFOLIO_JOB_REPLACED, "dataCompleteness", "equityRange", "roleSpecificType"]
+# What a staged job carries for other tables than the job table.
+POSTED = ["locations", "normalizedLocations", "salary"]
 FOUNDER_REPLACED = ["name", "title", "bio", "twitter", "linkedin", "website"]
 # Feed labels and the directory's public base URL.
 DIRECTORY_SOURCE = "YC"
@@ -67,8 +69,8 @@ def conform(df: DataFrame, schema, extra: tuple[str, ...] = ()) -> DataFrame:
 def materialize(df: DataFrame, name: str = "state") -> DataFrame:
     """Cut the lineage of a state consumed by several later plans: written once, columnar, in the shared folder
     (``spark.checkpoint.dir``), so a lost executor reads it from there, later plans stay small and read only
-    the columns they need."""
-    return store(df, name)
+    the columns they need. Packed with zstd: ids are hash texts, of which lighter codecs leave every character."""
+    return store(df, name, "zstd")
 
 
 def materialize_changed(wh: dict[str, DataFrame], before: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -116,10 +118,25 @@ def consolidate_portfolio(spark: SparkSession, root: str, company_registry: list
 
 
 # ---------------------------------------------------------------------------------- K2
+def _staged_jobs(landed: DataFrame, company: DataFrame, collapse) -> DataFrame:
+    """Staged rows of the landed jobs whose company is known, stored, one per key: ``collapse(rows, company columns, order)``
+    keeps it. Landed rows are shorter than staged ones, so they are staged after they have moved. An id that no other company
+    has tells its slug, so rows that the join has dealt out by slug are collapsed where they are; the join still
+    splits a hot company, whose rows then move once more."""
+    rows = landed.withColumn("url", or_null(F.col("url")))
+    place, ids = landing_place(rows), company.select("slug", "id")
+    # ids are counted by a hash of theirs: should two have the same one, only the longer way is taken
+    shared = ids.groupBy(F.xxhash64("id")).agg(F.count(F.lit(1)).alias("n"), F.count("id").alias("given")).filter("n > 1 OR given < 1")
+    keys = ["companyId", "companySlug"] if shared.isEmpty() else ["companyId"]
+    rows = collapse(J.attach_company(rows, ids, "companySlug"), keys, place)
+    with settings(rows.sparkSession, {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}):
+        return materialize(conform(stage_jobs(rows, "companyId"), SC.JOB, ("_ord", "job_key", *POSTED)), "staged-jobs")
+
+
 def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFrame, mode: str = "upsert"
                    ) -> tuple[dict[str, DataFrame], DataFrame]:
     """K2: staging → companies (upsert or insert-ignore by slug) → dimensions and bridges →
-    jobs (title match) → job offices and salaries keyed by the staging ordinal → job counts.
+    jobs (title match) → job offices and salaries, carried by their staged row → job counts.
     Returns the next warehouse and the staging rejects."""
     st = stage_portfolio(companies, jobs)
     src = st["company"].withColumn("id", TX.surrogate_id("slug"))
@@ -142,7 +159,8 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
                                    st["job_location"].select(F.col("location_name").alias("name"))], "name")
     office = H.insert_ignore(wh["office"], build_dimension(office_names, "name").withColumnRenamed("name", "location"),
                              ["location"], ["location"])
-    out["office"] = office
+    # stored: of known size, it may be broadcast to the links, which then do not move by the few names they have
+    office = out["office"] = materialize(office, "office")
     out["company_office"] = _dedupe_union(
         wh["company_office"], J.link(st["office"], office, company, dim_name="location", out=("companyId", "officeId")),
         ["companyId", "officeId"])
@@ -157,44 +175,47 @@ def load_portfolio(wh: dict[str, DataFrame], companies: DataFrame, jobs: DataFra
     name_links = J.link(renamed, out["investor"], company, out=("companyId", "investorId"))
     out["company_investor"] = _dedupe_union(wh["company_investor"], inv_links.unionByName(name_links),
                                             ["companyId", "investorId"])
-    # jobs
-    staged = J.attach_company(st["job"], company.select("slug", "id"), "company_slug", "slug", "id", "companyId")
-    job_src = conform(staged, SC.JOB, ("_ord", "job_key"))
+    # jobs: the batch's row of a job keeps its locations and salary beside it, through the merge into the stored job table
+    if mode == "upsert":
+        def collapse(rows, company_cols, order):  # the last row of a company and title
+            return D.last_wins(rows, [*company_cols, "title"], order)
+    else:
+        def collapse(rows, company_cols, order):
+            return H.collapse_batch(rows, ["url", *company_cols], order)
+    last = _staged_jobs(st["landed_job"], company, collapse)
+    known = wh["job"].select("*", *[F.lit(None).cast(last.schema[c].dataType).alias(c) for c in POSTED],
+                             F.lit(None).cast("boolean").alias("_fed"))
+    fed = last.withColumn("_fed", F.lit(True))
     if mode == "upsert":
-        # the last staged row of a company and title: stored once for the job table, the offices and the salaries
-        last = materialize(D.last_wins(job_src.drop("id"), ["companyId", "title"], ["_ord"]), "staged-jobs")
-        job = H.upsert_jobs(wh["job"], last, mode="title", ordinal="_ord", replace=PORTFOLIO_JOB_REPLACED, collapsed=True)
+        job = H.upsert_jobs(known, fed.drop("id"), mode="title", ordinal="_ord",
+                            replace=[*PORTFOLIO_JOB_REPLACED, *POSTED, "_fed"], collapsed=True)
     else:
-        job_src = materialize(job_src, "staged-jobs")
         # jobs without a url have no natural key: their place in the feed tells them apart, and a job
         # loaded from the same place before is left alone
-        job_src = job_src.withColumn("id", TX.surrogate_id("companyId", "url", "title",
-                                                           F.when(F.col("url").isNull(), F.col("job_key"))))
         no_url = F.col("url").isNull()
-        fresh = H.unheld_ids(job_src.filter(~no_url), wh["job"], "companyId").unionByName(
-            job_src.filter(no_url).join(wh["job"].select("id"), "id", "left_anti").select(*job_src.columns))
-        job = H.insert_ignore(wh["job"], fresh, ["url", "companyId"], ["_ord"])
-    job = materialize(conform(job, SC.JOB).withColumn("dataCompleteness",
-                                                        F.coalesce("dataCompleteness", F.lit(DEFAULT_COMPLETENESS))))
-    out["job"] = job
-    # staging ordinal → job ids: an upsert wrote every job of the staged row's company and title, an
-    # insert the one job of its company and url (without a url, the staged row's own)
-    ids = job.select(F.col("id").alias("jobId"), "companyId", "title", "url")
-    if mode == "upsert":
-        key_map = last.select("job_key", "companyId", "title").join(ids, ["companyId", "title"]).select("job_key", "jobId")
-    else:
-        with_url = D.first_wins(job_src.filter(F.col("url").isNotNull()), ["companyId", "url"], ["_ord"])
-        key_map = (with_url.select("job_key", "companyId", "url").join(ids, ["companyId", "url"]).select("job_key", "jobId")
-                   .unionByName(job_src.filter(F.col("url").isNull()).select("job_key", F.col("id").alias("jobId"))))
-    key_map = materialize(key_map, "job-keys")
-    loc_links = (st["job_location"].join(key_map, F.col("job_ordinal") == F.col("job_key"))
+        fed = fed.withColumn("id", TX.surrogate_id("companyId", "url", "title", F.when(no_url, F.col("job_key"))))
+        fresh = H.unheld_ids(fed.filter(~no_url), wh["job"], "companyId").unionByName(
+            fed.filter(no_url).join(wh["job"].select("id"), "id", "left_anti").select(*fed.columns))
+        job = H.insert_ignore(known, fresh, ["url", "companyId"], ["_ord"], collapsed=True)
+    table = materialize(conform(job, SC.JOB, (*POSTED, "_fed")).withColumn("dataCompleteness",
+                                                                         F.coalesce("dataCompleteness", F.lit(DEFAULT_COMPLETENESS))))
+    job = out["job"] = stored_columns(table, SC.JOB.names)
+    # what was posted, by job: an upsert wrote every job of the staged row's company and title, an insert the one
+    # job of its company and url (without a url, the staged row's own), be it new or held before
+    posted = table.filter("_fed").select(F.col("id").alias("jobId"), "companyId", *POSTED)
+    if mode == "insert":
+        by_url = wh["job"].select(F.col("id").alias("jobId"), "companyId", "url")
+        held = fed.filter(~no_url).drop("id").join(by_url, ["companyId", "url"]).select(*posted.columns).unionByName(
+            fed.filter(no_url).join(wh["job"].select("id"), "id", "left_semi").select(F.col("id").alias("jobId"), *posted.columns[1:]))
+        posted = posted.unionByName(materialize(held, "held-jobs"))
+    locations = flatten_locations(posted, "jobId", "companyId", "normalizedLocations", "locations")
+    loc_links = (locations.withColumnRenamed("job_ordinal", "jobId")
                  .join(office.select(F.col("location").alias("location_name"), F.col("id").alias("officeId")),
                        "location_name").select("jobId", "officeId"))
-    out["job_office"] = H.replace_links(wh["job_office"], key_map.select("jobId"), loc_links, "jobId")
-    sal = (st["salary"].join(key_map, F.col("job_ordinal") == F.col("job_key"))
-           .select("jobId", F.col("min_value").alias("minValue"), F.col("max_value").alias("maxValue"),
-                   "currency", "period").withColumn("id", TX.surrogate_id("jobId")))
-    out["salary_range"] = conform(H.upsert_salary(wh["salary_range"], sal), SC.SALARY_RANGE)
+    out["job_office"] = H.replace_links(wh["job_office"], posted.select("jobId"), loc_links, "jobId", by_key=True)
+    sal = flatten_salaries(posted, "jobId").select(F.col("job_ordinal").alias("jobId"), F.col("min_value").alias("minValue"),
+                                                   F.col("max_value").alias("maxValue"), "currency", "period")
+    out["salary_range"] = conform(H.upsert_salary(wh["salary_range"], sal, new_id=TX.surrogate_id("jobId")), SC.SALARY_RANGE)
     out["company"] = conform(A.refresh_num_jobs(company, job, "id", "companyId"), SC.COMPANY)
     return out, st["rejects"].unionByName(inv_rejects.select(F.lit("investor").alias("kind"), F.col("slug").alias("key"), "reason"))
 

@@ -3,10 +3,11 @@ named in every source folder, read back split over tasks, consolidated and loade
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas as SC
+from ..operators.keys import short_id
 from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks as S
@@ -168,11 +169,13 @@ def portfolio_two_sources_state(spark, sf):
     states = []
     for mode in ("upsert", "insert"):
         wh, _rejects = K.load_portfolio(K.empty_warehouse(spark), companies, jobs, mode=mode)
-        c = wh["company"].select(F.col("id").alias("companyId"), "slug")
-        ids = wh["job"].groupBy(F.col("id").alias("jobId")).agg(F.count(F.lit(1)).alias("ids"))
+        c = wh["company"].select(short_id("id").alias("companyId"), "slug")
         sal = wh["salary_range"].select("jobId", "minValue")
         off = wh["job_office"].join(wh["office"].select(F.col("id").alias("officeId"), F.col("location").alias("office")), "officeId").select("jobId", "office")
-        j = wh["job"].select(F.col("id").alias("jobId"), "companyId", "title", "url")
-        states.append(j.join(c, "companyId").join(ids, "jobId").join(sal, "jobId", "left").join(off, "jobId", "left")
-                       .select(F.lit(mode).alias("mode"), "slug", "title", "url", "minValue", "office", "ids"))
+        # the jobs are dealt out by id once, for the count, the salary range and the office
+        j = wh["job"].select(F.col("id").alias("jobId"), short_id("companyId").alias("companyId"), "title", "url").filter("jobId IS NOT NULL")
+        j = j.withColumn("ids", F.count(F.lit(1)).over(Window.partitionBy("jobId")))
+        state = j.join(sal, "jobId", "left").join(off, "jobId", "left").drop("jobId").join(c, "companyId")
+        # stored, so that the files of one load's joins are gone before the other's are written
+        states.append(K.materialize(state.select(F.lit(mode).alias("mode"), "slug", "title", "url", "minValue", "office", "ids"), "state-rows"))
     return states[0].unionByName(states[1])

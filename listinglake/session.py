@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,14 +72,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for what runs inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_freed(spark: SparkSession):
+    """A write inside drops its shuffle files when it ends. Nothing reads them again, as every write plans shuffles of its
+    own, but Spark keeps them on the executors' disks until the driver happens to collect its garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
+def store(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table once, columnar, to the shared folder and read it back: cuts the lineage of a state that several
     later plans use, survives lost executors, and lets these plans read only the columns they need.
-    A frame that this function returned is stored already and comes back as it is."""
+    A frame that this function returned is stored already and comes back as it is. ``compression``: the Parquet codec, the
+    session's if not given."""
     if getattr(df, "_stored", False):
         return df
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        (df.write.option("compression", compression) if compression else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored = True
     return out
+
+
+def stored_columns(table: DataFrame, columns: list[str]) -> DataFrame:
+    """Some columns of a stored table; they are stored with it."""
+    out = table.select(*columns)
+    out._stored = getattr(table, "_stored", False)
+    return out

@@ -19,8 +19,15 @@ def empty_frame(spark: SparkSession, schema) -> DataFrame:
     """A typed empty table that Catalyst knows is empty (a ``false`` filter folds to an empty
     local relation), so joins and unions with it are simplified away instead of planned."""
     s = _schema(schema)
-    return spark.range(1).selectExpr(*[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in s.fields]) \
+    out = spark.range(1).selectExpr(*[f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in s.fields]) \
         .where("false")
+    out._empty = True
+    return out
+
+
+def known_empty(df: DataFrame) -> bool:
+    """Whether ``empty_frame`` made it."""
+    return getattr(df, "_empty", False)
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:

@@ -91,7 +91,8 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*", recursive: bool
 
     Files are split over tasks by Spark's text reader, however large. A line's number is its place in its block
     plus the lines of the blocks before: the lines are stored once with the block's start and a number that grows within
-    it, the blocks (one row each) are counted and added up per file."""
+    it, the blocks (one row each) are counted and added up per file. The blocks are broadcast, so the lines do not move:
+    they are no more than the splits that the driver has listed to plan the scan."""
     raw = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path)
            .select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"),
                    F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value"))
@@ -99,7 +100,7 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*", recursive: bool
     blocks = raw.groupBy("file_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return raw.join(blocks, ["file_path", "_block"]).select(
+    return raw.join(F.broadcast(blocks), ["file_path", "_block"]).select(
         "file_name", "file_path", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line"), "value")
 
 

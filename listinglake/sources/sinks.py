@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.rules import status_bucket
 from ..operators.keys import default_tasks
+from ..session import shuffles_freed
 from .literals import empty_frame
 
 
@@ -151,12 +152,14 @@ def write_json_documents(df: DataFrame, path: str, document_key, wrapper: str |
                          folders: list[str] | None = None, wrap_when=None, tasks: int | None = None) -> None:
     """A6, bounded number of files: the documents of ``write_json_wrapped``, one per line, many to a file. Ranges of whole
     documents by ``document_key`` go to ``tasks`` tasks (the shuffle partitions if not given), so there are at most tasks x
-    folders files, in the order of the key, and no folder per document. ``read_json_lines`` reads them back."""
+    folders files, in the order of the key, and no folder per document. ``read_json_lines`` reads them back. The records
+    are dealt out by range before they are grouped, so they move once and no documents after them."""
     folders = folders or []
-    docs = _documents(df, document_key, wrapper, order, folders, wrap_when)
     tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = docs.repartitionByRange(tasks, "file_key").sortWithinPartitions(*folders, "file_key").select(*folders, "value")
-    (out.write.mode("overwrite").partitionBy(*folders) if folders else out.write.mode("overwrite")).text(path)
+    docs = _documents(df.repartitionByRange(tasks, document_key), document_key, wrapper, order, folders, wrap_when)
+    out = docs.sortWithinPartitions(*folders, "file_key").select(*folders, "value")
+    with shuffles_freed(df.sparkSession):
+        (out.write.mode("overwrite").partitionBy(*folders) if folders else out.write.mode("overwrite")).text(path)
 
 
 def _documents(df: DataFrame, file_key, wrapper: str | None, order: list | None, folders: list[str], wrap_when) -> DataFrame:

@@ -24,10 +24,29 @@ def landing_place(landed: DataFrame) -> list[str]:
     return [c for c in ("source_rank", path, "line", "pos") if c is not None and c in landed.columns]
 
 
+def stage_jobs(landed: DataFrame, *keep: str) -> DataFrame:
+    """Landed job rows as they are staged, one for one, with their locations and salary; ``keep`` names further columns."""
+    return landed.select(
+        # the folder, not the rank: ids of jobs without a url come from it, and ranks change with the registry
+        F.concat_ws(":", *["sourceFolder" if c == "source_rank" and "sourceFolder" in landed.columns else F.col(c).cast("string")
+                           for c in landing_place(landed)]).alias("job_key"),
+        F.struct(*landing_place(landed)).alias("_ord"), "title", F.col("companySlug").alias("company_slug"),
+        or_null(F.col("url")).alias("url"), or_null(F.col("applyUrl")).alias("applyUrl"),
+        *[to_flag(F.col(c), landed.schema[c].dataType).alias(c)
+          for c in ["remote", "hybrid", "manager", "consultant", "contractor"]],
+        text_to_ts(F.col("timeStamp")).alias("timeStamp"),
+        *[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in ["minYearsExp", "maxYearsExp"]],
+        *[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c)
+          for c in ["skills", "requiredSkills", "preferredSkills", "departments", "regions"]],
+        *[F.when(F.col(c).isNotNull(), F.to_json(F.col(c))).alias(c) for c in ["jobTypes", "jobFunctions", "jobSeniorities"]],
+        "locations", "normalizedLocations", "salary",
+        (or_null(F.col("dataSource")) if "dataSource" in landed.columns else F.lit(None).cast("string")).alias("dataSource"), *keep)
+
+
 def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFrame]:
     """``companies`` / ``jobs``: landed rows (portfolio shapes) as ``read_source_tree`` returns them, at least
     with ``file_name`` and ``pos`` (and ``dataSource`` for companies). A job's key and the order of all rows are their
-    landing place. Returns the staging relations plus the rejects."""
+    landing place. Returns the staging relations, the landed rows of ``job`` (``landed_job``) and the rejects."""
     ok_c, rej_c = require_fields(companies, ["name", "slug"])
     comp = ok_c.select(
         "name", "slug", "description",
@@ -43,21 +62,7 @@ def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFram
         F.col("dataSource"), F.struct(*landing_place(companies)).alias("_ord"),
         "markets", "stages", "officeLocations", "investors", "investorSlugs")
     ok_j, rej_j = require_fields(jobs, ["title", "companySlug"])
-    job = ok_j.select(
-        # the folder, not the rank: ids of jobs without a url come from it, and ranks change with the registry
-        F.concat_ws(":", *["sourceFolder" if c == "source_rank" and "sourceFolder" in jobs.columns else F.col(c).cast("string")
-                           for c in landing_place(jobs)]).alias("job_key"),
-        F.struct(*landing_place(jobs)).alias("_ord"), "title", F.col("companySlug").alias("company_slug"),
-        or_null(F.col("url")).alias("url"), or_null(F.col("applyUrl")).alias("applyUrl"),
-        *[to_flag(F.col(c), jobs.schema[c].dataType).alias(c)
-          for c in ["remote", "hybrid", "manager", "consultant", "contractor"]],
-        text_to_ts(F.col("timeStamp")).alias("timeStamp"),
-        *[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in ["minYearsExp", "maxYearsExp"]],
-        *[F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c)
-          for c in ["skills", "requiredSkills", "preferredSkills", "departments", "regions"]],
-        *[F.when(F.col(c).isNotNull(), F.to_json(F.col(c))).alias(c) for c in ["jobTypes", "jobFunctions", "jobSeniorities"]],
-        "locations", "normalizedLocations", "salary",
-        (or_null(F.col("dataSource")) if "dataSource" in jobs.columns else F.lit(None).cast("string")).alias("dataSource"))
+    job = stage_jobs(ok_j)
     return {
         "company": comp.drop("markets", "stages", "officeLocations", "investors", "investorSlugs"),
         "market": flatten_links(comp, "slug", "markets").withColumnRenamed("slug", "company_slug"),
@@ -66,6 +71,7 @@ def stage_portfolio(companies: DataFrame, jobs: DataFrame) -> dict[str, DataFram
         "investor": zip_parallel(comp, "slug", "investors", "investorSlugs")
             .select(F.col("slug").alias("company_slug"), F.col("investor_name").alias("name"),
                     F.col("investor_slug").alias("slug"), "pos"),
+        "landed_job": ok_j,
         "job": job.drop("locations", "normalizedLocations", "salary"),
         "job_location": flatten_locations(job, "job_key", "company_slug", "normalizedLocations", "locations"),
         "salary": flatten_salaries(job, "job_key"),

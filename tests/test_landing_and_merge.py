@@ -6,6 +6,7 @@ import html as stdlib_html
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from listinglake.operators import identity as ID
 from listinglake.operators import merge as H
 from listinglake.operators.validate import audit_warehouse
 from listinglake.plans import jobs as K
+from listinglake.session import settings
 from listinglake.sources import readers as R
 from listinglake.sources import sinks as S
 from listinglake.sources.staging import stage_portfolio
@@ -270,3 +272,115 @@ def test_stored_tables_are_written_once(spark):
     at = store(spark.range(3), "once")
     assert K.materialize(at) is at and K.materialize_changed({"job": at}, {})["job"] is at
     assert K.materialize(at.filter("id > 0")).count() == 2
+
+
+# what a load moves and leaves on disk
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in glob.glob(f"{d.getPath()}/**/shuffle_*.data", recursive=True)}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_dir):
+    before = shuffle_files(spark)
+    rows = spark.range(2000).selectExpr("id", "id % 7 AS k", "id DIV 10 AS doc")
+    kept = [K.materialize(rows.repartition(3, "k").distinct(), "t")]
+    S.write_json_documents(rows, f"{tmp_dir}/docs", "doc", tasks=3)
+    for _ in range(100):  # executors drop the files in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and kept[0].count() == 2000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("Join")
+
+
+@pytest.mark.parametrize("mode", ["upsert", "insert"])
+def test_salaries_and_offices_come_with_their_job(spark, mode):
+    """No join by a landing place, and one move by job for either table."""
+    comps = spark.createDataFrame([{"name": f"C{i}", "slug": f"c{i}"} for i in range(9)], SC.PORTFOLIO_COMPANY)
+    jobs = spark.createDataFrame([{"companySlug": f"c{i % 10}", "title": f"t{i % 40}", "url": f"u{i % 30}" if i % 3 else None, "locations": [f"P{i % 4}", "Rome"],
+                                   "salary": {"minValue": str(i + 1)}} for i in range(200)], SC.PORTFOLIO_JOB)
+    def landed(df):
+        return df.coalesce(1).withColumn("file_name", F.lit("f")).withColumn("pos", F.monotonically_increasing_id().cast("int"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh, _ = K.load_portfolio(K.empty_warehouse(spark), landed(comps).withColumn("dataSource", F.lit("P")), landed(jobs), mode=mode)
+        assert exchanges(wh["salary_range"].select("jobId", "minValue")) == (1, 0)
+        assert exchanges(wh["job_office"])[1] == 1  # with the offices' ids alone
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    if mode == "upsert":
+        best = {(i % 10, i % 40): i for i in range(200) if i % 10 < 9}
+    else:
+        best = {}
+        for i in range(200):
+            if i % 10 < 9:
+                best.setdefault((i % 10, i % 30) if i % 3 else i, i)
+    expected = sorted((f"c{i % 10}", f"t{i % 40}", i + 1.0, x) for i in best.values() for x in (f"P{i % 4}", "Rome"))
+    j = wh["job"].select(F.col("id").alias("jobId"), "companyId", "title").join(wh["company"].select(F.col("id").alias("companyId"), "slug"), "companyId")
+    off = wh["job_office"].join(wh["office"].select(F.col("id").alias("officeId"), "location"), "officeId")
+    got = j.join(wh["salary_range"].select("jobId", "minValue"), "jobId").join(off, "jobId")
+    assert sorted((r.slug, r.title, r.minValue, r.location) for r in got.collect()) == expected
+
+
+def test_jobs_of_companies_that_share_an_id(spark):
+    """Jobs are merged by company id, also where one id stands under two slugs."""
+    wh = K.empty_warehouse(spark)
+    wh["company"] = K.conform(spark.createDataFrame([("x", "a", "A"), ("x", "b", "B"), ("y", "c", "C")], "id string, slug string, name string"), SC.COMPANY)
+    comps = spark.createDataFrame([{"name": s.upper(), "slug": s} for s in "abc"], SC.PORTFOLIO_COMPANY).withColumn("file_name", F.lit("f")).withColumn("pos", F.lit(1))
+    jobs = spark.createDataFrame([{"companySlug": s, "title": "t", "url": "u", "salary": {"minValue": str(i + 1)}} for i, s in enumerate("abc")], SC.PORTFOLIO_JOB)
+    jobs = jobs.withColumn("file_name", F.lit("f")).withColumn("pos", F.get_json_object(F.to_json("salary"), "$.minValue").cast("int"))
+    for mode, pay in (("upsert", [("x", 2.0), ("y", 3.0)]), ("insert", [("x", 1.0), ("y", 3.0)])):
+        out, _ = K.load_portfolio(wh, comps.withColumn("dataSource", F.lit("P")), jobs, mode=mode)
+        got = out["job"].join(out["salary_range"].select(F.col("jobId").alias("id"), "minValue"), "id").collect()
+        assert out["job"].count() == 2 and sorted((r.companyId, r.minValue) for r in got) == pay
+
+
+def test_lines_do_not_move_to_be_numbered(spark, tmp_dir):
+    write(f"{tmp_dir}/in/a.jsonl", "\n".join(json.dumps({"a": i}) for i in range(500)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = R.read_lines(spark, f"{tmp_dir}/in")
+        assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.line for r in lines.collect()) == list(range(1, 501))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_hot_companys_jobs_are_still_split(spark):
+    """The join with the companies splits a slug that holds most jobs, and the result is the same."""
+    comps = spark.range(50).selectExpr("concat('s', id) AS slug", "concat('i', id) AS id")
+    rows = spark.range(40000).selectExpr("if(id % 10 < 8, 's1', concat('s', id % 50)) AS companySlug", "concat('t', id DIV 2) AS title",
+                                         "cast(null AS string) AS url", "'f' AS file_name", "cast(id AS int) AS pos")
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in SC.PORTFOLIO_JOB.fields if f.name not in rows.columns])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    plans = []
+
+    def collapse(df, cols, order):
+        out = K.D.last_wins(df, [*cols, "title"], order)
+        with settings(spark, {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}):  # as the load runs it
+            out.collect()
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    with settings(spark, conf):
+        got = K._staged_jobs(rows.repartition(8, "title"), comps, collapse)
+    assert "skew=true" in plans[0]
+    want = {}
+    for i in range(40000):
+        want["s1" if i % 10 < 8 else f"s{i % 50}", f"t{i // 2}"] = i
+    assert got.count() == len(want) and got.agg(F.sum("_ord.pos")).first()[0] == sum(want.values())
+
+
+def test_state_query_joins_each_load_on_its_own(spark):
+    """Both loads' rows are stored, so that the joins of one are gone when the other's run."""
+    import __spark_entry__ as E
+    plan = E.queries()["portfolio_two_sources_state"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
